@@ -33,11 +33,9 @@ def concat_text(*parts: Column | str) -> Column:
 
 def empty_to_null(df: DataFrame) -> DataFrame:
     """Turn ``''`` into NULL in every text column (applied once, on ingest)."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.nullif(F.col(f.name), F.lit("")).alias(f.name)
-            if isinstance(f.dataType, T.StringType)
-            else F.col(f.name)
+            f"nullif(`{f.name}`, '') AS `{f.name}`" if isinstance(f.dataType, T.StringType) else f"`{f.name}`"
             for f in df.schema.fields
         ]
     )

@@ -29,12 +29,12 @@ def describe_days(days: DataFrame, day: str = "datum") -> DataFrame:
     holiday flags are the constants J and N; fiscal and relative columns stay
     empty.
     """
-    d = F.col(day)
+    days = days.withColumnRenamed(day, "datum")
+    d = F.col("datum")
     weekday = F.weekday(d) + 1
     month, quarter = F.month(d), F.quarter(d)
     values = {
         "zeit_id": zeit_id(d),
-        "datum": d,
         "tag_nr": F.dayofmonth(d),
         "wochentag_nr": weekday,
         "wochentag_name": _name(WEEKDAYS, weekday),
@@ -51,9 +51,7 @@ def describe_days(days: DataFrame, day: str = "datum") -> DataFrame:
         "jahr": F.year(d),
     }
     table = TABLES["DIM_ZEIT"]
-    return days.select(
-        *[values.get(c, F.lit(None)).cast(table.types[c]).alias(c) for c in table.columns]
-    )
+    return days.withColumns(values).to(table.schema)
 
 
 def calendar(

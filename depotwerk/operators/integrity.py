@@ -45,19 +45,17 @@ def column_violations(df: DataFrame, table: Table) -> DataFrame:
         if c not in table.types:
             continue
         if c in table.required:
-            tests.append((c, "NOT NULL", F.col(c).isNull()))
+            tests.append((c, "NOT NULL", f"{c} IS NULL"))
         if c in table.lengths:
-            tests.append((c, f"LENGTH <= {table.lengths[c]}", F.length(c) > table.lengths[c]))
+            tests.append((c, f"LENGTH <= {table.lengths[c]}", f"length({c}) > {table.lengths[c]}"))
         if c in table.allowed:
-            tests.append((c, "VALUES", F.col(c).isNotNull() & ~F.col(c).isin(list(table.allowed[c]))))
-    counts = df.agg(*[F.count_if(t).alias(f"t{i}") for i, (_, _, t) in enumerate(tests)])
-    entries = F.array(
-        *[
-            F.struct(F.lit(c).alias("spalte"), F.lit(rule).alias("regel"), F.col(f"t{i}").alias("anzahl"))
-            for i, (c, rule, _) in enumerate(tests)
-        ]
+            values = ", ".join(f"'{v}'" for v in table.allowed[c])
+            tests.append((c, "VALUES", f"{c} NOT IN ({values})"))
+    counts = ", ".join(
+        f"named_struct('spalte', '{c}', 'regel', '{rule}', 'anzahl', count_if({broken}))"
+        for c, rule, broken in tests
     )
-    return counts.select(F.inline(entries)).where("anzahl > 0")
+    return df.agg(F.expr(f"array({counts})").alias("z")).select(F.inline("z")).where("anzahl > 0")
 
 
 def current_row_violations(dim: DataFrame, key: str) -> DataFrame:

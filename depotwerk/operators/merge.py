@@ -32,16 +32,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Se
     joined = old.join(new, null_safe("alt", "neu", keys), "full_outer")
     present = set(source.columns)
 
-    def value(f):
-        if f.name not in present:
-            return F.col(f"alt.{f.name}")
-        fresh = F.col(f"neu.{f.name}").cast(f.dataType)
-        takes_new = F.col("alt.__alt").isNull()
-        if f.name in update:
-            takes_new = takes_new | F.col("neu.__neu").isNotNull()
-        return F.when(takes_new, fresh).otherwise(F.col(f"alt.{f.name}"))
+    def value(c: str) -> str:
+        if c not in present:
+            return f"alt.{c}"
+        takes_new = "neu.__neu" if c in update else "alt.__alt IS NULL"
+        return f"CASE WHEN {takes_new} THEN neu.{c} ELSE alt.{c} END AS {c}"
 
-    return joined.select(*[value(f).alias(f.name) for f in target.schema.fields])
+    return joined.selectExpr(*[value(c) for c in target.columns]).to(target.schema)
 
 
 def insert_if_absent(
@@ -60,11 +57,9 @@ def one_per_key(
     NULL key parts count as equal.
     """
     if on_duplicate == "latest":
-        marked = source
-        for c in keys:
-            marked = marked.withColumn(f"__k_{c}", F.struct(F.col(c)))
-        marks = [f"__k_{c}" for c in keys]
-        return latest(marked, marks, order_by).drop(*marks)
+        # a struct around a NULL is not NULL, so such keys stay in
+        marks = {f"__k_{c}": F.struct(F.col(c)) for c in keys}
+        return latest(source.withColumns(marks), list(marks), order_by).drop(*marks)
     repeated = source.groupBy(*keys).count().where("count > 1").limit(3).collect()
     if repeated:
         raise DuplicateKeyError(f"duplicate key {list(keys)}: {[r.asDict() for r in repeated]}")

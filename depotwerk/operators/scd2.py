@@ -76,10 +76,12 @@ def scd2(
     unchanged = compared.where(~F.col("__anders")).drop("__anders")
     closed = (
         compared.where("__anders").drop("__anders")
-        .withColumn("gueltig_bis", F.date_sub(F.lit(run_date), 1))
-        .withColumn("ist_aktuell", F.lit("N"))
-        .withColumn("geaendert_am", F.lit(run_ts).cast("timestamp"))
-        .withColumn("batch_id_geaendert", F.lit(batch_id).cast("bigint"))
+        .withColumns({
+            "gueltig_bis": F.date_sub(F.lit(run_date), 1),
+            "ist_aktuell": F.lit("N"),
+            "geaendert_am": F.lit(run_ts).cast("timestamp"),
+            "batch_id_geaendert": F.lit(batch_id).cast("bigint"),
+        })
     )
 
     versions = (
@@ -91,7 +93,7 @@ def scd2(
     still_current = unchanged.select(key).join(delivered.select(key), key, "left_semi").distinct()
     fresh = batch.join(still_current, key, "left_anti").join(versions, key, "left")
     values = {
-        sk: F.lit(None),
+        sk: F.lit(None).cast("bigint"),
         "gueltig_von": F.lit(run_date),
         "gueltig_bis": F.lit(OPEN_END),
         "ist_aktuell": F.lit("J"),
@@ -101,9 +103,7 @@ def scd2(
         "batch_id_erstellt": F.lit(batch_id),
         "batch_id_geaendert": F.lit(batch_id),
     }
-    inserted = fresh.select(
-        *[values.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in dim.schema.fields]
-    )
+    inserted = fresh.withColumns(values).to(dim.schema)
     return Scd2Result(history.unionByName(unchanged), closed, inserted)
 
 

@@ -58,6 +58,7 @@ class Control:
         self.fx_batches = fx_batches
         self.allow_inverse = allow_inverse
         self.lookback = lookback
+        self._numbers: dict[str, int] = {}
 
     # --- installation -----------------------------------------------------
 
@@ -81,11 +82,19 @@ class Control:
     def load_log(self) -> DataFrame:
         return monitor.latest_events(self.store.read("STG_LADELOG"), "log_id")
 
+    def _next(self, table: str, column: str) -> int:
+        """Next log number.  Read once, then counted on: there is a single writer."""
+        if table not in self._numbers:
+            self._numbers[table] = next_number(self.store.read(table), column)
+        number = self._numbers[table]
+        self._numbers[table] = number + 1
+        return number
+
     @contextmanager
     def _phase(self, batch_id: int, lade_datum: date, phase: str):
         """Log a phase from start to end; yields the process id."""
         start = self.clock()
-        number = next_number(self.store.read("ETL_PROZESSLOG"), "prozess_id")
+        number = self._next("ETL_PROZESSLOG", "prozess_id")
         row = {"prozess_id": number, "batch_id": batch_id, "lade_datum": lade_datum, "prozessstart": start,
                "phase": phase, "status": "GESTARTET", "erstellt_am": start}
         self.store.append_event("ETL_PROZESSLOG", row, 1)
@@ -101,7 +110,7 @@ class Control:
 
     def _log_load_start(self, batch_id: int, system: str, table: str) -> dict:
         now = self.clock()
-        row = {"log_id": next_number(self.store.read("STG_LADELOG"), "log_id"), "batch_id": batch_id,
+        row = {"log_id": self._next("STG_LADELOG", "log_id"), "batch_id": batch_id,
                "quellsystem": system, "tabelle": table, "ladestart": now, "anzahl_saetze": 0,
                "status": "GESTARTET", "erstellt_am": now}
         self.store.append_event("STG_LADELOG", row, 1)
@@ -179,7 +188,10 @@ class Control:
                  "STG_FB_FONDSBEWEGUNG"),
             ]
             for target, transform, origin in steps:
-                rows = transform(self.store.read(origin, batch_id=batch_id))
+                staged = self.store.read(origin, batch_id=batch_id)
+                if self.on_duplicate == "latest" and target in transforms.CANONICAL_KEYS:
+                    staged = transforms.latest_delivery(staged, target)
+                rows = transform(staged)
                 rows = arrival_ids(rows, "vor_id", run=run).withColumn("verarbeitungszeit", F.lit(now))
                 self.store.replace_batch(target, rows, batch_id)
                 self._check_unique(target, batch_id)
@@ -231,8 +243,6 @@ class Control:
         now = self.clock()
         layout = TABLES[load.target]
         vor = self.store.read(load.source, batch_id=batch_id)
-        if self.on_duplicate == "latest":
-            vor = one_per_key(vor, TABLES[load.source].unique, on_duplicate="latest")
         rows = load.build(vor, keys)
         rows, rejected = resolved(rows, load.required, self.on_unresolved)
         if self.on_unresolved == "reject":
@@ -243,7 +253,7 @@ class Control:
         if load.update is None:
             target = self.store.read(load.target)
             fresh = insert_if_absent(target, rows, load.keys)
-            fresh = arrival_ids(self._fill(fresh, load), layout.id_column, run=run)
+            fresh = arrival_ids(fresh, layout.id_column, run=run)
             return self.store.write_months(load.target, fresh, load.date_key, replace=False)
 
         rows = one_per_key(rows, load.keys)
@@ -256,11 +266,6 @@ class Control:
         numbered = numbered.withColumn(layout.id_column, F.coalesce(layout.id_column, "__neu_id"))
         return self.store.write_months(load.target, numbered, load.date_key, replace=True)
 
-    def _fill(self, rows: DataFrame, load: FactLoad) -> DataFrame:
-        layout = TABLES[load.target]
-        absent = [c for c in layout.columns if c not in rows.columns and c != layout.id_column]
-        return rows.withColumns({c: F.lit(None).cast(layout.types[c]) for c in absent}) if absent else rows
-
     def run_zielbeladung(self, batch_id: int, run: int) -> None:
         """Dimensions, then facts."""
         self.load_dimensions(batch_id)

@@ -90,12 +90,8 @@ def new_depots(
         "dwh_version": F.lit(1),
         "erstellt_am": F.lit(run_ts),
         "geaendert_am": F.lit(run_ts),
-        "depot_nr": F.col("depot_nr"),
-        "depotstelle": F.col("depotstelle"),
     }
-    return from_holdings.unionByName(from_trades).select(
-        *[values.get(c, F.lit(None)).cast(layout.types[c]).alias(c) for c in layout.columns]
-    )
+    return from_holdings.unionByName(from_trades).withColumns(values).to(layout.schema)
 
 
 def assign_keys(snapshot: DataFrame, sk: str, order_by: Sequence[str], start: int) -> DataFrame:

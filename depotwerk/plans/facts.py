@@ -52,16 +52,9 @@ def _valid(vor: DataFrame) -> DataFrame:
 
 
 def _fact(rows: DataFrame, table: str, computed: dict[str, Column]) -> DataFrame:
-    """Columns of a fact table that the source can fill (no id, no load time)."""
+    """Columns of a fact table without id and load time; what the source lacks is NULL."""
     layout = TABLES[table]
-    have = set(rows.columns) | set(computed)
-    return rows.select(
-        *[
-            computed.get(c, F.col(c)).cast(layout.types[c]).alias(c)
-            for c in layout.columns
-            if c in have and c not in (layout.id_column, layout.time_column)
-        ]
-    )
+    return rows.withColumns(computed).to(layout.schema_without(layout.id_column, layout.time_column))
 
 
 def price_rows(vor: DataFrame, keys: Keys) -> DataFrame:

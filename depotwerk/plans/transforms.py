@@ -31,17 +31,29 @@ class Rates:
     rows: int | None = None
 
 
-def _project(df: DataFrame, table: str, computed: dict[str, Column], skip: Sequence[str] = ()) -> DataFrame:
+def _project(df: DataFrame, table: str, computed: dict[str, Column]) -> DataFrame:
     """Columns of a target table: computed ones, the rest carried over, all in target types."""
     layout = TABLES[table]
-    generated = {layout.id_column, layout.time_column, *skip}
-    return df.select(
-        *[
-            computed.get(c, F.col(c) if c in df.columns else F.lit(None)).cast(layout.types[c]).alias(c)
-            for c in layout.columns
-            if c not in generated
-        ]
-    )
+    return df.withColumns(computed).to(layout.schema_without(layout.id_column, layout.time_column))
+
+
+# Unique keys of the tables that are not deduplicated on their own, as they
+# look after normalisation.
+CANONICAL_KEYS = {
+    "VOR_WECHSELKURS": ("waehrung_von", "waehrung_nach", "kurstyp"),
+    "VOR_KURS": ("kurstyp",),
+    "VOR_TRANSAKTION": (),
+    "VOR_FONDSBEWEGUNG": (),
+}
+
+
+def latest_delivery(stg: DataFrame, target: str, order_by: Sequence[str] = ("stg_id",)) -> DataFrame:
+    """Keep the latest staged row per unique key of ``target``; NULL key parts count as equal."""
+    codes = CANONICAL_KEYS[target]
+    marks = {
+        f"__k_{c}": F.struct(canonical(c) if c in codes else F.col(c)) for c in TABLES[target].unique
+    }
+    return latest(stg.withColumns(marks), list(marks), order_by).drop(*marks)
 
 
 def transform_wertpapier(stg: DataFrame, *, order_by: Sequence[str] = ("stg_id",)) -> DataFrame:

@@ -114,7 +114,10 @@ class Table:
     @property
     def schema(self) -> T.StructType:
         """All columns nullable: required columns are checked, not assumed."""
-        return T.StructType([T.StructField(c, spark_type(self.types[c])) for c in self.columns])
+        return self.schema_without()
+
+    def schema_without(self, *skip: str | None) -> T.StructType:
+        return T.StructType([T.StructField(c, spark_type(self.types[c])) for c in self.columns if c not in skip])
 
 
 TABLES: dict[str, Table] = {}

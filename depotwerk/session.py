@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
+    # without call-site capture plans are built about ten times faster
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import concat_text, empty_to_null
 from ..schemas import TABLES
-from .readers import GENERATED, rows_of_day
+from .readers import rows_of_day
 
 # Names of the source systems and the constant source status.
 ACCOUNTING, PRICE_FEED, MASTER_DATA = "FONDSBUCHHALTUNG", "KURSVERSORGUNG", "WERTPAPIERSTAMMDATEN"
@@ -29,17 +29,10 @@ def _times_rate(amount: str) -> Column:
 
 def _stage(delivery: DataFrame, table: str, derived: dict[str, Column], run_ts: datetime) -> DataFrame:
     layout = TABLES[table]
-    rows = empty_to_null(delivery)
     now = F.lit(run_ts).cast("timestamp")
     values = {"src_erstellt_am": now, "src_geaendert_am": now, **derived}
-    skip = GENERATED - set(values)
-    return rows.select(
-        *[
-            values.get(c, F.col(c) if c in rows.columns else F.lit(None)).cast(layout.types[c]).alias(c)
-            for c in layout.columns
-            if c not in skip
-        ]
-    )
+    return empty_to_null(delivery).withColumns(values).to(
+        layout.schema_without(layout.id_column, layout.time_column, layout.partition))
 
 
 def stage_bestand(delivery: DataFrame, lade_datum: date, run_ts: datetime) -> DataFrame:

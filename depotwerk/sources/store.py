@@ -97,7 +97,7 @@ class Warehouse:
     # --- batch partitions -------------------------------------------------
 
     def _columns(self, df: DataFrame, layout: Table) -> DataFrame:
-        return df.select(*[F.col(c).cast(layout.types[c]).alias(c) for c in layout.columns])
+        return df.to(layout.schema)
 
     def _counted_write(self, df: DataFrame, write) -> int:
         """Write once and learn the row count from the same pass."""
@@ -196,5 +196,6 @@ class Warehouse:
     def append_event(self, table: str, row: dict, number: int) -> None:
         schema = self._stored_schema(TABLES[table])
         values = {**row, "ereignis_nr": number}
-        event = self.spark.createDataFrame([tuple(values.get(c) for c in schema.names)], schema)
+        names = ", ".join(f":{c} AS {c}" for c in values)
+        event = self.spark.sql(f"SELECT {names}", args=values).to(schema)
         event.coalesce(1).write.mode("append").parquet(self.path(table))
