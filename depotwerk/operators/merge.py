@@ -41,6 +41,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Se
     return joined.selectExpr(*[value(c) for c in target.columns]).to(target.schema)
 
 
+def replace_batch(target: DataFrame, fresh: DataFrame, batch_id: int) -> DataFrame:
+    """Content after the rows of one batch are exchanged for ``fresh``, which may be empty."""
+    kept = target.where(F.col("batch_id").isNull() | (F.col("batch_id") != batch_id))
+    return kept.unionByName(fresh)
+
+
 def insert_if_absent(
     target: DataFrame, source: DataFrame, keys: Sequence[str], max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:

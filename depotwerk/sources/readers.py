@@ -113,9 +113,9 @@ class JdbcSource:
         return self.spark.read.format("jdbc").options(**self.options(table)).load()
 
 
-def rows_of_day(df: DataFrame, date_column: str, lade_datum: date) -> DataFrame:
-    """Full delivery of one business date."""
-    return df.where(F.col(date_column) == F.lit(lade_datum))
+def rows_of_day(df: DataFrame, date_column: str, lade_datum: date | None) -> DataFrame:
+    """Full delivery of one business date; None takes every date (initial load)."""
+    return df if lade_datum is None else df.where(F.col(date_column) == F.lit(lade_datum))
 
 
 def rows_changed_since(df: DataFrame, changed_column: str, since: datetime | None) -> DataFrame:

@@ -35,13 +35,13 @@ def _stage(delivery: DataFrame, table: str, derived: dict[str, Column], run_ts:
         layout.schema_without(layout.id_column, layout.time_column, layout.partition))
 
 
-def stage_bestand(delivery: DataFrame, lade_datum: date, run_ts: datetime) -> DataFrame:
+def stage_bestand(delivery: DataFrame, lade_datum: date | None, run_ts: datetime) -> DataFrame:
     """Holdings of one valuation date."""
     rows = rows_of_day(delivery, "bewertungsdatum", lade_datum)
     return _stage(rows, "STG_FB_BESTAND", {"marktwert_fondswaehrung": _times_rate("marktwert")}, run_ts)
 
 
-def stage_transaktion(delivery: DataFrame, lade_datum: date, run_ts: datetime) -> DataFrame:
+def stage_transaktion(delivery: DataFrame, lade_datum: date | None, run_ts: datetime) -> DataFrame:
     """Trades of one trade date."""
     rows = rows_of_day(delivery, "handelsdatum", lade_datum)
     return _stage(rows, "STG_FB_TRANSAKTION", {
@@ -51,7 +51,7 @@ def stage_transaktion(delivery: DataFrame, lade_datum: date, run_ts: datetime) -
     }, run_ts)
 
 
-def stage_fondsbewegung(delivery: DataFrame, lade_datum: date, run_ts: datetime) -> DataFrame:
+def stage_fondsbewegung(delivery: DataFrame, lade_datum: date | None, run_ts: datetime) -> DataFrame:
     """Fund flows of one trade date."""
     rows = rows_of_day(delivery, "handelsdatum", lade_datum)
     return _stage(rows, "STG_FB_FONDSBEWEGUNG", {
@@ -60,7 +60,7 @@ def stage_fondsbewegung(delivery: DataFrame, lade_datum: date, run_ts: datetime)
     }, run_ts)
 
 
-def stage_kurs(delivery: DataFrame, lade_datum: date, run_ts: datetime) -> DataFrame:
+def stage_kurs(delivery: DataFrame, lade_datum: date | None, run_ts: datetime) -> DataFrame:
     """Prices of one price date."""
     rows = rows_of_day(delivery, "kursdatum", lade_datum)
     return _stage(rows, "STG_KV_KURS", {"src_kurs_id": F.col("kurs_id")}, run_ts)
@@ -70,18 +70,18 @@ def fx_source_id() -> Column:
     return concat_text(F.lit("WK-"), "waehrung_von", "waehrung_nach", F.date_format("kursdatum", "yyyyMMdd"))
 
 
-def stage_wechselkurs(delivery: DataFrame, lade_datum: date, run_ts: datetime) -> DataFrame:
+def stage_wechselkurs(delivery: DataFrame, lade_datum: date | None, run_ts: datetime) -> DataFrame:
     """Exchange rates of one date, with a source id built from the pair and the date."""
     rows = rows_of_day(delivery, "kursdatum", lade_datum)
     return _stage(rows, "STG_KV_WECHSELKURS", {"src_kurs_id": fx_source_id()}, run_ts)
 
 
-def stage_wertpapier(delivery: DataFrame, lade_datum: date, run_ts: datetime) -> DataFrame:
+def stage_wertpapier(delivery: DataFrame, lade_datum: date | None, run_ts: datetime) -> DataFrame:
     """Security master: full delivery or delta, no date filter."""
     return _stage(delivery, "STG_WP_STAMMDATEN", {"src_wertpapier_id": F.col("isin")}, run_ts)
 
 
-def stage_fonds(delivery: DataFrame, lade_datum: date, run_ts: datetime) -> DataFrame:
+def stage_fonds(delivery: DataFrame, lade_datum: date | None, run_ts: datetime) -> DataFrame:
     """Fund master."""
     return _stage(delivery, "STG_WP_FONDS_STAMMDATEN", {"src_fonds_id": F.col("fonds_id")}, run_ts)
 
@@ -91,7 +91,7 @@ class SourceSystem:
     """One source system: its tables are published together or not at all."""
 
     name: str
-    loads: tuple[tuple[str, Callable[[DataFrame, date, datetime], DataFrame]], ...]
+    loads: tuple[tuple[str, Callable[[DataFrame, date | None, datetime], DataFrame]], ...]
 
 
 # Load order: master data, prices, accounting.
