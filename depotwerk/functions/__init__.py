@@ -7,6 +7,7 @@ from .codes import (  # noqa: F401
 from .dates import (  # noqa: F401
     de_date,
     de_timestamp,
+    moment,
     run_time,
     zeit_id,
 )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,11 @@ def zeit_id(d: Column | str) -> Column:
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
+def moment(ts: datetime) -> Column:
+    """A point in time as literal, read in the session time zone."""
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp")
+
+
 def de_date(d: Column | str) -> Column:
     return F.date_format(_col(d), "dd.MM.yyyy")
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import nullable
 from .dedupe import latest
 from .joins import BROADCAST_ROWS, anti, null_safe
 
@@ -38,7 +39,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update: Se
         takes_new = "neu.__neu" if c in update else "alt.__alt IS NULL"
         return f"CASE WHEN {takes_new} THEN neu.{c} ELSE alt.{c} END AS {c}"
 
-    return joined.selectExpr(*[value(c) for c in target.columns]).to(target.schema)
+    return joined.selectExpr(*[value(c) for c in target.columns]).to(nullable(target.schema))
 
 
 def replace_batch(target: DataFrame, fresh: DataFrame, batch_id: int) -> DataFrame:

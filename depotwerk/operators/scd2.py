@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import moment
+from ..schemas import nullable
 from .joins import BROADCAST_ROWS, small_enough
 
 OPEN_END = date(9999, 12, 31)
@@ -79,31 +81,32 @@ def scd2(
         .withColumns({
             "gueltig_bis": F.date_sub(F.lit(run_date), 1),
             "ist_aktuell": F.lit("N"),
-            "geaendert_am": F.lit(run_ts).cast("timestamp"),
+            "geaendert_am": moment(run_ts),
             "batch_id_geaendert": F.lit(batch_id).cast("bigint"),
         })
     )
 
-    versions = (
-        dim.select(key, "dwh_version")
+    # per delivered key: newest version, and whether a current row stays
+    state = (
+        dim.select(key, "dwh_version", F.lit(False).alias("__bleibt"))
+        .unionByName(unchanged.select(key, "dwh_version", F.lit(True).alias("__bleibt")))
         .join(delivered.select(key), key, "left_semi")
         .groupBy(key)
-        .agg(F.max("dwh_version").alias("__letzte"))
+        .agg(F.max("dwh_version").alias("__letzte"), F.bool_or("__bleibt").alias("__bleibt"))
     )
-    still_current = unchanged.select(key).join(delivered.select(key), key, "left_semi").distinct()
-    fresh = batch.join(still_current, key, "left_anti").join(versions, key, "left")
+    fresh = batch.join(state, key, "left").where(~F.coalesce("__bleibt", F.lit(False)))
     values = {
         sk: F.lit(None).cast("bigint"),
         "gueltig_von": F.lit(run_date),
         "gueltig_bis": F.lit(OPEN_END),
         "ist_aktuell": F.lit("J"),
         "dwh_version": F.coalesce(F.col("__letzte") + 1, F.lit(1)),
-        "erstellt_am": F.lit(run_ts),
-        "geaendert_am": F.lit(run_ts),
+        "erstellt_am": moment(run_ts),
+        "geaendert_am": moment(run_ts),
         "batch_id_erstellt": F.lit(batch_id),
         "batch_id_geaendert": F.lit(batch_id),
     }
-    inserted = fresh.withColumns(values).to(dim.schema)
+    inserted = fresh.withColumns(values).to(nullable(dim.schema))
     return Scd2Result(history.unionByName(unchanged), closed, inserted)
 
 

@@ -9,6 +9,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import moment
 from ..operators.calendar import calendar
 from ..operators.fx import LOOKBACK_DAYS, eur_rate_table
 from ..operators.integrity import unique_violations
@@ -142,7 +143,7 @@ class Control:
                 row = self._log_load_start(batch_id, system.name, table)
                 staged = stage(self.source.read(table), lade_datum, now)
                 staged = arrival_ids(staged, "stg_id", run=run)
-                staged = staged.withColumn("batch_id", F.lit(batch_id)).withColumn("ladezeit", F.lit(now))
+                staged = staged.withColumn("batch_id", F.lit(batch_id)).withColumn("ladezeit", moment(now))
                 count = self.store.stage_batch(table, staged, batch_id)
                 done.append((row, self.clock(), count))
                 row = None
@@ -192,7 +193,7 @@ class Control:
                 if self.on_duplicate == "latest" and target in transforms.CANONICAL_KEYS:
                     staged = transforms.latest_delivery(staged, target)
                 rows = transform(staged)
-                rows = arrival_ids(rows, "vor_id", run=run).withColumn("verarbeitungszeit", F.lit(now))
+                rows = arrival_ids(rows, "vor_id", run=run).withColumn("verarbeitungszeit", moment(now))
                 self.store.replace_batch(target, rows, batch_id)
                 self._check_unique(target, batch_id)
         finally:
@@ -246,9 +247,9 @@ class Control:
         rows = load.build(vor, keys)
         rows, rejected = resolved(rows, load.required, self.on_unresolved)
         if self.on_unresolved == "reject":
-            rejected.withColumn("erstellt_am", F.lit(now)).write.mode("append").parquet(
+            rejected.withColumn("erstellt_am", moment(now)).write.mode("append").parquet(
                 self.store.path(f"{load.target}_ABGELEHNT"))
-        rows = rows.withColumn(layout.time_column, F.lit(now).cast("timestamp"))
+        rows = rows.withColumn(layout.time_column, moment(now))
 
         if load.update is None:
             target = self.store.read(load.target)

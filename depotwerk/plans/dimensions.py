@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import canonical
+from ..functions import canonical, moment
 from ..operators.joins import anti
 from ..operators.keys import KeyTable, with_key
 from ..operators.scd2 import OPEN_END, Scd2Result, scd2
@@ -88,8 +88,8 @@ def new_depots(
         "gueltig_bis": F.lit(OPEN_END),
         "ist_aktuell": F.lit("J"),
         "dwh_version": F.lit(1),
-        "erstellt_am": F.lit(run_ts),
-        "geaendert_am": F.lit(run_ts),
+        "erstellt_am": moment(run_ts),
+        "geaendert_am": moment(run_ts),
     }
     return from_holdings.unionByName(from_trades).withColumns(values).to(layout.schema)
 

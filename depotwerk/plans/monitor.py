@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import de_date, de_timestamp, run_time
+from ..functions import de_date, de_timestamp, moment, run_time
 
 LOG_DAYS = 30
 
@@ -117,7 +117,7 @@ def process_log_view(log: DataFrame, run_date: date, days: int = LOG_DAYS) -> Da
 
 def load_log_view(log: DataFrame, run_ts: datetime, days: int = LOG_DAYS) -> DataFrame:
     """Load log of the last days, newest first, run time in seconds."""
-    since = F.lit(run_ts).cast("timestamp") - F.expr(f"interval {days} days")
+    since = moment(run_ts) - F.expr(f"interval {days} days")
     return (
         log.where(F.col("ladestart") >= since)
         .orderBy(F.col("log_id").desc())

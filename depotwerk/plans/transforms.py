@@ -37,6 +37,12 @@ def _project(df: DataFrame, table: str, computed: dict[str, Column]) -> DataFram
     return df.withColumns(computed).to(layout.schema_without(layout.id_column, layout.time_column))
 
 
+def _tidy(rows: DataFrame, texts: Sequence[str], codes: Sequence[str]) -> dict[str, Column]:
+    """Trimmed texts and upper-case codes, for the columns a delivery has."""
+    have = set(rows.columns)
+    return {**{c: clean(c) for c in texts if c in have}, **{c: canonical(c) for c in codes if c in have}}
+
+
 # Unique keys of the tables that are not deduplicated on their own, as they
 # look after normalisation.
 CANONICAL_KEYS = {
@@ -63,8 +69,7 @@ def transform_wertpapier(stg: DataFrame, *, order_by: Sequence[str] = ("stg_id",
     codes = ["wertpapiertyp", "asset_klasse", "sub_asset_klasse", "nominalwaehrung", "fondstyp",
              "ausschuettungsart", "handelswaehrung", "notizwaehrung"]
     return _project(rows, "VOR_WERTPAPIER", {
-        **{c: clean(c) for c in texts},
-        **{c: canonical(c) for c in codes},
+        **_tidy(rows, texts, codes),
         "land_iso3": canonical("land_emittent"),
         "quellsystem": F.lit(MASTER_DATA),
     })
@@ -77,8 +82,7 @@ def transform_fonds(stg: DataFrame, *, order_by: Sequence[str] = ("stg_id",)) ->
              "rechtliche_struktur"]
     codes = ["fondstyp", "asset_klasse", "fondswaehrung", "domizil_land", "ucits_konform", "status"]
     return _project(rows, "VOR_FONDS", {
-        **{c: clean(c) for c in texts},
-        **{c: canonical(c) for c in codes},
+        **_tidy(rows, texts, codes),
         "quellsystem": F.lit(MASTER_DATA),
     })
 

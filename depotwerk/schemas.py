@@ -83,6 +83,11 @@ COLUMN_TYPE.update({name: "string" for name in COLUMN_LENGTH})
 
 JA_NEIN = ("J", "N")
 
+
+def nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+
+
 _PLAIN = {"bigint": T.LongType(), "int": T.IntegerType(), "date": T.DateType(),
           "timestamp": T.TimestampType(), "string": T.StringType()}
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import moment
 from ..schemas import TABLES
 
 # Staging columns filled during staging, not delivered.
@@ -120,7 +121,7 @@ def rows_of_day(df: DataFrame, date_column: str, lade_datum: date | None) -> Dat
 
 def rows_changed_since(df: DataFrame, changed_column: str, since: datetime | None) -> DataFrame:
     """Delta delivery: rows changed after the last successful load; all rows on the first load."""
-    return df if since is None else df.where(F.col(changed_column) > F.lit(since).cast("timestamp"))
+    return df if since is None else df.where(F.col(changed_column) > moment(since))
 
 
 def last_load(log: DataFrame, table: str) -> datetime | None:

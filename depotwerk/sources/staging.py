@@ -14,7 +14,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import concat_text, empty_to_null
+from ..functions import concat_text, empty_to_null, moment
 from ..schemas import TABLES
 from .readers import rows_of_day
 
@@ -29,7 +29,7 @@ def _times_rate(amount: str) -> Column:
 
 def _stage(delivery: DataFrame, table: str, derived: dict[str, Column], run_ts: datetime) -> DataFrame:
     layout = TABLES[table]
-    now = F.lit(run_ts).cast("timestamp")
+    now = moment(run_ts)
     values = {"src_erstellt_am": now, "src_geaendert_am": now, **derived}
     return empty_to_null(delivery).withColumns(values).to(
         layout.schema_without(layout.id_column, layout.time_column, layout.partition))

@@ -281,7 +281,7 @@ class Tables:
 
     def log(self) -> DataFrame:
         # the end lies `value` seconds after the start
-        start = "ts AS prozessstart"
-        end = "CASE event_type WHEN 'view' THEN NULL ELSE ts + make_dt_interval(0, 0, 0, " \
+        start = "cast(ts AS timestamp) AS prozessstart"
+        end = "CASE event_type WHEN 'view' THEN NULL ELSE cast(ts AS timestamp) + make_dt_interval(0, 0, 0, " \
               "cast(value AS decimal(18,6))) END AS prozessende"
         return self.raw("events").selectExpr(*select_list(LOG), start, end)

@@ -22,6 +22,7 @@ from ..operators.scd2 import point_in_time, version_at
 from ..operators.weights import with_portfolio_weight
 from ..plans import dimensions, facts, monitor, transforms
 from ..schemas import TABLES
+from ..session import ensure_checkpoint_dir
 from ..sources import readers, seeds, staging
 from . import mapping
 from .mapping import ARRIVAL, Tables
@@ -174,7 +175,7 @@ def incremental_extract(t: Tables) -> DataFrame:
     log = t.log().withColumnRenamed("prozessstart", "ladestart").where("tabelle <> 'STG_KV_KURS' OR log_id % 4 = 0")
     since = readers.last_load(log, "STG_KV_KURS")
     return readers.rows_changed_since(
-        t.raw("events").select("event_id", "event_type", "ts"), "ts", since).select("event_id", "event_type")
+        t.raw("events").selectExpr("event_id", "event_type", "cast(ts AS timestamp) AS ts"), "ts", since).select("event_id", "event_type")
 
 
 # --- validation and normalisation -----------------------------------------
@@ -393,6 +394,7 @@ def _empty(t: Tables, table: str) -> DataFrame:
 
 
 def _security_loads(t: Tables, second: date) -> DataFrame:
+    ensure_checkpoint_dir(t.spark)
     land, branche, waehrung = reference_keys(t)
     dim = _empty(t, "DIM_WERTPAPIER")
     for number, day in ((1, FIRST_LOAD), (2, second)):
@@ -400,6 +402,8 @@ def _security_loads(t: Tables, second: date) -> DataFrame:
         dim = dimensions.load_wertpapier(
             dim, vor, laender=land, branchen=branche, waehrungen=waehrung,
             run_date=day, run_ts=RUN_TS, batch_id=number).snapshot()
+        if number == 1:
+            dim = dim.checkpoint()  # stands for the stored dimension the next load reads
     return dim
 
 
@@ -412,12 +416,15 @@ def scd2_security(t: Tables) -> DataFrame:
 
 @query
 def scd2_fund(t: Tables) -> DataFrame:
+    ensure_checkpoint_dir(t.spark)
     land, _, waehrung = reference_keys(t)
     dim = _empty(t, "DIM_FONDS")
     for number, day in ((1, FIRST_LOAD), (2, SECOND_LOAD)):
         vor = transforms.transform_fonds(t.delivery("STG_WP_FONDS_STAMMDATEN", number), order_by=["fonds_id"])
         dim = dimensions.load_fonds(dim, vor, laender=land, waehrungen=waehrung, run_date=day, run_ts=RUN_TS,
                                     batch_id=number).snapshot()
+        if number == 1:
+            dim = dim.checkpoint()
     return dim.select("fonds_id", "dwh_version", "gueltig_von", "gueltig_bis", "ist_aktuell", "fondsname", "kag_name",
                       "fondswaehrung_id", "domizil_land_id", "batch_id_erstellt", "batch_id_geaendert")
 
@@ -590,12 +597,12 @@ RETENTION_TS = datetime(2024, 4, 15, 0, 0, 0)
 
 @query
 def retention(t: Tables) -> DataFrame:
-    return retain(t.raw("events").select("event_id", "ts"), "ts", RETENTION_TS).select("event_id")
+    return retain(t.raw("events").selectExpr("event_id", "cast(ts AS timestamp) AS ts"), "ts", RETENTION_TS).select("event_id")
 
 
 @query
 def retention_batches(t: Tables) -> DataFrame:
-    rows = t.raw("events").selectExpr(f"{mapping.floor_div('event_id', 50)} AS batch_id", "ts")
+    rows = t.raw("events").selectExpr(f"{mapping.floor_div('event_id', 50)} AS batch_id", "cast(ts AS timestamp) AS ts")
     return expired_batches(rows, "ts", RETENTION_TS).select("batch_id", "anzahl")
 
 
