@@ -14,6 +14,9 @@ DEFAULTS = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
+    # the JIT compiler skips methods above 8000 bytecodes: wide projections run
+    # faster as several small methods than as one that is never compiled
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # without call-site capture plans are built about ten times faster
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
