@@ -15,7 +15,7 @@ DAY = date(2024, 1, 15)
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", "local[4]", spark__sql__shuffle__partitions="4",
-                            spark__driver__memory="4g", spark__driver__host="localhost")
+                            spark__driver__memory="4g", spark__ui__showConsoleProgress="false", spark__driver__host="localhost")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
