@@ -244,7 +244,7 @@ class Control:
         now = self.clock()
         layout = TABLES[load.target]
         vor = self.store.read(load.source, batch_id=batch_id)
-        rows = load.build(vor, keys)
+        rows = self.store.work_table(load.target, load.build(vor, keys), batch_id)
         rows, rejected = resolved(rows, load.required, self.on_unresolved)
         if self.on_unresolved == "reject":
             rejected.withColumn("erstellt_am", moment(now)).write.mode("append").parquet(
@@ -272,8 +272,11 @@ class Control:
         self.load_dimensions(batch_id)
         keys = Keys.build(*[self.store.read(t) for t in
                             ("DIM_WERTPAPIER", "DIM_FONDS", "DIM_WAEHRUNG", "DIM_DEPOT")])
-        for load in FACT_LOADS:
-            self.load_fact(load, batch_id, keys, run)
+        try:
+            for load in FACT_LOADS:
+                self.load_fact(load, batch_id, keys, run)
+        finally:
+            self.store.discard_batches(batch_id)
 
     # --- entry points -----------------------------------------------------
 

@@ -6,7 +6,7 @@
   and readers take the newest finished one.
 * Log tables are append-only events.
 
-A single writer is assumed, as for the sequence-driven original.
+A single writer is assumed.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import TABLES, Table
+from ..schemas import TABLES, Table, nullable
 
 SNAPSHOTS_KEPT = 3
 
@@ -126,6 +126,16 @@ class Warehouse:
                 self.folders.drop(target)
             raise
 
+    def work_table(self, table: str, df: DataFrame, batch_id: int) -> DataFrame:
+        """Write an intermediate result once and read it back.
+
+        Checks and merges that look at the same rows several times then scan
+        the few columns they need instead of repeating the joins behind them.
+        """
+        path = f"{self.root}/_laden/{batch_id}/{table}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(nullable(df.schema)).parquet(path)
+
     def discard_batches(self, batch_id: int) -> None:
         self.folders.drop(f"{self.root}/_laden/{batch_id}")
 

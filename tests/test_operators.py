@@ -263,3 +263,21 @@ def test_store_replace_batch(spark, tmp_path):
     assert store.read(layout.name).count() == 1
     one = store.read(layout.name, batch_id=1)
     assert "PartitionFilters: [isnotnull(batch_id" in plan(one)
+
+
+def test_rates_up_to_the_own_batch(spark, tmp_path):
+    """A late batch delivers a newer rate; only 'all' lets an older batch see it."""
+    from depotwerk.plans.control import Control
+
+    control = Control(spark, str(tmp_path))
+    for number, day, kurs in ((1, 1, "0.5"), (2, 3, "0.7")):
+        fx = spark.createDataFrame([(number, number, TS, "USD", "EUR", date(2024, 1, day), "EZB", Decimal(kurs))],
+                                   "stg_id bigint, batch_id bigint, ladezeit timestamp, waehrung_von string, "
+                                   "waehrung_nach string, kursdatum date, kurstyp string, kurs decimal(20,8)")
+        control.store.stage_batch("STG_KV_WECHSELKURS", fx, number)
+        control.store.publish_batches(["STG_KV_WECHSELKURS"], number)
+    ask = spark.createDataFrame([(1, date(2024, 1, 4))], "batch_id bigint, d date")
+    for policy, rate in (("all", "0.7"), ("up_to_batch", "0.5")):
+        control.fx_batches = policy
+        got = with_eur_rate(ask, control.rates(1), currency=F.lit("USD"), on_date="d", spread_by=["d"])
+        assert got.first().wechselkurs_eur == Decimal(rate)
