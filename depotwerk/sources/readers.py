@@ -7,7 +7,7 @@ literal rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import date, datetime
 from typing import Protocol
@@ -130,7 +130,3 @@ def last_load(log: DataFrame, table: str) -> datetime | None:
         log.where((F.col("tabelle") == table) & (F.col("status") == "ERFOLGREICH"))
         .agg(F.max("ladestart")).first()[0]
     )
-
-
-def delivered_columns(table: str) -> Sequence[str]:
-    return delivery_schema(table).names
