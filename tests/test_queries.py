@@ -21,10 +21,10 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(driver.QUERIES) == set(driver.ORACLE)
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(driver.QUERIES))
 def test_query(spark, duck, name):
     df = driver.queries()[name](spark, SF)
     columns = sorted(df.columns)
