@@ -21,3 +21,27 @@ ORACLE = {
         FROM s
         QUALIFY rank <= 10""",
 }
+
+ORACLE["op9_near_dedup"] = r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w
+        FROM documents),
+    s AS (
+        SELECT doc_id, CASE
+            WHEN len(w) = 0 THEN []
+            WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS s
+        FROM w),
+    e AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
+    l AS MATERIALIZED (
+        SELECT x.doc_id AS a, y.doc_id AS b
+        FROM e x JOIN e y ON x.t = y.t AND x.doc_id <> y.doc_id
+        GROUP BY x.doc_id, y.doc_id, x.n, y.n
+        HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+    r(id, found) AS (
+        SELECT doc_id, doc_id FROM s
+        UNION
+        SELECT r.id, l.b FROM r JOIN l ON l.a = r.found)
+    SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, g.component_id, s.doc_id = g.component_id AS kept
+    FROM s JOIN (SELECT id, min(found) AS component_id FROM r GROUP BY id) g ON g.id = s.doc_id"""
