@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, near_dedup, packing, secret_scan, topk, toxicity
+from . import bpe, exact_dedup, langid, near_dedup, packing, secret_scan, suffix_dedup, topk, toxicity
 from .common import id_bucket, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -52,5 +52,10 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"), words=3, numerator=85)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_substrings(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_top_k, op3_packing, op4_language, op5_toxicity, op7_secrets, op8_bpe, op9_near_dedup)}
+    op1_exact_dedup, op2_top_k, op3_packing, op4_language, op5_toxicity, op7_secrets, op8_bpe, op9_near_dedup, op10_suffix_dedup)}
