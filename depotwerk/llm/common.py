@@ -148,3 +148,29 @@ def word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     ends[:-1] &= gap[1:] | edge[1:-1]
     begin = np.flatnonzero(starts)
     return begin, np.flatnonzero(ends) + 1, np.searchsorted(begin, at)
+
+
+def window_extremes(values: np.ndarray, width: int, largest: bool = False) -> np.ndarray:
+    """Smallest (or largest) of every ``width`` neighbours, by doubling."""
+    pick = np.maximum if largest else np.minimum
+    out, done = values, 1
+    while 2 * done <= width:
+        out, done = pick(out[:-done], out[done:]), 2 * done
+    rest = width - done
+    return pick(out[: len(out) - rest], out[rest:]) if rest else out
+
+
+def window_anchors(values: np.ndarray, low: np.ndarray, width: int) -> np.ndarray:
+    """Positions that are the smallest of some window; ``low`` holds the smallest of each window."""
+    pad = np.zeros(width - 1, values.dtype)
+    return np.flatnonzero(values == window_extremes(np.concatenate([pad, low, pad]), width, largest=True))
+
+
+def leftmost_anchor(values: np.ndarray, anchors: np.ndarray, low: np.ndarray, window: np.ndarray) -> np.ndarray:
+    """Where each of the windows has its smallest value first."""
+    index = np.searchsorted(anchors, window)
+    wrong = values[anchors[index]] != low[window]
+    while wrong.any():
+        index[wrong] += 1
+        wrong = values[anchors[index]] != low[window]
+    return anchors[index]

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, near_dedup, packing, secret_scan, suffix_dedup, topk, toxicity
+from . import bpe, exact_dedup, langid, near_dedup, packing, passages, secret_scan, suffix_dedup, topk, toxicity
 from .common import id_bucket, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -40,6 +40,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (bucket == 0).alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans"))
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.shared_passages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", F.size("passages").cast("long").alias("n_passages"), "passages")
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -58,4 +63,4 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_top_k, op3_packing, op4_language, op5_toxicity, op7_secrets, op8_bpe, op9_near_dedup, op10_suffix_dedup)}
+    op1_exact_dedup, op2_top_k, op3_packing, op4_language, op5_toxicity, op6_passages, op7_secrets, op8_bpe, op9_near_dedup, op10_suffix_dedup)}

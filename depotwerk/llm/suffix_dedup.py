@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.numbering import number_rows
-from .common import Prefixes, as_bytes, blocks, mix, written
+from .common import Prefixes, as_bytes, blocks, leftmost_anchor, mix, window_anchors, window_extremes, written
 
 LENGTH = 100
 GRAM = 40
@@ -51,16 +51,6 @@ MARK, RUN, REST = 0, 1, 2
 # ---------------------------------------------------------------- runs of windows
 
 
-def _window_minima(hashes: np.ndarray, largest: bool = False) -> np.ndarray:
-    """Smallest (or largest) of every _REACH neighbours, by doubling."""
-    pick = np.maximum if largest else np.minimum
-    out, width = hashes, 1
-    while 2 * width <= _REACH:
-        out, width = pick(out[:-width], out[width:]), 2 * width
-    rest = _REACH - width
-    return pick(out[: len(out) - rest], out[rest:]) if rest else out
-
-
 class Runs:
     """Runs of windows with one smallest hash in a block of texts."""
 
@@ -75,7 +65,7 @@ class Runs:
             return
         place = np.arange(n)
         self.hashes = self.prefix.of(place, place + GRAM)
-        self.low = low = _window_minima(self.hashes)
+        self.low = low = window_extremes(self.hashes, _REACH)
         doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
         inside = place[: len(low)] + LENGTH <= at[1:][doc[: len(low)]]
         other = np.ones(len(low), bool)
@@ -89,8 +79,7 @@ class Runs:
 
     def _tied(self) -> np.ndarray:
         """Whether the smallest hash of a run stands in it more than once: then its own windows may be equal."""
-        padded = np.concatenate([np.zeros(_REACH - 1, np.uint64), self.low, np.zeros(_REACH - 1, np.uint64)])
-        self.anchors = np.flatnonzero(self.hashes == _window_minima(padded, largest=True))
+        self.anchors = window_anchors(self.hashes, self.low, _REACH)
         lo = np.searchsorted(self.anchors, self.start)
         hi = np.searchsorted(self.anchors, self.stop - 1 + _REACH)
         size = hi - lo
@@ -214,15 +203,7 @@ def _cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every = Runs(data, at)
         window = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
         window = np.unique(window)
-        # leftmost smallest hash of each window: the next anchor with the window's minimum
-        low = every.low[window]
-        index = np.searchsorted(every.anchors, window)
-        anchor = every.anchors[index]
-        wrong = every.hashes[anchor] != low
-        while wrong.any():
-            index[wrong] += 1
-            anchor = every.anchors[index]
-            wrong = every.hashes[anchor] != low
+        anchor = leftmost_anchor(every.hashes, every.anchors, every.low, window)
         part = (anchor - window) // SLICE
         new = np.ones(len(window), bool)
         new[1:] = (window[1:] != window[:-1] + 1) | (anchor[1:] != anchor[:-1]) | (part[1:] != part[:-1])
