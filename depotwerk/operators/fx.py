@@ -19,18 +19,14 @@ PREFERRED_TYPE = "EZB"
 LOOKBACK_DAYS = 5
 RATE_TYPE = "decimal(15,8)"
 
-# Rank of a quote within a day as one number, so the reduction below stays a
-# hash aggregate: class bits on top, arrival number (below 2**61) under them.
-_CLASS_SHIFT = 61
-
 
 def _quotes(fx: DataFrame, allow_inverse: bool) -> DataFrame:
-    """(waehrung, kursdatum, batch_id, kurs, rang) of every quote against EUR."""
+    """(waehrung, kursdatum, batch_id, kurs, klasse, stg_id) of every quote against EUR."""
     von, nach = canonical("waehrung_von"), canonical("waehrung_nach")
     preferred = F.when(canonical("kurstyp") == PREFERRED_TYPE, 1).otherwise(0)
 
     def pick(currency: Column, home: Column, kurs: Column, direct: int) -> DataFrame:
-        klass = (preferred + F.lit(2 * direct)).cast("bigint")
+        klass = preferred + F.lit(2 * direct)
         return (
             fx.where((home == HOME) & F.col("kurs").isNotNull() & F.col("kursdatum").isNotNull())
             .select(
@@ -38,7 +34,8 @@ def _quotes(fx: DataFrame, allow_inverse: bool) -> DataFrame:
                 "kursdatum",
                 "batch_id",
                 kurs.cast(RATE_TYPE).alias("kurs"),
-                (F.shiftleft(klass, _CLASS_SHIFT) + F.col("stg_id").cast("bigint")).alias("rang"),
+                klass.alias("klasse"),
+                "stg_id",
             )
             .where(F.col("waehrung").isNotNull())
         )
@@ -53,34 +50,30 @@ def _quotes(fx: DataFrame, allow_inverse: bool) -> DataFrame:
 def eur_rate_table(
     fx: DataFrame, *, lookback: int = LOOKBACK_DAYS, allow_inverse: bool = False
 ) -> DataFrame:
-    """One row per (waehrung, gilt_am): the look-back rate and the rates of that very day per batch.
+    """Two tiers of (waehrung, gilt_am, batch_id, kurs), one row per key.
 
-    The quotes are reduced to one per currency, day and batch before anything
-    is shuffled or widened, so the size of the result depends on the number of
-    currencies and days only.  ``am_tag`` maps batch ids to that batch's rate.
+    With a batch id: the rate that batch delivered for that very day.  Without
+    one: the look-back rate of the day.  Quotes are reduced to one per
+    currency, day and batch before anything is widened, and no row gathers a
+    list, so the number of batches does not matter.
     """
     per_batch = (
         _quotes(fx, allow_inverse)
         .groupBy("waehrung", "kursdatum", "batch_id")
-        .agg(F.max_by("kurs", "rang").alias("kurs"), F.max("rang").alias("rang"))
+        .agg(F.max(F.struct("klasse", "stg_id", "kurs")).alias("bester"))
     )
+    exact = per_batch.select("waehrung", F.col("kursdatum").alias("gilt_am"), "batch_id", "bester.kurs")
     per_day = per_batch.groupBy("waehrung", "kursdatum").agg(
-        F.max_by(
-            "kurs", F.struct(F.shiftright("rang", _CLASS_SHIFT), "batch_id", "rang")
-        ).alias("kurs"),
-        # one entry per batch that delivered this day
-        F.map_from_entries(F.collect_list(F.struct("batch_id", "kurs"))).alias("am_tag"),
-    )
+        F.max(F.struct("bester.klasse", "batch_id", "bester.stg_id", "bester.kurs")).alias("bester"))
     # each day stays valid for itself and the next `lookback` days; the
     # youngest valid day wins, which turns the range condition into equality
-    return (
+    newest = (
         per_day.withColumn("alter", F.explode(F.sequence(F.lit(0), F.lit(lookback))))
         .groupBy("waehrung", F.date_add("kursdatum", F.col("alter")).alias("gilt_am"))
-        .agg(
-            F.min_by("kurs", "alter").alias("letzter"),
-            F.first(F.when(F.col("alter") == 0, F.col("am_tag")), ignorenulls=True).alias("am_tag"),
-        )
+        .agg(F.min(F.struct("alter", "bester.kurs")).alias("letzter"))
+        .select("waehrung", "gilt_am", F.lit(None).cast("bigint").alias("batch_id"), "letzter.kurs")
     )
+    return exact.where("batch_id is not null").unionByName(newest)
 
 
 def with_eur_rate(
@@ -96,22 +89,22 @@ def with_eur_rate(
 ) -> DataFrame:
     """Add the EUR rate of ``currency`` on ``on_date`` for the row's own batch.
 
-    ``rates`` comes from :func:`eur_rate_table`.  One join serves both tiers.
+    ``rates`` comes from :func:`eur_rate_table`; each tier is one lookup.
     """
-    joined = lookup(
-        rows.withColumn("waehrung__fx", currency).withColumn("gilt_am__fx", F.col(on_date)),
-        rates.withColumnsRenamed({"waehrung": "waehrung__fx", "gilt_am": "gilt_am__fx"}),
-        ["waehrung__fx", "gilt_am__fx"],
-        spread_by=spread_by,
-        table_rows=rate_rows,
-        max_rows=max_rows,
-    )
-    same_batch = F.try_element_at(F.col("am_tag"), F.col("batch_id"))
+    asked = rows.withColumns({"waehrung__fx": currency, "gilt_am__fx": F.col(on_date), "batch__fx": F.col("batch_id")})
+
+    def add(asked: DataFrame, tier: DataFrame, on: dict[str, str], into: str) -> DataFrame:
+        return lookup(asked, tier.withColumnsRenamed({**on, "kurs": into}), list(on.values()),
+                      spread_by=spread_by, table_rows=rate_rows, max_rows=max_rows)
+
+    day = {"waehrung": "waehrung__fx", "gilt_am": "gilt_am__fx"}
+    joined = add(asked, rates.where("batch_id is not null"), {**day, "batch_id": "batch__fx"}, "am_tag__fx")
+    joined = add(joined, rates.where("batch_id is null").drop("batch_id"), day, "letzter__fx")
     rate = F.when(F.col("waehrung__fx") == HOME, F.lit(1).cast(RATE_TYPE)).otherwise(
-        F.coalesce(same_batch, F.col("letzter"))
+        F.coalesce("am_tag__fx", "letzter__fx")
     )
     return joined.withColumn(into, rate.cast(RATE_TYPE)).drop(
-        "waehrung__fx", "gilt_am__fx", "letzter", "am_tag"
+        "waehrung__fx", "gilt_am__fx", "batch__fx", "letzter__fx", "am_tag__fx"
     )
 
 

@@ -1,9 +1,10 @@
 """Key joins that stay balanced when one key holds a large share of the rows.
 
-``lookup`` first counts the lookup side.  Up to ``BROADCAST_ROWS`` it is
-broadcast and the rows never move.  Beyond that the rows are shuffled by key,
-and keys that occur too often for one task are cut into pieces: the hot rows
-get a piece number, the matching lookup row is copied once per piece.
+``lookup`` first counts the lookup side.  Up to a bound of rows and of
+estimated bytes it is broadcast and the rows never move.  Beyond that the rows
+are shuffled by key and piece: a row's piece comes from its other columns, and
+every lookup row is copied once per piece.  So a hot key is spread whatever it
+is, and each lookup uses the rows once: a chain of lookups reads its input once.
 """
 
 from __future__ import annotations
@@ -12,18 +13,32 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A lookup row is a short key plus a few numbers; a million of them is some
-# tens of MB in the hash table of an executor.
+# Bounds of a broadcast: rows, and bytes at the widths below.
 BROADCAST_ROWS = 1_000_000
-# Rows of one key that a single task may receive in a shuffle join.
-ROWS_PER_TASK = 5_000_000
+BROADCAST_BYTES = 128 << 20
+# Pieces of a key in a shuffle join.  Adaptive skew handling splits further.
+PIECES = 16
 
-_HASH, _PIECES, _PIECE = "__schluessel", "__teile", "__teil"
+_PIECE = "__teil"
 
 
-def small_enough(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    return table.count() <= max_rows
+def row_bytes(schema: T.StructType) -> int:
+    """Estimated width of a row: declared or assumed text lengths, eight bytes for the rest."""
+    def width(kind: T.DataType) -> int:
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return getattr(kind, "length", None) or 64
+        if isinstance(kind, T.StructType):
+            return sum(width(f.dataType) for f in kind.fields)
+        return 16
+    return sum(width(f.dataType) for f in schema.fields)
+
+
+def small_enough(table: DataFrame, max_rows: int = BROADCAST_ROWS, rows: int | None = None) -> bool:
+    """Whether a table may be broadcast; ``rows`` is an upper bound of its size, counted if not given."""
+    rows = table.count() if rows is None else rows
+    return rows <= max_rows and rows * row_bytes(table.schema) <= BROADCAST_BYTES
 
 
 def lookup(
@@ -35,55 +50,25 @@ def lookup(
     table_rows: int | None = None,
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Join ``table`` (one row per key) to ``rows``.
 
     ``spread_by`` names columns that tell the rows of one key apart; they
-    decide the piece of a hot key.  ``table_rows`` is an upper bound of the
+    decide the piece of a row.  ``table_rows`` is an upper bound of the
     table size when the caller knows one, which saves the count.
     """
-    bound = table.count() if table_rows is None else table_rows
-    if bound <= max_rows:
+    if small_enough(table, max_rows, table_rows):
         return rows.join(F.broadcast(table), list(on), how)
-    return split_hot_join(rows, table, on, spread_by=spread_by, how=how, rows_per_task=rows_per_task)
+    return split_hot_join(rows, table, on, spread_by=spread_by, how=how)
 
 
 def split_hot_join(
-    rows: DataFrame,
-    table: DataFrame,
-    on: Sequence[str],
-    *,
-    spread_by: Sequence[str],
-    how: str = "left",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows: DataFrame, table: DataFrame, on: Sequence[str], *, spread_by: Sequence[str], how: str = "left",
+    pieces: int = PIECES,
 ) -> DataFrame:
-    """Shuffle join with hot keys cut into pieces of about ``rows_per_task`` rows.
-
-    The hot list has at most ``rows / rows_per_task`` entries of two numbers,
-    so broadcasting it is safe whatever the data looks like.  A NULL key is a
-    key like any other here: it is cut into pieces too.
-    """
-    key = F.xxhash64(*on)
-    hot = (
-        rows.groupBy(key.alias(_HASH))
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > rows_per_task)
-        .select(_HASH, F.ceil(F.col("n") / F.lit(rows_per_task)).cast("int").alias(_PIECES))
-    )
-    last_piece = F.coalesce(F.col(_PIECES), F.lit(1)) - 1
-    left = (
-        rows.withColumn(_HASH, key)
-        .join(F.broadcast(hot), _HASH, "left")
-        .withColumn(_PIECE, F.pmod(F.xxhash64(*spread_by), last_piece + 1).cast("int"))
-        .drop(_HASH, _PIECES)
-    )
-    right = (
-        table.withColumn(_HASH, key)
-        .join(F.broadcast(hot), _HASH, "left")
-        .withColumn(_PIECE, F.explode(F.sequence(F.lit(0), last_piece)))
-        .drop(_HASH, _PIECES)
-    )
+    """Shuffle join in which every key is cut into ``pieces``, NULL keys too."""
+    left = rows.withColumn(_PIECE, F.pmod(F.xxhash64(*spread_by), F.lit(pieces)).cast("int"))
+    right = table.withColumn(_PIECE, F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
     return left.join(right, [*on, _PIECE], how).drop(_PIECE)
 
 

@@ -1,13 +1,13 @@
 """Surrogate keys.
 
 ``number_rows`` gives gap-free numbers in a stated order (new dimension rows).
-``arrival_ids`` gives unique, increasing numbers without moving a row (staged,
-validated and fact rows, where the number only has to be unique).
+``arrival_ids`` numbers rows in the order of delivery without moving a row
+(staged, validated and fact rows).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,9 @@ from ..session import ensure_checkpoint_dir
 # monotonically_increasing_id() keeps the position inside the task in 33 bits.
 _POSITION_BITS = 33
 
+# File and part of the file a row comes from.
+ARRIVAL = ("__datei", "__block")
+
 
 def number_rows(
     df: DataFrame, order_by: Sequence[str], into: str, *, start: int = 1, partitions: int | None = None
@@ -55,20 +58,33 @@ def number_rows(
     )
 
 
-def arrival_ids(df: DataFrame, into: str, *, run: int) -> DataFrame:
-    """Unique ids that follow the order in which Spark reads the rows.
+def with_arrival(df: DataFrame) -> DataFrame:
+    """Rows of a file scan with the file and the part of it they come from."""
+    return df.withColumns({
+        ARRIVAL[0]: F.col("_metadata.file_path"), ARRIVAL[1]: F.col("_metadata.file_block_start")})
+
+
+def arrival_ids(df: DataFrame, into: str, reserve: Callable[[int], int]) -> DataFrame:
+    """Gap-free ids in the order of delivery: file name, then position in the file.
 
-    An id packs the number of the load run, the task and the position in the
-    task.  Runs never repeat, so no table has to be read to find a free number
-    and no row moves.  The layout holds 2**17 runs, 2**18 tasks per write and
-    2**26 rows per task; a write beyond that fails instead of repeating ids.
+    ``df`` carries the columns of :func:`with_arrival` (dropped here) and only
+    narrow operations after the scan.  ``reserve(n)`` sets ``n`` numbers aside
+    and returns the first.  Row counts per file part come to the driver, no row
+    moves, and neither rows, tasks nor loads are limited.
     """
-    task = F.spark_partition_id().cast("bigint")
-    position = F.monotonically_increasing_id().bitwiseAND((1 << _POSITION_BITS) - 1)
-    packed = F.lit(run) * (1 << 44) + task * (1 << 26) + position
-    fits = (task < (1 << 18)) & (position < (1 << 26))
-    return df.withColumn(
-        into, F.when(fits, packed).otherwise(F.raise_error(F.lit("too many rows per task for an id")).cast("bigint"))
+    marked = df.withColumn("__stelle", F.monotonically_increasing_id())
+    parts = marked.groupBy(*ARRIVAL).agg(F.count("*").alias("n"), F.min("__stelle").alias("erste")).collect()
+    parts.sort(key=lambda r: (r[ARRIVAL[0]], r[ARRIVAL[1]]))
+    number = reserve(sum(r["n"] for r in parts))
+    shifts = []
+    for r in parts:
+        shifts.append((r[ARRIVAL[0]], r[ARRIVAL[1]], number - r["erste"]))
+        number += r["n"]
+    table = df.sparkSession.createDataFrame(shifts, f"{ARRIVAL[0]} string, {ARRIVAL[1]} bigint, __versatz bigint")
+    return (
+        marked.join(F.broadcast(table), list(ARRIVAL))  # one row per file part
+        .withColumn(into, F.col("__stelle") + F.col("__versatz"))
+        .drop("__stelle", "__versatz", *ARRIVAL)
     )
 
 

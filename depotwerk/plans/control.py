@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import contextmanager
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from ..operators.fx import LOOKBACK_DAYS, eur_rate_table
 from ..operators.integrity import unique_violations
 from ..operators.keys import KeyTable
 from ..operators.merge import DuplicateKeyError, insert_if_absent, one_per_key, resolved, upsert
-from ..operators.numbering import arrival_ids, next_number
+from ..operators.numbering import ARRIVAL, arrival_ids, next_number, with_arrival
 from ..operators.retention import RETENTION_DAYS, expired_batches
 from ..schemas import STAGING, TABLES, VALIDATED
 from ..sources import seeds
@@ -129,7 +129,7 @@ class Control:
 
     # --- phase 1: staging -------------------------------------------------
 
-    def load_source(self, system: SourceSystem, batch_id: int, lade_datum: date, run: int) -> None:
+    def load_source(self, system: SourceSystem, batch_id: int, lade_datum: date) -> None:
         """Stage all tables of one source system.
 
         The tables become visible together after the last one is written, and
@@ -141,8 +141,8 @@ class Control:
         try:
             for table, stage in system.loads:
                 row = self._log_load_start(batch_id, system.name, table)
-                staged = stage(self.source.read(table), lade_datum, now)
-                staged = arrival_ids(staged, "stg_id", run=run)
+                staged = stage(self._delivery(table, batch_id), lade_datum, now)
+                staged = self._numbered(table, staged, "stg_id")
                 staged = staged.withColumn("batch_id", F.lit(batch_id)).withColumn("ladezeit", moment(now))
                 count = self.store.stage_batch(table, staged, batch_id)
                 done.append((row, self.clock(), count))
@@ -158,10 +158,24 @@ class Control:
         for entry, ended, count in done:
             self._log_load_end(entry, ended, count, "ERFOLGREICH")
 
-    def run_full_staging(self, batch_id: int, lade_datum: date, run: int) -> None:
+    def _delivery(self, table: str, batch_id: int) -> DataFrame:
+        """The delivery with the order of its rows.
+
+        Files have an order.  What comes from elsewhere is written first, in the
+        order in which the source returns it, and read from those files.
+        """
+        delivery = self.source.read(table)
+        if set(ARRIVAL) <= set(delivery.columns):
+            return delivery
+        return with_arrival(self.store.work_table(f"{table}_LIEFERUNG", delivery, batch_id))
+
+    def _numbered(self, table: str, rows: DataFrame, into: str) -> DataFrame:
+        return arrival_ids(rows, into, lambda n: self.store.reserve(table, n))
+
+    def run_full_staging(self, batch_id: int, lade_datum: date) -> None:
         """All source systems: master data, prices, accounting."""
         for system in SOURCE_SYSTEMS:
-            self.load_source(system, batch_id, lade_datum, run)
+            self.load_source(system, batch_id, lade_datum)
         self.store.discard_batches(batch_id)
 
     # --- phase 2: transformation ------------------------------------------
@@ -170,9 +184,22 @@ class Control:
         fx = self.store.read("STG_KV_WECHSELKURS")
         if self.fx_batches == "up_to_batch":
             fx = fx.where(F.col("batch_id") <= batch_id)
+        first, last = self._dates(batch_id)
+        if first is not None:  # only the days the rows of the batch can ask for
+            fx = fx.where(F.col("kursdatum").between(first - timedelta(days=self.lookback), last))
         return eur_rate_table(fx, lookback=self.lookback, allow_inverse=self.allow_inverse)
 
-    def run_transformation(self, batch_id: int, run: int) -> None:
+    def _dates(self, batch_id: int) -> tuple[date | None, date | None]:
+        """First and last date of the rows of a batch that are converted."""
+        days = None
+        for table, column in (("STG_KV_KURS", "kursdatum"), ("STG_FB_BESTAND", "bewertungsdatum"),
+                              ("STG_FB_TRANSAKTION", "handelsdatum"), ("STG_FB_FONDSBEWEGUNG", "handelsdatum")):
+            part = self.store.read(table, batch_id=batch_id).agg(F.min(column).alias("first"), F.max(column).alias("last"))
+            days = part if days is None else days.unionByName(part)
+        row = days.agg(F.min("first"), F.max("last")).first()
+        return row[0], row[1]
+
+    def run_transformation(self, batch_id: int) -> None:
         """All seven transforms.  The rate table is built once and kept for the four conversions."""
         now = self.clock()
         table = self.rates(batch_id).persist()
@@ -193,11 +220,13 @@ class Control:
                 if self.on_duplicate == "latest" and target in transforms.CANONICAL_KEYS:
                     staged = transforms.latest_delivery(staged, target)
                 rows = transform(staged)
-                rows = arrival_ids(rows, "vor_id", run=run).withColumn("verarbeitungszeit", moment(now))
+                stored = with_arrival(self.store.work_table(target, rows, batch_id))
+                rows = self._numbered(target, stored, "vor_id").withColumn("verarbeitungszeit", moment(now))
                 self.store.replace_batch(target, rows, batch_id)
                 self._check_unique(target, batch_id)
         finally:
             table.unpersist()
+            self.store.discard_batches(batch_id)
 
     def _check_unique(self, table: str, batch_id: int) -> None:
         """The unique key of a validated table; repeats stop the load unless 'latest' handles them."""
@@ -240,21 +269,21 @@ class Control:
     def _publish_dimension(self, table: str, snapshot: DataFrame, order: list[str], start: int) -> None:
         self.store.write_snapshot(table, assign_keys(snapshot, TABLES[table].id_column, order, start))
 
-    def load_fact(self, load: FactLoad, batch_id: int, keys: Keys, run: int) -> int:
+    def load_fact(self, load: FactLoad, batch_id: int, keys: Keys) -> int:
         now = self.clock()
         layout = TABLES[load.target]
         vor = self.store.read(load.source, batch_id=batch_id)
-        rows = self.store.work_table(load.target, load.build(vor, keys), batch_id)
+        rows = with_arrival(self.store.work_table(load.target, load.build(vor, keys), batch_id))
+        # numbers of rows that turn out to be known already stay unused
+        rows = self._numbered(load.target, rows, layout.id_column)
         rows, rejected = resolved(rows, load.required, self.on_unresolved)
         if self.on_unresolved == "reject":
-            rejected.withColumn("erstellt_am", moment(now)).write.mode("append").parquet(
-                self.store.path(f"{load.target}_ABGELEHNT"))
+            self.store.replace_rejects(load.target, rejected.drop(layout.id_column).withColumn("erstellt_am", moment(now)), batch_id)
         rows = rows.withColumn(layout.time_column, moment(now))
 
         if load.update is None:
             target = self.store.read(load.target)
             fresh = insert_if_absent(target, rows, load.keys)
-            fresh = arrival_ids(fresh, layout.id_column, run=run)
             return self.store.write_months(load.target, fresh, load.date_key, replace=False)
 
         rows = one_per_key(rows, load.keys)
@@ -263,18 +292,16 @@ class Control:
         if not months:
             return 0
         merged = upsert(self.store.read(load.target, months=months), rows, load.keys, load.update)
-        numbered = arrival_ids(merged, "__neu_id", run=run)
-        numbered = numbered.withColumn(layout.id_column, F.coalesce(layout.id_column, "__neu_id"))
-        return self.store.write_months(load.target, numbered, load.date_key, replace=True)
+        return self.store.write_months(load.target, merged, load.date_key, replace=True)
 
-    def run_zielbeladung(self, batch_id: int, run: int) -> None:
+    def run_zielbeladung(self, batch_id: int) -> None:
         """Dimensions, then facts."""
         self.load_dimensions(batch_id)
         keys = Keys.build(*[self.store.read(t) for t in
                             ("DIM_WERTPAPIER", "DIM_FONDS", "DIM_WAEHRUNG", "DIM_DEPOT")])
         try:
             for load in FACT_LOADS:
-                self.load_fact(load, batch_id, keys, run)
+                self.load_fact(load, batch_id, keys)
         finally:
             self.store.discard_batches(batch_id)
 
@@ -285,20 +312,20 @@ class Control:
         day = lade_datum or self.clock().date()
         batch_id = self.new_batch_id()
         with self._phase(batch_id, day, "GESAMT"):
-            with self._phase(batch_id, day, "STAGING") as run:
-                self.run_full_staging(batch_id, day, run)
-            with self._phase(batch_id, day, "TRANSFORMATION") as run:
-                self.run_transformation(batch_id, run)
-            with self._phase(batch_id, day, "ZIELBELADUNG") as run:
-                self.run_zielbeladung(batch_id, run)
+            with self._phase(batch_id, day, "STAGING"):
+                self.run_full_staging(batch_id, day)
+            with self._phase(batch_id, day, "TRANSFORMATION"):
+                self.run_transformation(batch_id)
+            with self._phase(batch_id, day, "ZIELBELADUNG"):
+                self.run_zielbeladung(batch_id)
         return batch_id
 
     def run_staging_only(self, lade_datum: date | None = None) -> int:
         """Stage one date and return the id the rows really carry."""
         day = lade_datum or self.clock().date()
         batch_id = self.new_batch_id()
-        with self._phase(batch_id, day, "STAGING") as run:
-            self.run_full_staging(batch_id, day, run)
+        with self._phase(batch_id, day, "STAGING"):
+            self.run_full_staging(batch_id, day)
         return batch_id
 
     def _batch_date(self, batch_id: int) -> date:
@@ -306,12 +333,12 @@ class Control:
         return day or self.clock().date()
 
     def run_transform_only(self, batch_id: int) -> None:
-        with self._phase(batch_id, self._batch_date(batch_id), "TRANSFORMATION") as run:
-            self.run_transformation(batch_id, run)
+        with self._phase(batch_id, self._batch_date(batch_id), "TRANSFORMATION"):
+            self.run_transformation(batch_id)
 
     def run_zielbeladung_only(self, batch_id: int) -> None:
-        with self._phase(batch_id, self._batch_date(batch_id), "ZIELBELADUNG") as run:
-            self.run_zielbeladung(batch_id, run)
+        with self._phase(batch_id, self._batch_date(batch_id), "ZIELBELADUNG"):
+            self.run_zielbeladung(batch_id)
 
     def last_batch_status(self) -> DataFrame:
         return monitor.last_batch_status(self.process_log())

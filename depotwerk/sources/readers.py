@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import moment
+from ..operators.numbering import with_arrival
 from ..schemas import TABLES
 
 # Staging columns filled during staging, not delivered.
@@ -29,6 +30,8 @@ DERIVED = {
     "STG_WP_STAMMDATEN": {"src_wertpapier_id"},
     "STG_WP_FONDS_STAMMDATEN": {"src_fonds_id"},
 }
+# Views that grow every day: a single connection cannot read them.
+LARGE = {"STG_FB_BESTAND", "STG_FB_TRANSAKTION", "STG_FB_FONDSBEWEGUNG", "STG_KV_KURS"}
 GENERATED = {"stg_id", "batch_id", "ladezeit", "src_erstellt_am", "src_geaendert_am"}
 
 
@@ -42,6 +45,30 @@ def delivery_schema(table: str) -> T.StructType:
     return T.StructType(fields)
 
 
+class MissingColumnsError(ValueError):
+    pass
+
+
+_PLAIN = str.maketrans({"ä": "ae", "ö": "oe", "ü": "ue", "ß": "ss"})
+
+
+def plain_name(name: str) -> str:
+    """A column name as the warehouse writes it: lower case, umlauts as two letters."""
+    return name.lower().translate(_PLAIN)
+
+
+def delivered(df: DataFrame, table: str) -> DataFrame:
+    """A delivery under the warehouse's column names; a column that is not delivered stops the load.
+
+    A missing column would otherwise be staged as NULL without a word.
+    """
+    named = df.toDF(*[plain_name(c) for c in df.columns])
+    missing = [c for c in delivery_schema(table).names if c not in named.columns]
+    if missing:
+        raise MissingColumnsError(f"{table}: not delivered: {', '.join(missing)}")
+    return named
+
+
 class Source(Protocol):
     def read(self, table: str) -> DataFrame: ...
 
@@ -66,8 +93,9 @@ def literal_rows(spark: SparkSession, table: str, rows: Iterable[Mapping]) -> Da
 class FileSource:
     """Deliveries as files: CSV with header, or Parquet.
 
-    CSV is read with the declared schema and fails on a malformed line instead
-    of loading NULLs.
+    CSV is read with the declared types, column by column under the names of
+    its header, and fails on a malformed line instead of loading NULLs.  Rows
+    carry the file they come from: a later file (by name) corrects an earlier one.
     """
 
     spark: SparkSession
@@ -76,13 +104,15 @@ class FileSource:
     options: Mapping[str, str] = field(default_factory=dict)
 
     def read(self, table: str) -> DataFrame:
-        reader = self.spark.read.schema(delivery_schema(table))
-        if self.format == "csv":
-            defaults = {"header": "true", "mode": "FAILFAST", "enforceSchema": "false"}
-            reader = reader.options(**{**defaults, **self.options})
-        else:
-            reader = reader.options(**self.options)
-        return reader.format(self.format).load(self.paths[table])
+        path = self.paths[table]
+        if self.format != "csv":
+            return with_arrival(self.spark.read.options(**self.options).format(self.format).load(path))
+        options = {"header": "true", "mode": "FAILFAST", "enforceSchema": "false", **self.options}
+        # the header decides which columns there are, the layout which types they have
+        names = self.spark.read.options(**{**options, "inferSchema": "false"}).csv(path).columns
+        types = {f.name: f.dataType for f in delivery_schema(table).fields}
+        schema = T.StructType([T.StructField(n, types.get(plain_name(n), T.StringType())) for n in names])
+        return with_arrival(self.spark.read.schema(schema).options(**options).csv(path))
 
 
 @dataclass
@@ -91,7 +121,8 @@ class JdbcSource:
 
     The date predicate added by the staging function is pushed into the remote
     query.  ``split`` names, per table, a numeric or date column with its bounds
-    and the number of parallel connections.
+    and the number of parallel connections; the large views need one, as a
+    view without it is read by one task over one connection.
     """
 
     spark: SparkSession
@@ -102,6 +133,8 @@ class JdbcSource:
     fetch_size: int = 10_000
 
     def options(self, table: str) -> dict[str, str]:
+        if table in LARGE and table not in self.split:
+            raise ValueError(f"{table}: state how to split the view over connections")
         opts = {"url": self.url, "dbtable": self.views[table], "fetchsize": str(self.fetch_size),
                 **self.properties}
         if table in self.split:

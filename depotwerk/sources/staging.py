@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import concat_text, empty_to_null, moment
+from ..operators.numbering import ARRIVAL
 from ..schemas import TABLES
-from .readers import rows_of_day
+from .readers import delivered, rows_of_day
 
 # Names of the source systems and the constant source status.
 ACCOUNTING, PRICE_FEED, MASTER_DATA = "FONDSBUCHHALTUNG", "KURSVERSORGUNG", "WERTPAPIERSTAMMDATEN"
@@ -31,8 +32,11 @@ def _stage(delivery: DataFrame, table: str, derived: dict[str, Column], run_ts:
     layout = TABLES[table]
     now = moment(run_ts)
     values = {"src_erstellt_am": now, "src_geaendert_am": now, **derived}
-    return empty_to_null(delivery).withColumns(values).to(
-        layout.schema_without(layout.id_column, layout.time_column, layout.partition))
+    schema = layout.schema_without(layout.id_column, layout.time_column, layout.partition)
+    for name in ARRIVAL:  # where a row comes from is kept until it has its number
+        if name in delivery.columns:
+            schema = schema.add(name, delivery.schema[name].dataType)
+    return empty_to_null(delivered(delivery, table)).withColumns(values).to(schema)
 
 
 def stage_bestand(delivery: DataFrame, lade_datum: date | None, run_ts: datetime) -> DataFrame:

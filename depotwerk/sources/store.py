@@ -41,6 +41,10 @@ class Folders:
         p, fs = self._path(path)
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
+    def make(self, path: str) -> None:
+        p, fs = self._path(path)
+        fs.mkdirs(p)
+
     def move(self, source: str, target: str) -> None:
         t, fs = self._path(target)
         fs.mkdirs(t.getParent())
@@ -136,6 +140,24 @@ class Warehouse:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(nullable(df.schema)).parquet(path)
 
+    def reserve(self, table: str, n: int) -> int:
+        """Set ``n`` numbers of a table aside and return the first.
+
+        The end of the numbers given out is the name of an empty folder, so no
+        table is scanned to find it; numbers of failed loads are not given out again.
+        """
+        root = f"{self.root}/_nummern/{table}"
+        ends = sorted(int(c.split("=")[1]) for c in self.folders.children(root))
+        last = ends[-1] if ends else 0
+        self.folders.make(f"{root}/bis={last + n}")
+        for old in ends[:-1]:
+            self.folders.drop(f"{root}/bis={old}")
+        return last + 1
+
+    def replace_rejects(self, table: str, df: DataFrame, batch_id: int) -> None:
+        """Rows of a batch that no dimension resolves; a rerun of the batch replaces them."""
+        df.drop("batch_id").write.mode("overwrite").parquet(f"{self.path(table)}_ABGELEHNT/batch_id={batch_id}")
+
     def discard_batches(self, batch_id: int) -> None:
         self.folders.drop(f"{self.root}/_laden/{batch_id}")
 

@@ -12,9 +12,9 @@ from depotwerk.operators import integrity, merge
 from depotwerk.operators.calendar import calendar
 from depotwerk.operators.dedupe import latest
 from depotwerk.operators.fx import eur_rate_table, with_eur_rate
-from depotwerk.operators.joins import anti, lookup, split_hot_join
+from depotwerk.operators.joins import PIECES, anti, lookup, small_enough, split_hot_join
 from depotwerk.operators.keys import KeyTable
-from depotwerk.operators.numbering import arrival_ids, number_rows
+from depotwerk.operators.numbering import arrival_ids, number_rows, with_arrival
 from depotwerk.operators.retention import retain
 from depotwerk.operators.scd2 import point_in_time, scd2, version_at
 from depotwerk.operators.weights import with_portfolio_weight
@@ -47,14 +47,32 @@ def test_hot_keys_are_split_without_changing_the_join(spark):
     left = spark.createDataFrame(data, "k string, n int").repartition(3)
     right = spark.createDataFrame(table, "k string, x int")
     for how in ("left", "inner"):
-        split = split_hot_join(left, right, ["k"], spread_by=["n"], how=how, rows_per_task=50)
+        split = split_hot_join(left, right, ["k"], spread_by=["n"], how=how)
         assert rows(split) == rows(left.join(right, "k", how))
-    forced = lookup(left, right, ["k"], spread_by=["n"], max_rows=0, rows_per_task=50)
+    forced = lookup(left, right, ["k"], spread_by=["n"], max_rows=0)
     assert "SortMergeJoin" in plan(forced) or "AdaptiveSparkPlan" in plan(forced)
     assert rows(forced) == rows(lookup(left, right, ["k"], spread_by=["n"]))
     # the hot key really lands in several pieces
-    pieces = left.where("k = 'hot'").select(F.pmod(F.xxhash64("n"), F.lit(18)).alias("p")).distinct().count()
-    assert pieces > 10
+    pieces = left.where("k = 'hot'").select(F.pmod(F.xxhash64("n"), F.lit(PIECES)).alias("p")).distinct().count()
+    assert pieces == PIECES
+
+
+def test_a_chain_of_lookups_reads_its_rows_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([(None if i % 7 == 0 else i % 3, i) for i in range(200)], "k int, n int").write.parquet(path)
+    table = spark.createDataFrame([(0, 10), (2, 12)], "k int, x int")
+    chained = small = spark.read.parquet(path)
+    for step in range(1, 6):
+        named = table.withColumnRenamed("x", f"x{step}")
+        chained = lookup(chained, named, ["k"], spread_by=["n"], max_rows=0)
+        small = lookup(small, named, ["k"], spread_by=["n"])
+        assert chained._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    assert rows(chained) == rows(small)
+
+
+def test_broadcasts_are_bounded_by_bytes(spark):
+    texts = spark.createDataFrame([("a", "b")], "k string, t string")
+    assert small_enough(texts, rows=1000) and not small_enough(texts, rows=2_000_000, max_rows=10**9)
 
 
 def test_anti_both_ways(spark):
@@ -138,9 +156,26 @@ def test_numbering(spark):
     got = {r.k: r.sk for r in number_rows(df, ["k"], "sk", start=11, partitions=4).collect()}
     assert got == {k: k + 11 for k in range(101)}
     assert number_rows(df.where("k < 0"), ["k"], "sk").count() == 0
-    a = {r.id for r in arrival_ids(df, "id", run=1).collect()}
-    b = {r.id for r in arrival_ids(df, "id", run=2).collect()}
-    assert len(a) == len(b) == 101 and max(a) < min(b)
+
+
+def test_arrival_follows_file_and_position(spark, tmp_path):
+    """Spark packs the largest files first; numbers follow the file names."""
+    spark.range(100, 110).coalesce(1).write.parquet(str(tmp_path / "d/1_first"))
+    spark.range(0, 5000).coalesce(1).write.parquet(str(tmp_path / "d/2_larger"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (before, "4k"):  # one task, and files cut into parts
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            df = with_arrival(spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "d")))
+            taken = []
+            got = arrival_ids(df, "nr", lambda n: taken.append(n) or 2**62).orderBy("nr").collect()
+            assert taken == [5010]
+            assert [r.id for r in got] == [*range(100, 110), *range(5000)]
+            assert [r.nr for r in got] == list(range(2**62, 2**62 + 5010))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    empty = arrival_ids(df.where("id < 0"), "nr", lambda n: 1)
+    assert empty.count() == 0 and "nr" in empty.columns
 
 
 def test_calendar(spark):

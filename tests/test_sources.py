@@ -5,7 +5,9 @@ from decimal import Decimal
 
 import pytest
 from conftest import DAY, sample_rows
+from pyspark.sql import functions as F
 
+from depotwerk.operators.numbering import ARRIVAL
 from depotwerk.schemas import TABLES
 from depotwerk.sources import readers, seeds, staging
 
@@ -17,7 +19,9 @@ def test_csv_and_parquet_deliveries(spark, tmp_path):
     want = sorted(map(tuple, rows.collect()))
     for kind, name in (("csv", "csv"), ("parquet", "pq")):
         source = readers.FileSource(spark, {"STG_KV_WECHSELKURS": str(tmp_path / name)}, format=kind)
-        assert sorted(map(tuple, source.read("STG_KV_WECHSELKURS").collect())) == want
+        got = source.read("STG_KV_WECHSELKURS")
+        assert set(ARRIVAL) <= set(got.columns)
+        assert sorted(map(tuple, got.select(*rows.columns).collect())) == want
 
 
 def test_broken_csv_fails(spark, tmp_path):
@@ -34,6 +38,8 @@ def test_jdbc_options(spark):
     assert source.options("STG_FB_BESTAND") == {
         "url": "jdbc:oracle:thin:@//host/db", "dbtable": "BESTAND_VIEW", "fetchsize": "10000", "user": "dwh",
         "partitionColumn": "positions_nr", "lowerBound": "1", "upperBound": "1000000", "numPartitions": "16"}
+    with pytest.raises(ValueError, match="split"):
+        readers.JdbcSource(spark, "jdbc:x", {"STG_KV_KURS": "KURS_VIEW"}).options("STG_KV_KURS")
 
 
 def test_staging_keeps_raw_values_and_filters_the_day(spark):
@@ -51,6 +57,18 @@ def test_staging_keeps_raw_values_and_filters_the_day(spark):
     assert set(staged.columns) == set(TABLES["STG_FB_BESTAND"].columns) - {"stg_id", "batch_id", "ladezeit"}
 
 
+def test_names_as_delivered_and_missing_columns(spark, tmp_path):
+    rows = readers.literal_rows(spark, "STG_WP_STAMMDATEN", sample_rows(DAY)["STG_WP_STAMMDATEN"])
+    rows = rows.withColumn("faelligkeitsdatum", F.lit(date(2030, 1, 1)))
+    named = rows.withColumnsRenamed({"faelligkeitsdatum": "Fälligkeitsdatum", "handelswaehrung": "handelswährung"})
+    named.coalesce(1).write.option("header", True).csv(str(tmp_path / "csv"))
+    source = readers.FileSource(spark, {"STG_WP_STAMMDATEN": str(tmp_path / "csv")})
+    staged = staging.stage_wertpapier(source.read("STG_WP_STAMMDATEN"), DAY, datetime(2024, 1, 15))
+    assert {(r.faelligkeitsdatum, r.handelswaehrung) for r in staged.collect()} == {(date(2030, 1, 1), "EUR"), (date(2030, 1, 1), "USD")}
+    with pytest.raises(readers.MissingColumnsError, match="handelswaehrung"):
+        staging.stage_wertpapier(rows.drop("handelswaehrung"), DAY, datetime(2024, 1, 15))
+
+
 def test_delta(spark):
     df = spark.createDataFrame([(1, datetime(2024, 1, 1)), (2, datetime(2024, 1, 2))], "n int, src_geaendert_am timestamp")
     assert readers.rows_changed_since(df, "src_geaendert_am", None).count() == 2
