@@ -39,13 +39,16 @@ def build_session(app: str = "depotwerk", master: str | None = None, **conf: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Checkpoint folder of the session.
 
-    The shared folder named in ``spark.checkpoint.dir`` wins.  A private
-    temporary folder is used only where nothing is set (local tests).
+    The shared folder named in ``spark.checkpoint.dir`` wins.  Where nothing is
+    set, a local session takes a folder of its own; on a cluster that would be
+    a machine-local folder, so the setting is asked for.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="depotwerk-checkpoint-"))
     return context.getCheckpointDir()

@@ -245,9 +245,6 @@ def select_list(exprs: dict[str, str]) -> list[str]:
     return [f"{e} AS {c}" for c, e in exprs.items()]
 
 
-GROWING = {"lineitem", "orders", "events"}
-
-
 class Tables:
     """The given tables and the staging rows derived from them."""
 
@@ -256,12 +253,8 @@ class Tables:
         self.dir = sf_dir.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        """A given table.  A file of few row groups is spread over the cores; larger inputs stay as they are."""
-        df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
-        cores = self.spark.sparkContext.defaultParallelism
-        if name in GROWING and df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-        return df
+        """A given table."""
+        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
     def _origin(self, table: str) -> DataFrame:
         if table == "STG_FB_BESTAND":
