@@ -292,7 +292,7 @@ def fact_upsert(ctes: str, rows: str, keys: list[str], update: list[str], cols:
     value = ", ".join(
         (f"CASE WHEN n.vorhanden THEN n.{c} ELSE o.{c} END" if c in update
          else f"CASE WHEN o.vorhanden THEN o.{c} ELSE n.{c} END") + f" AS {c}" for c in cols)
-    return f"""WITH {ctes}, fakt AS ({rows}),
+    return f"""WITH {ctes}, fakt AS MATERIALIZED ({rows}),
     o AS (SELECT *, true AS vorhanden FROM fakt WHERE batch_id = 1),
     n AS (SELECT *, true AS vorhanden FROM fakt WHERE batch_id = 2),
     m AS (SELECT {value} FROM o FULL OUTER JOIN n ON {match}) SELECT {out(*show)} FROM m"""
@@ -391,7 +391,7 @@ FLOW_FACTS = f"""SELECT {zeit('handelsdatum')} AS zeit_id_handel, {zeit('valutat
 
 
 def append(ctes: str, rows: str, key: str) -> str:
-    return f"""WITH {ctes}, {DIMS}, fakt AS ({rows}) SELECT * FROM fakt n WHERE batch_id = 2 AND NOT EXISTS (
+    return f"""WITH {ctes}, {DIMS}, fakt AS MATERIALIZED ({rows}) SELECT * FROM fakt n WHERE batch_id = 2 AND NOT EXISTS (
         SELECT 1 FROM fakt o WHERE o.batch_id = 1 AND o.{key} = n.{key} AND o.fonds_id = n.fonds_id)"""
 
 

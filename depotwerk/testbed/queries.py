@@ -467,9 +467,16 @@ def surrogate_keys(t: Tables) -> DataFrame:
 
 # --- facts ----------------------------------------------------------------
 
+def _stored(rows: DataFrame) -> DataFrame:
+    """Fact rows written once, as a load does, before both deliveries are taken from them."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    return rows.checkpoint()
+
+
 def _merged(rows: DataFrame, match: tuple[str, ...], update: list[str]) -> DataFrame:
     """First delivery as the table, second delivery as the upsert."""
     listed = [c for c in update if c != "erstellt_am"]
+    rows = _stored(rows)
     return merge.upsert(rows.where("batch_id = 1"), rows.where("batch_id = 2"), match, listed)
 
 
@@ -503,7 +510,7 @@ def upsert_holding(t: Tables) -> DataFrame:
 def append_trade(t: Tables) -> DataFrame:
     vor = with_row_id(transforms.transform_transaktionen(t.stg("STG_FB_TRANSAKTION", arrival=True), rates(t),
                                                          spread_by=ARRIVAL))
-    rows = facts.trade_rows(vor, keys(t)).drop("nominale")
+    rows = _stored(facts.trade_rows(vor, keys(t)).drop("nominale"))
     return merge.insert_if_absent(rows.where("batch_id = 1"), rows.where("batch_id = 2"),
                                   TABLES["FAKT_TRANSAKTION"].unique)
 
@@ -514,7 +521,7 @@ def append_flow(t: Tables) -> DataFrame:
     stg = t.stg("STG_FB_FONDSBEWEGUNG").withColumn(
         "bewegungs_id", F.floor(F.col("bewegungs_id").cast("bigint") / 3).cast("string"))
     vor = with_row_id(transforms.transform_fondsbewegungen(stg, rates(t), spread_by=["bewegungs_id"]))
-    rows = facts.flow_rows(vor, keys(t))
+    rows = _stored(facts.flow_rows(vor, keys(t)))
     return merge.insert_if_absent(rows.where("batch_id = 1"), rows.where("batch_id = 2"),
                                   TABLES["FAKT_FONDSBEWEGUNG"].unique)
 
