@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import moment
 from ..operators.calendar import calendar
 from ..operators.fx import LOOKBACK_DAYS, eur_rate_table
-from ..operators.integrity import unique_violations
+from ..operators.integrity import reference_violations, row_violations, unique_violations
 from ..operators.keys import KeyTable
 from ..operators.merge import DuplicateKeyError, insert_if_absent, one_per_key, resolved, upsert
 from ..operators.numbering import ARRIVAL, arrival_ids, next_number, with_arrival
@@ -33,6 +33,10 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+class IntegrityError(ValueError):
+    pass
+
+
 class Control:
     """One warehouse with its source and load policies.
 
@@ -40,6 +44,9 @@ class Control:
                        'latest' keeps the newest row.
     ``on_unresolved``  'fail' stops a load with unknown dimension keys,
                        'reject' writes those rows to ``<fact>_ABGELEHNT``.
+    ``on_integrity``   'report' leaves broken references and column rules to
+                       :meth:`check_integrity`, 'fail' stops a fact load on them
+                       (a date outside the calendar, for one).
     ``fx_batches``     'all' lets a conversion see rates of every batch,
                        'up_to_batch' only of batches up to its own.
     """
@@ -47,7 +54,7 @@ class Control:
     def __init__(
         self, spark: SparkSession, root: str, source: Source | None = None, *,
         clock: Callable[[], datetime] = utc_now,
-        on_duplicate: str = "fail", on_unresolved: str = "fail",
+        on_duplicate: str = "fail", on_unresolved: str = "fail", on_integrity: str = "report",
         fx_batches: str = "all", allow_inverse: bool = False, lookback: int = LOOKBACK_DAYS,
     ):
         self.spark = spark
@@ -56,6 +63,7 @@ class Control:
         self.clock = clock
         self.on_duplicate = on_duplicate
         self.on_unresolved = on_unresolved
+        self.on_integrity = on_integrity
         self.fx_batches = fx_batches
         self.allow_inverse = allow_inverse
         self.lookback = lookback
@@ -280,6 +288,8 @@ class Control:
         if self.on_unresolved == "reject":
             self.store.replace_rejects(load.target, rejected.drop(layout.id_column).withColumn("erstellt_am", moment(now)), batch_id)
         rows = rows.withColumn(layout.time_column, moment(now))
+        if self.on_integrity == "fail":
+            self._require_integrity(load.target, rows)
 
         if load.update is None:
             target = self.store.read(load.target)
@@ -294,6 +304,19 @@ class Control:
         merged = upsert(self.store.read(load.target, months=months), rows, load.keys, load.update)
         return self.store.write_months(load.target, merged, load.date_key, replace=True)
 
+    def check_integrity(self, table: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Repeated keys, values without a parent row, and rows that break a column rule of a stored table."""
+        rows, layout = self.store.read(table), TABLES[table]
+        repeated = unique_violations(rows, layout.unique) if layout.unique else rows.limit(0)
+        return repeated, reference_violations(rows, layout, self.store.read), row_violations(rows, layout)
+
+    def _require_integrity(self, table: str, rows: DataFrame) -> None:
+        layout = TABLES[table]
+        orphans = reference_violations(rows, layout, self.store.read).limit(3).collect()
+        broken = row_violations(rows, layout).select("regeln").limit(3).collect()
+        if orphans or broken:
+            raise IntegrityError(f"{table}: {[r.asDict() for r in [*orphans, *broken]]}")
+
     def run_zielbeladung(self, batch_id: int) -> None:
         """Dimensions, then facts."""
         self.load_dimensions(batch_id)

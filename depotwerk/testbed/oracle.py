@@ -606,6 +606,18 @@ ORACLE: dict[str, str] = {
         rule_count(c, f"LENGTH <= {n}", f"length({c}) > {n}")
         for c, n in (("transaktions_id", 100), ("fonds_id", 50), ("isin", 12), ("transaktionstyp", 20), ("waehrung", 3),
                      ("kontrahent", 200), ("depot_nr", 50))]),
+    "row_violations": f"WITH s AS ({stg('STG_FB_TRANSAKTION', broken=True, arrival=True)}), v AS (SELECT l_orderkey, l_linenumber, "
+        "concat_ws(', ', " + ", ".join(
+            [f"CASE WHEN {c} IS NULL THEN '{c} NOT NULL' END" + (f", CASE WHEN length({c}) > {n} THEN '{c} LENGTH <= {n}' END" if n else "")
+             for c, n in (("transaktions_id", 100), ("fonds_id", 50), ("isin", 12), ("transaktionstyp", 20), ("handelsdatum", 0))]
+            + ["CASE WHEN length(waehrung) > 3 THEN 'waehrung LENGTH <= 3' END"])
+        + ") AS regeln FROM s) SELECT * FROM v WHERE regeln <> ''",
+    "reference_violations": f"""WITH {TRADES}, {DIMS}, fakt AS MATERIALIZED ({TRADE_FACTS}), v AS (
+        """ + " UNION ALL ".join(
+            f"SELECT '{c}' AS spalte, cast({c} AS varchar) AS wert FROM fakt WHERE {c} NOT BETWEEN 19920101 AND 19961231"
+            for c in ("zeit_id_handel", "zeit_id_valuta", "zeit_id_buchung")) + """
+        UNION ALL SELECT 'fonds_sk', cast(fonds_sk AS varchar) FROM fakt WHERE fonds_sk > 5)
+        SELECT spalte, wert, count(*) AS anzahl FROM v GROUP BY ALL""",
     "allowed_value_violations": f"WITH {LOG} SELECT prozess_id, status FROM lg WHERE status NOT IN ('GESTARTET', 'FEHLER')",
     "current_row_violations": """SELECT 'DEPOT' || cast(n AS varchar) AS depot_nr, cast(2 AS bigint) AS anzahl
         FROM (SELECT DISTINCT user_id % 13 AS n FROM events) WHERE n % 2 = 0""",

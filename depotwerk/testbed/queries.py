@@ -640,6 +640,25 @@ def check_violations(t: Tables) -> DataFrame:
     return integrity.column_violations(t.stg("STG_FB_TRANSAKTION", broken=True), TABLES["STG_FB_TRANSAKTION"])
 
 
+@query
+def reference_violations(t: Tables) -> DataFrame:
+    """All foreign keys of the trade facts; the calendar ends early and some funds are unknown."""
+    vor = with_row_id(transforms.transform_transaktionen(t.stg("STG_FB_TRANSAKTION", arrival=True), rates(t), spread_by=ARRIVAL))
+    parents = {
+        "DIM_ZEIT": lambda: calendar(t.spark, date(1992, 1, 1), date(1996, 12, 31)),
+        "DIM_FONDS": lambda: funds(t).where("fonds_sk <= 5"), "DIM_WERTPAPIER": lambda: securities(t),
+        "DIM_DEPOT": lambda: depots(t), "DIM_WAEHRUNG": lambda: seeds.currencies(t.spark, RUN_TS),
+    }
+    return integrity.reference_violations(facts.trade_rows(vor, keys(t)), TABLES["FAKT_TRANSAKTION"], lambda name: parents[name]())
+
+
+@query
+def row_violations(t: Tables) -> DataFrame:
+    """The trades that break a rule of their layout, with the rules."""
+    rows = t.stg("STG_FB_TRANSAKTION", broken=True, arrival=True)
+    return integrity.row_violations(rows, TABLES["STG_FB_TRANSAKTION"]).select("l_orderkey", "l_linenumber", "regeln")
+
+
 @query
 def allowed_value_violations(t: Tables) -> DataFrame:
     bad = integrity.allowed_violations(t.log(), "status", ("GESTARTET", "FEHLER"))
