@@ -437,6 +437,9 @@ ORACLE: dict[str, str] = {
     "stage_fx": f"""WITH s AS ({stg('STG_KV_WECHSELKURS')}) SELECT waehrung_von, waehrung_nach,
         cast(kursdatum AS varchar) AS kursdatum, cast(kurs AS double) AS kurs,
         'WK-' || waehrung_von || waehrung_nach || strftime(kursdatum, '%Y%m%d') AS src_kurs_id FROM s""",
+    "delivery_order": f"""WITH s AS ({stg('STG_KV_WECHSELKURS')}) SELECT waehrung_von, waehrung_nach,
+        cast(kursdatum AS varchar) AS kursdatum, kurstyp, cast(max(kurs) AS double) AS kurs,
+        'WK-' || waehrung_von || waehrung_nach || strftime(kursdatum, '%Y%m%d') AS src_kurs_id FROM s GROUP BY ALL""",
     "stage_securities": f"""WITH s AS ({delivery('STG_WP_STAMMDATEN', 2)}) SELECT isin, bezeichnung_lang, wertpapiertyp,
         branche_code, cast(faelligkeitsdatum AS varchar) AS faelligkeitsdatum, isin AS src_wertpapier_id FROM s""",
     "stage_funds": f"""WITH s AS ({delivery('STG_WP_FONDS_STAMMDATEN', 2)}) SELECT fonds_id, fondsname, fondswaehrung,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -16,7 +17,7 @@ from ..operators.calendar import calendar, describe_days
 from ..operators.dedupe import latest
 from ..operators.fx import eur_rate_table, with_eur_rate
 from ..operators.keys import KeyTable, with_key
-from ..operators.numbering import number_rows
+from ..operators.numbering import arrival_ids, number_rows
 from ..operators.retention import expired_batches, retain
 from ..operators.scd2 import point_in_time, version_at
 from ..operators.weights import with_portfolio_weight
@@ -465,6 +466,23 @@ def surrogate_keys(t: Tables) -> DataFrame:
     return number_rows(t.raw("orders").select("o_orderkey"), ["o_orderkey"], "sk", start=1001).select("o_orderkey", "sk")
 
 
+@query
+def delivery_order(t: Tables) -> DataFrame:
+    """A small first delivery and a larger correction as files: staged, numbered and reduced to the latest.
+
+    Spark reads the larger file first; the numbers follow the names of the files.
+    """
+    keys = ["waehrung_von", "waehrung_nach", "kursdatum", "kurstyp"]
+    quotes = t.stg("STG_KV_WECHSELKURS").groupBy(*keys).agg(F.min("kurs").alias("erster"), F.max("kurs").alias("kurs"))
+    root = f"{ensure_checkpoint_dir(t.spark)}/lieferung-{uuid.uuid4().hex}"
+    first = quotes.where("day(kursdatum) % 2 = 0").select(*keys, F.col("erster").alias("kurs"))
+    first.write.parquet(f"{root}/1_erste")
+    quotes.select(*keys, "kurs").write.parquet(f"{root}/2_korrektur")
+    source = readers.FileSource(t.spark, {"STG_KV_WECHSELKURS": root}, "parquet", {"recursiveFileLookup": "true"})
+    staged = staging.stage_wechselkurs(source.read("STG_KV_WECHSELKURS"), None, RUN_TS)
+    return latest(arrival_ids(staged, "stg_id", lambda n: 1), keys).select(*keys, "kurs", "src_kurs_id")
+
+
 # --- facts ----------------------------------------------------------------
 
 def _stored(rows: DataFrame) -> DataFrame:
