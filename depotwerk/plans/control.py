@@ -218,7 +218,8 @@ class Control:
                 ("VOR_FONDS", lambda s: transforms.transform_fonds(s), "STG_WP_FONDS_STAMMDATEN"),
                 ("VOR_WECHSELKURS", lambda s: transforms.transform_wechselkurse(s), "STG_KV_WECHSELKURS"),
                 ("VOR_KURS", lambda s: transforms.transform_kurse(s, rates), "STG_KV_KURS"),
-                ("VOR_BESTAND", lambda s: transforms.transform_bestaende(s, rates), "STG_FB_BESTAND"),
+                ("VOR_BESTAND", lambda s: transforms.transform_bestaende(
+                    s, rates, stored=lambda d: self.store.work_table("VOR_BESTAND_EINDEUTIG", d, batch_id)), "STG_FB_BESTAND"),
                 ("VOR_TRANSAKTION", lambda s: transforms.transform_transaktionen(s, rates), "STG_FB_TRANSAKTION"),
                 ("VOR_FONDSBEWEGUNG", lambda s: transforms.transform_fondsbewegungen(s, rates),
                  "STG_FB_FONDSBEWEGUNG"),

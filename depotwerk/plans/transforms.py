@@ -8,7 +8,7 @@ write.  Rejected rows are kept and flagged.  ``rates`` is the result of
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import canonical, clean, flow_type, rules, trade_type, with_verdict
 from ..operators.dedupe import latest
 from ..operators.fx import in_eur, with_eur_rate
-from ..operators.weights import GROUP, with_portfolio_weight
+from ..operators.weights import with_portfolio_weight
 from ..schemas import TABLES
 
 MASTER_DATA = "WERTPAPIERSTAMMDATEN"
@@ -113,17 +113,17 @@ def transform_bestaende(
     *,
     key: Sequence[str] = ("fonds_id", "isin", "bewertungsdatum", "batch_id"),
     order_by: Sequence[str] = ("stg_id",),
+    stored: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """Holdings: latest row per position, EUR value, portfolio weight.
 
     The default key ignores the custody account, so one security in two
     accounts keeps only its latest row; pass a longer ``key`` to change that.
-    The broadcast decision for the portfolio totals uses the distinct
-    portfolios of the raw rows: an upper bound that reads three columns.
+    The deduplicated rows are used twice, for the totals and for the rows that
+    take their share; ``stored`` writes them once in between.
     """
-    rows = with_verdict(latest(stg, key, order_by), rules.holding_rules())
-    portfolios = stg.select(*GROUP).distinct().count()
-    rows = with_portfolio_weight(rows, portfolios=portfolios, spread_by=["isin", *order_by])
+    rows = stored(with_verdict(latest(stg, key, order_by), rules.holding_rules()))
+    rows = with_portfolio_weight(rows, spread_by=["isin", *order_by])
     rows = with_eur_rate(
         rows, rates.table, rate_rows=rates.rows,
         currency=canonical("waehrung_fonds"), on_date="bewertungsdatum", spread_by=["isin", *order_by],

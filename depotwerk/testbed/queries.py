@@ -100,6 +100,12 @@ def with_row_id(df: DataFrame) -> DataFrame:
     return df.withColumn("vor_id", F.xxhash64(*df.columns))
 
 
+def _stored(rows: DataFrame) -> DataFrame:
+    """Rows written once, as a load does, before they are used twice."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    return rows.checkpoint()
+
+
 # --- sources and calendar -------------------------------------------------
 
 @query
@@ -332,8 +338,7 @@ def dedupe_fund(t: Tables) -> DataFrame:
 def portfolio_weight(t: Tables) -> DataFrame:
     raw = t.stg("STG_FB_BESTAND", arrival=True)
     rows = latest(raw, ["fonds_id", "isin", "bewertungsdatum", "batch_id"], ARRIVAL)
-    portfolios = raw.select("fonds_id", "bewertungsdatum", "batch_id").distinct().count()
-    return with_portfolio_weight(with_verdict(rows, rules.holding_rules()), portfolios=portfolios).select(
+    return with_portfolio_weight(_stored(with_verdict(rows, rules.holding_rules()))).select(
         "fonds_id", "isin", "bewertungsdatum", "batch_id", "ist_gueltig", "portfoliogewicht")
 
 
@@ -372,7 +377,7 @@ def transform_kurse(t: Tables) -> DataFrame:
 
 @query
 def transform_bestaende(t: Tables) -> DataFrame:
-    return transforms.transform_bestaende(t.stg("STG_FB_BESTAND", arrival=True), rates(t), order_by=ARRIVAL).drop(
+    return transforms.transform_bestaende(t.stg("STG_FB_BESTAND", arrival=True), rates(t), order_by=ARRIVAL, stored=_stored).drop(
         "stg_id", "nominale")
 
 
@@ -485,12 +490,6 @@ def delivery_order(t: Tables) -> DataFrame:
 
 # --- facts ----------------------------------------------------------------
 
-def _stored(rows: DataFrame) -> DataFrame:
-    """Fact rows written once, as a load does, before both deliveries are taken from them."""
-    ensure_checkpoint_dir(rows.sparkSession)
-    return rows.checkpoint()
-
-
 def _merged(rows: DataFrame, match: tuple[str, ...], update: list[str]) -> DataFrame:
     """First delivery as the table, second delivery as the upsert."""
     listed = [c for c in update if c != "erstellt_am"]
@@ -519,7 +518,7 @@ def upsert_fx(t: Tables) -> DataFrame:
 
 @query
 def upsert_holding(t: Tables) -> DataFrame:
-    vor = with_row_id(transforms.transform_bestaende(t.stg("STG_FB_BESTAND", arrival=True), rates(t), order_by=ARRIVAL))
+    vor = with_row_id(transforms.transform_bestaende(t.stg("STG_FB_BESTAND", arrival=True), rates(t), order_by=ARRIVAL, stored=_stored))
     rows = facts.holding_rows(vor, keys(t)).drop("nominale")
     return _merged(rows, TABLES["FAKT_BESTAND"].unique, facts.HOLDING_UPDATE)
 
@@ -586,7 +585,7 @@ def quality_report(t: Tables) -> DataFrame:
                 t.delivery("STG_WP_FONDS_STAMMDATEN", 2, broken=True)), order_by=["fonds_id"]),
         "VOR_WECHSELKURS": transforms.transform_wechselkurse(t.stg("STG_KV_WECHSELKURS", broken=True)),
         "VOR_KURS": transforms.transform_kurse(t.stg("STG_KV_KURS"), r, spread_by=["isin"]),
-        "VOR_BESTAND": transforms.transform_bestaende(t.stg("STG_FB_BESTAND", arrival=True), r, order_by=ARRIVAL),
+        "VOR_BESTAND": transforms.transform_bestaende(t.stg("STG_FB_BESTAND", arrival=True), r, order_by=ARRIVAL, stored=_stored),
         "VOR_TRANSAKTION": transforms.transform_transaktionen(t.stg("STG_FB_TRANSAKTION"), r, spread_by=["isin"]),
         "VOR_FONDSBEWEGUNG": transforms.transform_fondsbewegungen(t.stg("STG_FB_FONDSBEWEGUNG"), r,
                                                                   spread_by=["bewegungs_id"]),
