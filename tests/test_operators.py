@@ -316,3 +316,46 @@ def test_rates_up_to_the_own_batch(spark, tmp_path):
         control.fx_batches = policy
         got = with_eur_rate(ask, control.rates(1), currency=F.lit("USD"), on_date="d", spread_by=["d"])
         assert got.first().wechselkurs_eur == Decimal(rate)
+
+
+def test_numbers_are_set_aside_once(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    assert [store.reserve("STG_KV_KURS", n) for n in (5, 0, 3)] == [1, 6, 6]
+    assert store.reserve("FAKT_KURS", 1) == 1 and Warehouse(spark, str(tmp_path)).reserve("STG_KV_KURS", 1) == 9
+
+
+def test_rejects_of_a_rerun_replace_the_first(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    bad = spark.createDataFrame([(1, "x", 7), (2, "y", 7)], "n int, fehlende_schluessel string, batch_id bigint")
+    for rows_of_batch, batch in ((bad, 7), (bad, 7), (bad.limit(1), 8)):
+        store.replace_rejects("FAKT_KURS", rows_of_batch, batch)
+    assert rows(spark.read.parquet(store.path("FAKT_KURS_ABGELEHNT")).groupBy("batch_id").count()) == Counter([(7, 2), (8, 1)])
+
+
+def test_references_and_rows_that_break_a_rule(spark):
+    layout = TABLES["FAKT_KURS"]
+    facts = spark.createDataFrame([(20240101, 1, None)] * 3 + [(19990101, 2, 9)], "zeit_id bigint, wertpapier_sk bigint, waehrung_id bigint")
+    parents = {"DIM_ZEIT": spark.range(20240101, 20240102).toDF("zeit_id"), "DIM_WERTPAPIER": spark.range(2).toDF("wertpapier_sk"),
+               "DIM_WAEHRUNG": spark.range(5).toDF("waehrung_id")}
+    for max_rows in (1000, 0):
+        got = integrity.reference_violations(facts, layout, parents.__getitem__, max_rows)
+        assert rows(got) == Counter([("zeit_id", "19990101", 1), ("wertpapier_sk", "2", 1), ("waehrung_id", "9", 1)])
+    funds = spark.createDataFrame([("F", None, "X"), ("G", "n", "J")], "fonds_id string, fondsname string, ucits_konform string")
+    got = integrity.row_violations(funds, TABLES["STG_WP_FONDS_STAMMDATEN"]).collect()
+    assert [(r.fonds_id, r.regeln) for r in got] == [("F", "fondsname NOT NULL, ucits_konform VALUES")]
+
+
+def test_rates_with_large_arrival_numbers_and_many_batches(spark):
+    """Ranks compare as they are: no bits are packed, no list per day is gathered."""
+    day = date(2024, 1, 15)
+    quotes = [(2**62 + i, b, "USD", "EUR", day, kind, kurs) for i, (b, kind, kurs) in enumerate(
+        [(1, "EZB", "0.90"), (1, "EZB", "0.91"), (1, "GELD", "0.99"), *[(b, "GELD", "0.50") for b in range(2, 300)]])]
+    fx = spark.createDataFrame([(*q[:6], Decimal(q[6])) for q in quotes],
+                               "stg_id bigint, batch_id bigint, waehrung_von string, waehrung_nach string, kursdatum date, kurstyp string, kurs decimal(20,8)")
+    ask = spark.createDataFrame([(1, "USD", day), (7, "USD", day), (900, "USD", day), (1, "USD", date(2024, 1, 20)), (1, "USD", date(2024, 1, 21))],
+                                "batch_id bigint, ccy string, d date")
+    table = eur_rate_table(fx)
+    assert "collect_list" not in plan(table)
+    got = with_eur_rate(ask, table, currency=F.col("ccy"), on_date="d", spread_by=["d"])
+    assert Counter((r.batch_id, r.d.day, r.wechselkurs_eur and str(round(r.wechselkurs_eur, 2))) for r in got.collect()) == Counter(
+        [(1, 15, "0.91"), (7, 15, "0.50"), (900, 15, "0.91"), (1, 20, "0.91"), (1, 21, None)])
