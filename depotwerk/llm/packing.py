@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import blocks, shuffle_partitions, written
 
 CAPACITY = 2048
-CACHED_WORDS = 400_000  # words whose ids a worker keeps before it starts anew
+CACHED_WORDS = 500_000  # words of a generation; a worker keeps two
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, bucket int"
 
@@ -35,7 +35,9 @@ class WordTokens:
     """Ids of texts by a tokenizer that never joins across white space, with the ids of words remembered.
 
     Words are cut at the four commonest white-space characters only; whatever
-    else the tokenizer treats as a boundary stays inside a word and is left to it.
+    else the tokenizer treats as a boundary stays inside a word and is left to
+    it.  Words are remembered in two generations: when the younger is full it
+    becomes the older, and words met again move to the younger.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
@@ -45,6 +47,7 @@ class WordTokens:
         self.tokenizer.encode_special_tokens = True
         self.cached = cached
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     @staticmethod
     def words(text: str) -> list[str]:
@@ -53,11 +56,18 @@ class WordTokens:
     def ids(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian 32-bit numbers."""
         split = [self.words(t) for t in texts]
-        new = {w for words in split for w in words if w not in self.known}
+        new = {w for words in split for w in words}.difference(self.known)
         if len(self.known) + len(new) > self.cached:
-            self.known = {"": b""}
+            self.older, self.known = self.known, {"": b""}
             new = {w for words in split for w in words if w}
-        self._learn(list(new))
+        for word in new.intersection(self.older):
+            self.known[word] = self.older[word]
+        new = new.difference(self.known)
+        # a comma or full stop after a letter is a token of its own (contractions left aside)
+        ended = {word for word in new if word[-1] in ",." and word[-2:-1].isalpha() and "'" not in word}
+        self._learn(list(new.difference(ended).union(word[:-1] for word in ended).union(",.").difference(self.known)))
+        for word in ended:
+            self.known[word] = self.known[word[:-1]] + self.known[word[-1]]
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
     def _learn(self, words: list[str], at_once: int = 2000) -> None:
