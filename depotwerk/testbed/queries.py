@@ -106,6 +106,12 @@ def _stored(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
+def _delivered(rows: DataFrame, table: str) -> DataFrame:
+    """A full delivery: what the test tables have no value for is delivered as NULL."""
+    fields = readers.delivery_schema(table).fields
+    return rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in fields if f.name not in rows.columns})
+
+
 # --- sources and calendar -------------------------------------------------
 
 @query
@@ -132,7 +138,7 @@ def calendar_fill(t: Tables) -> DataFrame:
 @query
 def stage_holdings(t: Tables) -> DataFrame:
     delivery = t.stg("STG_FB_BESTAND").drop("marktwert_fondswaehrung")
-    return staging.stage_bestand(delivery, None, RUN_TS).select(
+    return staging.stage_bestand(_delivered(delivery, "STG_FB_BESTAND"), None, RUN_TS).select(
         "fonds_id", "isin", "bewertungsdatum", "marktwert", "wechselkurs", "marktwert_fondswaehrung",
         "depot_nr", "depotstelle")
 
@@ -140,39 +146,39 @@ def stage_holdings(t: Tables) -> DataFrame:
 @query
 def stage_trades(t: Tables) -> DataFrame:
     delivery = t.stg("STG_FB_TRANSAKTION").withColumn("wechselkurs", F.lit("0.92").cast("decimal(15,8)"))
-    return staging.stage_transaktion(delivery, None, RUN_TS).select(
+    return staging.stage_transaktion(_delivered(delivery, "STG_FB_TRANSAKTION"), None, RUN_TS).select(
         "transaktions_id", "fonds_id", "gesamtbetrag", "gesamtbetrag_fondswaehrung", "src_transaktions_nr",
         "src_status")
 
 
 @query
 def stage_flows(t: Tables) -> DataFrame:
-    return staging.stage_fondsbewegung(t.stg("STG_FB_FONDSBEWEGUNG"), None, RUN_TS).select(
+    return staging.stage_fondsbewegung(_delivered(t.stg("STG_FB_FONDSBEWEGUNG"), "STG_FB_FONDSBEWEGUNG"), None, RUN_TS).select(
         "bewegungs_id", "fonds_id", "anteile", "ausgabeaufschlag", "src_bewegungs_nr", "src_status")
 
 
 @query
 def stage_prices(t: Tables) -> DataFrame:
     delivery = t.stg("STG_KV_KURS").withColumn("kurs_id", F.concat(F.lit("KURS-"), F.col("isin")))
-    return staging.stage_kurs(delivery, None, RUN_TS).select(
+    return staging.stage_kurs(_delivered(delivery, "STG_KV_KURS"), None, RUN_TS).select(
         "isin", "kursdatum", "kurstyp", "kurs", "boerse", "src_kurs_id")
 
 
 @query
 def stage_fx(t: Tables) -> DataFrame:
-    return staging.stage_wechselkurs(t.stg("STG_KV_WECHSELKURS"), None, RUN_TS).select(
+    return staging.stage_wechselkurs(_delivered(t.stg("STG_KV_WECHSELKURS"), "STG_KV_WECHSELKURS"), None, RUN_TS).select(
         "waehrung_von", "waehrung_nach", "kursdatum", "kurs", "src_kurs_id")
 
 
 @query
 def stage_securities(t: Tables) -> DataFrame:
-    return staging.stage_wertpapier(t.delivery("STG_WP_STAMMDATEN", 2), None, RUN_TS).select(
+    return staging.stage_wertpapier(_delivered(t.delivery("STG_WP_STAMMDATEN", 2), "STG_WP_STAMMDATEN"), None, RUN_TS).select(
         "isin", "bezeichnung_lang", "wertpapiertyp", "branche_code", "faelligkeitsdatum", "src_wertpapier_id")
 
 
 @query
 def stage_funds(t: Tables) -> DataFrame:
-    return staging.stage_fonds(t.delivery("STG_WP_FONDS_STAMMDATEN", 2), None, RUN_TS).select(
+    return staging.stage_fonds(_delivered(t.delivery("STG_WP_FONDS_STAMMDATEN", 2), "STG_WP_FONDS_STAMMDATEN"), None, RUN_TS).select(
         "fonds_id", "fondsname", "fondswaehrung", "kag_name", "src_fonds_id")
 
 
