@@ -23,7 +23,7 @@ def components(links: DataFrame) -> DataFrame:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         large = both.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = large.where("a <> b")
         down = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(down, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b")
         now = written(small.unionByName(down.select("a", F.col("low").alias("b"))).distinct())

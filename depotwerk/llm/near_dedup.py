@@ -4,14 +4,19 @@ Documents are sets of word shingles; documents with the same set are one
 class from here on.  Independent trees branch the classes by minwise tokens:
 at every level a class goes to the child named by its smallest shingle under
 the hash of that tree and level, so similar sets stay together and others part.
-A node with few classes is compared exhaustively.  A node that is still large
+A node with few classes is compared exhaustively on estimates from the tokens,
+and gives the pairs that join what is similar in it: a spanning forest by
+falling similarity and the two best partners of each class, not all pairs.
+Large nodes go on in several subtrees each.  A node that is still large
 at the last level holds classes of high mutual similarity: its members are
 compared with four pivots, and members that do not reach the component of the
 first pivot are then compared with the whole node.  Links are confirmed on
 full sets, and components of links are the groups.
 
 A pair of similarity s shares a leaf at depth d with probability s^d in each
-tree; at 0.85, sixteen trees miss it with 10^-13 at depth one and 10^-6 at depth three.
+tree; at 0.85, sixteen trees miss it with 10^-13 at depth one.  Inside groups of
+thousands of copies that differ leaves lie deeper: 48 subtrees find a pair of
+similarity 0.86 at depth fifteen with 99 %, and a document has many partners there.
 """
 
 from __future__ import annotations
@@ -26,11 +31,15 @@ from pyspark.sql import functions as F
 from .common import LOWER, Prefixes, as_bytes, blocks, mix, word_bounds, written
 from .graph import components
 
-TREES, LEVELS = 16, 6
+TREES, LEVELS = 16, 16
+BRANCHES = 3  # subtrees of a large node
+FIRST_LEVELS = 4  # levels after which most classes have left the large nodes
 SMALL_NODE = 24  # classes compared exhaustively
-MARGIN = 0.16  # an estimate from 96 tokens is off by more in 1 of 50,000 pairs
+MARGIN = 0.09  # an estimate from 256 tokens is off by more in 1 of 20,000 pairs
 
-_TOKENS = TREES * LEVELS
+_TOKENS = 256
+# which token a level of a subtree looks at; the first level of a tree has its own
+_LOOKS_AT = np.random.default_rng(11).integers(TREES, _TOKENS, (TREES, BRANCHES, LEVELS))
 _FACTORS = np.random.default_rng(9).integers(1, 1 << 32, _TOKENS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _BLOCK = 2 << 20
 
@@ -91,45 +100,72 @@ def _signatures(words: int):
     return run
 
 
-def _node_keys(level: int):
-    """(rep, tree, node) of every class at one level, from its tokens."""
+def _node_keys(levels: tuple[int, ...]):
+    """(rep, tree, branch, level, node) of every class, from its tokens; all trees or branches unless the input names them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            token = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), np.uint32).reshape(-1, TREES, LEVELS).astype(np.uint64)
-            rep = batch.column("rep").to_numpy()
-            tree = batch.column("tree").to_numpy() if "tree" in batch.schema.names else None
-            if tree is None:
-                row, tree = np.repeat(np.arange(len(rep)), TREES), np.tile(np.arange(TREES), len(rep))
+            token = np.frombuffer(b"".join(batch.column("tokens").to_pylist()), np.uint32).reshape(-1, _TOKENS).astype(np.uint64)
+            rep, n = batch.column("rep").to_numpy(), batch.num_rows
+            named = batch.schema.names
+            if "branch" in named:
+                row, tree, branch = np.arange(n), batch.column("tree").to_numpy(), batch.column("branch").to_numpy()
+            elif "tree" in named:
+                row, tree, branch = np.repeat(np.arange(n), BRANCHES), np.repeat(batch.column("tree").to_numpy(), BRANCHES), np.tile(np.arange(BRANCHES), n)
             else:
-                row = np.arange(len(rep))
-            node = mix(tree.astype(np.uint64) + np.uint64(1000 * level))
-            for k in range(level):
-                node = mix(node + token[row, tree, k] + np.uint64(k + 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rep[row]), pa.array(tree.astype(np.int32)), pa.array(node.view(np.int64))], names=["rep", "tree", "node"])
+                row, tree, branch = np.repeat(np.arange(n), TREES), np.tile(np.arange(TREES), n), np.zeros(n * TREES, np.int64)
+            node = mix(mix(tree.astype(np.uint64) + np.uint64(1)) + token[row, tree])
+            for level in range(1, max(levels) + 1):
+                if level == 2:
+                    node = mix(node + branch.astype(np.uint64))
+                if level > 1:
+                    node = mix(node + token[row, _LOOKS_AT[tree, branch, level - 1]] + np.uint64(level))
+                if level in levels:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(rep[row]), pa.array(tree.astype(np.int32)), pa.array(branch.astype(np.int32)),
+                         pa.array(np.full(len(row), level, np.int32)), pa.array(node.view(np.int64))],
+                        names=["rep", "tree", "branch", "level", "node"])
 
     return run
 
 
-def _leaf_pairs(least: float):
-    """All pairs of a small node whose estimated similarity is high enough."""
+def joining_pairs(similarity: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a small node: a spanning forest of the similar ones by falling similarity, and each one's two best."""
+    n = len(similarity)
+    a, b = np.triu_indices(n, 1)
+    value = similarity[a, b]
+    good = np.flatnonzero(value >= least)
+    good = good[np.argsort(-value[good], kind="stable")]
+    group, taken, chosen = list(range(n)), [0] * n, []
+    for k in good.tolist():
+        x, y = int(a[k]), int(b[k])
+        if group[x] != group[y]:
+            old, new = group[y], group[x]
+            group = [new if g == old else g for g in group]
+        elif taken[x] >= 2 and taken[y] >= 2:
+            continue
+        taken[x] += 1
+        taken[y] += 1
+        chosen.append(k)
+    return a[chosen], b[chosen]
+
 
+def _leaf_pairs(least: float):
     def run(nodes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in nodes:
-            left, right = [], []
+            left, right, at = [], [], 0
             sizes = np.diff(batch.column("reps").offsets.to_numpy()) if batch.num_rows else []
             reps = batch.column("reps").flatten().to_numpy()
             bits = batch.column("bits").flatten().to_pylist()
-            at = 0
             for n in sizes:
                 own = np.frombuffer(b"".join(bits[at : at + n]), np.uint8).reshape(n, -1)
-                a, b = np.triu_indices(n, 1)
-                good = (own[a] == own[b]).mean(axis=1) >= least
-                left.append(reps[at + a[good]])
-                right.append(reps[at + b[good]])
+                similarity = (own[:, None, :] == own[None, :, :]).mean(axis=2)
+                if (similarity >= least).sum() > n:
+                    a, b = joining_pairs(similarity, least)
+                    left.append(reps[at + a])
+                    right.append(reps[at + b])
                 at += n
             if left:
                 a, b = np.concatenate(left), np.concatenate(right)
@@ -191,22 +227,30 @@ def near_dedup(
         linkable.join(classes.select(F.col("rep").alias("doc_id"), "k1", "k2"), ["doc_id", "k1", "k2"], "left_semi")
         .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "tokens"))
 
-    # branch: small nodes become leaves, large ones go one level down
-    alive, leaves, stuck = reps.mapInArrow(_node_keys(1), "rep long, tree int, node long"), [], None
-    for level in range(1, LEVELS + 1):
-        sizes = alive.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        here = written(alive.join(sizes, "node"))
-        leaves.append(here.where(F.col("size") <= small_node).select("node", "rep"))
-        large = here.where(F.col("size") > small_node).select("rep", "tree", "node")
-        if level == LEVELS:
-            stuck = large
-        elif not large.isEmpty():
-            alive = large.select("rep", "tree").join(reps, "rep").mapInArrow(_node_keys(level + 1), "rep long, tree int, node long")
-        else:
+    # branch: a class ends in the first small node on its path; a node on its own has no pairs
+    def sized(nodes: DataFrame) -> DataFrame:
+        sizes = nodes.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+        return nodes.join(sizes, "node")
+
+    form = "rep long, tree int, branch int, level int, node long"
+    top = written(sized(reps.mapInArrow(_node_keys((1,)), form)))
+    leaf = top.where(F.col("size") <= small_node).select("node", "rep")
+    large, stuck = top.where(F.col("size") > small_node).select("rep", "tree"), None
+    spans = [(2, FIRST_LEVELS), (FIRST_LEVELS + 1, LEVELS)]
+    for first, last in spans:
+        if large.isEmpty():
             break
-    leaf = leaves[0]
-    for more in leaves[1:]:
-        leaf = leaf.unionByName(more)
+        # several levels at once: the path of a class is known
+        below = sized(large.join(reps, "rep").mapInArrow(_node_keys(tuple(range(first, last + 1))), form))
+        below = written(below.select("rep", "tree", "branch", "level", "node", (F.col("size") > small_node).alias("large")))
+        path = ["rep", "tree", "branch"]
+        deepest = below.where("large").groupBy(*path).agg(F.max("level").alias("last"))
+        ends = below.where("not large").join(deepest, path, "left").where(F.col("level") == F.coalesce("last", F.lit(first - 1)) + 1)
+        leaf = leaf.unionByName(ends.select("node", "rep"))
+        still = below.where((F.col("level") == last) & F.col("large"))
+        large = still.select(*path)
+        if last == LEVELS:
+            stuck = still.select("node", "rep")
 
     # one byte per token is enough for an estimate
     bits = reps.mapInArrow(_bits, "rep long, bits binary")
