@@ -265,11 +265,13 @@ def near_dedup(
         pairs = pairs.unionByName(_estimated(star, bits, least)).distinct()
     pairs = written(pairs)
 
-    def texts_of(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        return rows.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets(words), "rep long, elements array<long>")
-
-    links = written(confirmed(pairs, written(texts_of(pairs)), numerator))
+    # full sets of all classes that may take part in a comparison: the texts move once
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
+    if stuck is not None:
+        ids = ids.union(stuck.select("rep"))
+    sets = written(rows.join(ids.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(
+        _sets(words), "rep long, elements array<long>"))
+    links = written(confirmed(pairs, sets, numerator))
     groups = components(links)
     if stuck is not None and not stuck.isEmpty():
         groups = written(groups)
@@ -281,7 +283,7 @@ def near_dedup(
                 .select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct())
         rest = written(_estimated(rest, bits, least).join(pairs, ["a", "b"], "left_anti"))
         if not rest.isEmpty():
-            links = links.unionByName(confirmed(rest, written(texts_of(rest)), numerator))
+            links = links.unionByName(confirmed(rest, sets, numerator))
             groups = components(links)
 
     named = (classes.join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left")
