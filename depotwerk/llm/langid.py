@@ -28,7 +28,7 @@ GRAMS = (1, 2, 3, 4)
 DOCS_PER_LANGUAGE = 1500  # documents a language is learned from, chosen by the hash of the text
 SWITCH = 8.0  # penalty of a change of language, in nats
 WEIGHT = 0.35  # n-grams of a word overlap: their log-likelihoods are scaled down
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 
 # Script ranges (first code point, last, script).
 SCRIPTS = [
