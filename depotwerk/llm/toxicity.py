@@ -28,7 +28,7 @@ CHAINS = 6000
 STEPS = 80
 LEAST_DOCS, LEAST_ODDS = 4, 2.0  # a toxic word: so many toxic documents, so much more often (natural log)
 _BLOCK = 1 << 20
-_SAMPLE_BYTES = 64 << 20
+_SAMPLE_CHARS = 24 << 20  # of the sample; further texts are left out
 
 
 @dataclass
@@ -122,7 +122,7 @@ def train_crf(feature: np.ndarray, label: np.ndarray, at: np.ndarray, steps: int
     both = there[:, 1:]
     seen = np.array([[((y[:, :-1] == a) & (y[:, 1:] == b) & both).sum() for b in (0, 1)] for a in (0, 1)], float)
     used, local = np.unique(f[there], return_inverse=True)
-    index = np.zeros(f.shape, np.int64)
+    index = np.zeros(f.shape, np.int32)
     index[there] = local.reshape(-1, f.shape[2])
     x = np.zeros(len(used) + 5)
     x[-5] = -2.0
@@ -183,6 +183,20 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
+def _features_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Features of the words of many texts, and per text its first word, in blocks of bounded size."""
+    parts, counts, block, size = [], [], [], 0
+    for i, text in enumerate(texts):
+        block.append(text)
+        size += len(text)
+        if size >= _BLOCK or i == len(texts) - 1:
+            words = words_of(block)
+            parts.append(features(words).astype(np.int32))
+            counts.append(np.diff(words.first))
+            block, size = [], 0
+    return np.concatenate(parts), np.r_[0, np.cumsum(np.concatenate(counts))]
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, train: Column | None = None, id_column: str = "doc_id",
         text_column: str = "text", label_column: str = "toxic", toxic_docs: int = TOXIC_DOCS, clean_docs: int = CLEAN_DOCS) -> Crf:
     """Learn from about ``toxic_docs`` + ``clean_docs`` labelled documents, chosen by the hash of their id.
@@ -204,15 +218,14 @@ def fit(docs: DataFrame, labels: DataFrame, *, train: Column | None = None, id_c
     sample = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).join(
         F.broadcast(chosen), "doc_id").where("text is not null").toPandas()
     sample = sample.sort_values("doc_id").drop_duplicates("text")
-    sample = sample[sample["text"].str.len().cumsum() <= _SAMPLE_BYTES]
+    sample = sample[sample["text"].str.len().cumsum() <= _SAMPLE_CHARS]
     y = sample["y"].to_numpy()
     if not len(y) or y.min() == y.max():
         return Crf()
 
-    words = words_of(sample["text"].tolist())
-    feature = features(words)
-    owner = np.repeat(np.arange(len(y)), np.diff(words.first))
-    once = np.unique(owner * FEATURES + feature[:, 0])
+    feature, first = _features_of(sample["text"].tolist())
+    owner = np.repeat(np.arange(len(y)), np.diff(first))
+    once = np.unique(owner * FEATURES + feature[:, 0])  # word types per document
     word, doc = once % FEATURES, once // FEATURES
     toxic = np.bincount(word[y[doc] == 1], minlength=FEATURES)
     clean = np.bincount(word[y[doc] == 0], minlength=FEATURES)
@@ -220,21 +233,21 @@ def fit(docs: DataFrame, labels: DataFrame, *, train: Column | None = None, id_c
     bad = (toxic >= LEAST_DOCS) & (odds >= LEAST_ODDS)
     label = (bad[feature[:, 0]] & (y[owner] == 1)).astype(np.int64)
 
-    at, text = chains(words.first)
+    at, _ = chains(first)
     marked = np.where(at >= 0, label[np.maximum(at, 0)], 0).any(axis=1)
     rng = np.random.default_rng(5)
     order = np.r_[rng.permutation(np.flatnonzero(marked))[: CHAINS // 3], rng.permutation(np.flatnonzero(~marked))]
     model = train_crf(feature, label, at[np.sort(order[:CHAINS])])
 
-    probability = np.zeros(len(words.start))
-    for i in range(0, len(at), 4 * CHAINS):
-        part = at[i : i + 4 * CHAINS]
+    probability = np.zeros(len(feature))
+    for i in range(0, len(at), CHAINS):
+        part = at[i : i + CHAINS]
         there = part >= 0
         emission = (model.weight[feature[np.maximum(part, 0)]].sum(axis=2) + model.bias) * there
         p, _ = marginals(emission, there, model.change)
         probability[part[there]] = p[there]
     weight = np.where(y == 1, sizes[1] / max(1, y.sum()), sizes[0] / max(1, len(y) - y.sum())) / (sizes[0] + sizes[1]) * len(y)
-    model.rule = _logistic(summaries(words.first, probability), y, weight)
+    model.rule = _logistic(summaries(first, probability), y, weight)
     return model
 
 
