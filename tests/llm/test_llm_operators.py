@@ -321,6 +321,27 @@ def test_verified_similarity():
     assert [h.tolist() for _, h, _, _ in passages.verify_group(np.stack([base, one, two]))] == [[1]]
 
 
+def joined(count, links):
+    group = list(range(count))
+    for x, y in links:
+        group = [group[x] if g == group[y] else g for g in group]
+    return group
+
+
+@pytest.mark.parametrize("place", [0, 1, 2])
+def test_passage_between_two_edited_ones(place):
+    """X is similar to two contexts that are not similar to each other, in whichever order they come."""
+    base = np.arange(1, passages._WIDE + 1, dtype=np.uint32)
+    one, two = base.copy(), base.copy()
+    base[:23] = base[69:] = one[:23] = one[69:] = two[:23] = two[69:] = 0  # 46 tokens around the signature
+    one[25:30] += 1000
+    two[60:65] += 2000
+    group = [one, two]
+    group.insert(place, base)
+    links = [(i, j) for i, hits, _, _ in passages.verify_group(np.stack(group)) for j in hits.tolist()]
+    assert len(set(joined(3, links))) == 1
+
+
 # ---------------------------------------------------------------- secrets
 
 
