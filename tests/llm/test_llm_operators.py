@@ -342,6 +342,33 @@ def test_passage_between_two_edited_ones(place):
     assert len(set(joined(3, links))) == 1
 
 
+def met(kind, count, hot):
+    """How many pairs of a 50-word passage and an edited copy in other text get linked, by the steps of a task."""
+    rng = random.Random(17)
+    texts = []
+    for _ in range(count):
+        copy = words(rng, 50)
+        edited = [*copy[:25], "new", *copy[25:]] if kind == "insert" else [*copy[:20], "new", *copy[21:]]
+        texts += [" ".join([*words(rng, 30), *part, *words(rng, 30)]) for part in (copy, edited)]
+    block = passages.pa.RecordBatch.from_pydict({"text": texts, "uid": np.arange(len(texts))})
+    tokens, left = passages.Tokens(block), [[] for _ in texts]
+    for k in range(passages.HASHES):
+        start, _, _ = tokens.windows(k)
+        for doc, p in zip(tokens.doc[start].tolist(), start.tolist(), strict=True):
+            left[doc].append({"p": p - int(tokens.first[doc]), "other": k, "hot": hot})
+    block = block.append_column("windows", passages.pa.array(left))
+    rows = passages.pa.Table.from_batches(passages._cut_contexts([block])).sort_by([("key", "ascending"), ("uid", "ascending"), ("p", "ascending")])
+    links = {(min(a, b), max(a, b)) for out in passages._verify(iter(rows.to_batches()))
+             for a, b in zip(out.column("uid").to_pylist(), out.column("other").to_pylist(), strict=True)}
+    return sum((2 * i, 2 * i + 1) in links for i in range(count))
+
+
+@pytest.mark.parametrize("hot", [False, True])
+@pytest.mark.parametrize("kind", ["insert", "replace"])
+def test_edited_passages_meet(kind, hot):
+    assert met(kind, 400, hot) >= 396
+
+
 # ---------------------------------------------------------------- secrets
 
 
