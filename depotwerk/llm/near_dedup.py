@@ -7,6 +7,7 @@ the hash of that tree and level, so similar sets stay together and others part.
 A node with few classes is compared exhaustively on estimates from the tokens,
 and gives the pairs that join what is similar in it: a spanning forest by
 falling similarity and the two best partners of each class, not all pairs.
+Its other similar pairs are confirmed later if their ends are not in one component by then.
 Large nodes go on in several subtrees each.  A node that is still large
 at the last level holds classes of high mutual similarity: its members are
 compared with four pivots, and members that do not reach the component of the
@@ -153,27 +154,69 @@ def joining_pairs(similarity: np.ndarray, least: float) -> tuple[np.ndarray, np.
 
 
 def _leaf_pairs(least: float):
+    """Joining pairs (a, b) of each small node, and per node the places in ``reps`` of its other similar pairs."""
+
     def run(nodes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in nodes:
-            left, right, at = [], [], 0
+            left, right, others, at = [], [], [], 0
             sizes = np.diff(batch.column("reps").offsets.to_numpy()) if batch.num_rows else []
             reps = batch.column("reps").flatten().to_numpy()
             bits = batch.column("bits").flatten().to_pylist()
-            for n in sizes:
+            for node, n in zip(batch.column("node").to_pylist(), sizes, strict=True):
                 own = np.frombuffer(b"".join(bits[at : at + n]), np.uint8).reshape(n, -1)
                 similarity = (own[:, None, :] == own[None, :, :]).mean(axis=2)
                 if (similarity >= least).sum() > n:
                     a, b = joining_pairs(similarity, least)
                     left.append(reps[at + a])
                     right.append(reps[at + b])
+                    other = np.triu(similarity >= least, 1)
+                    other[a, b] = False
+                    if other.any():
+                        x, y = np.nonzero(other)
+                        others.append((node, reps[at : at + n].tolist(), x.astype(np.uint8).tobytes(), y.astype(np.uint8).tobytes()))
                 at += n
             if left:
                 a, b = np.concatenate(left), np.concatenate(right)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                yield _found(a=np.minimum(a, b), b=np.maximum(a, b))
+            if others:
+                yield _found(**dict(zip(("node", "reps", "x", "y"), zip(*others, strict=True), strict=True)))
 
     return run
 
 
+_FOUND = {"a": pa.int64(), "b": pa.int64(), "node": pa.int64(), "reps": pa.list_(pa.int64()), "x": pa.binary(), "y": pa.binary()}
+
+
+def _found(**columns) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[c], kind) if c in columns else pa.nulls(n, kind) for c, kind in _FOUND.items()], names=list(_FOUND))
+
+
+def _parted(nodes: DataFrame, label: DataFrame) -> DataFrame:
+    """The other similar pairs (a, b) of small nodes whose ends are in different components (rep, component)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = [], []
+            for row in batch.select(["reps", "x", "y", "parts"]).to_pylist():
+                reps, x, y = np.array(row["reps"]), np.frombuffer(row["x"], np.uint8), np.frombuffer(row["y"], np.uint8)
+                part = np.zeros(len(reps), np.int64)
+                for p in row["parts"]:
+                    part[p["pos"]] = p["component"]
+                apart = part[x] != part[y]
+                left.append(reps[x[apart]])
+                right.append(reps[y[apart]])
+            if left:
+                a, b = np.concatenate(left), np.concatenate(right)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    member = nodes.select("node", F.posexplode("reps").alias("pos", "rep")).join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    parts = (member.groupBy("node").agg(F.collect_list(F.struct("pos", "component")).alias("parts"), F.min("component").alias("low"), F.max("component").alias("top"))
+             .where("low <> top").select("node", "parts"))
+    return nodes.join(parts, "node").select("reps", "x", "y", "parts").mapInArrow(run, "a long, b long").distinct()
+
+
 def _estimated(pairs: DataFrame, bits: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) with high enough estimated similarity; each class is looked up once per pair."""
 
@@ -255,7 +298,10 @@ def near_dedup(
     # one byte per token is enough for an estimate
     bits = reps.mapInArrow(_bits, "rep long, bits binary")
     grouped = leaf.join(bits, "rep").groupBy("node").agg(F.collect_list("rep").alias("reps"), F.collect_list("bits").alias("bits"))
-    pairs = grouped.select("reps", "bits").mapInArrow(_leaf_pairs(least), "a long, b long").distinct()
+    found = written(grouped.select("node", "reps", "bits").mapInArrow(
+        _leaf_pairs(least), "a long, b long, node long, reps array<long>, x binary, y binary"))
+    pairs = found.where("a is not null").select("a", "b").distinct()
+    others = found.where("node is not null").select("node", "reps", "x", "y")
     if stuck is not None:
         shuffled = F.xxhash64("rep")
         pivot = stuck.groupBy("node").agg(
@@ -272,19 +318,21 @@ def near_dedup(
     sets = written(rows.join(ids.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(
         _sets(words), "rep long, elements array<long>"))
     links = written(confirmed(pairs, sets, numerator))
-    groups = components(links)
-    if stuck is not None and not stuck.isEmpty():
-        groups = written(groups)
-        label = groups.select(F.col("id").alias("rep"), "component")
+    groups = written(components(links))
+    label = groups.select(F.col("id").alias("rep"), "component")
+    # estimates chose the pairs: where confirmation refuted them, the others may still join
+    rest = _parted(others, label)
+    if stuck is not None:
         member = stuck.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         home = member.groupBy("node").agg(F.min_by("component", "rep").alias("home"))
         outside = member.join(home, "node").where("component <> home").select("node", F.col("rep").alias("p"), F.col("component").alias("c"))
-        rest = (outside.join(member.select("node", "rep", "component"), "node").where("component <> c")
-                .select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct())
-        rest = written(_estimated(rest, bits, least).join(pairs, ["a", "b"], "left_anti"))
-        if not rest.isEmpty():
-            links = links.unionByName(confirmed(rest, sets, numerator))
-            groups = components(links)
+        across = (outside.join(member.select("node", "rep", "component"), "node").where("component <> c")
+                  .select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct())
+        rest = rest.unionByName(_estimated(across, bits, least)).distinct()
+    rest = written(rest.join(pairs, ["a", "b"], "left_anti"))
+    if not rest.isEmpty():
+        links = links.unionByName(confirmed(rest, sets, numerator))
+        groups = components(links)
 
     named = (classes.join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left")
              .select("k1", "k2", "n", F.coalesce("component", "rep").alias("found")))

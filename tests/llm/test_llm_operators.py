@@ -472,6 +472,21 @@ def test_near_dedup(spark, size, numerator):
     assert got == plain_near(texts, size, numerator)
 
 
+def test_near_dedup_around_the_threshold(spark):
+    """Small groups whose estimates put the wrong partners first: refuted pairs must not hide those that join."""
+    rng = random.Random(21)
+    texts = []
+    for g in range(24):
+        base = [f"g{g}x{i}" for i in range(402)]
+        for c in range(20):
+            own = list(base)
+            for at in rng.sample(range(402), rng.choice([5, 6, 6, 7])):
+                own[at] = f"e{c}x{at}"
+            texts.append(" ".join(own))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_dedup(table(spark, texts)).collect()}
+    assert got == plain_near(texts, 3, 85)
+
+
 def test_near_dedup_edges(spark):
     assert near_dedup.near_dedup(table(spark, [])).collect() == []
     got = near_dedup.near_dedup(table(spark, ["a b c d", "a b c d", "a b c d", None], [3, 3, None, None])).collect()
