@@ -24,11 +24,11 @@ from .langid import Words, words_of
 FEATURES = 1 << 18
 LENGTH = 64  # tokens of a chain; longer texts are several chains
 TOXIC_DOCS, CLEAN_DOCS = 1500, 3000  # bound of the labelled sample, chosen by the hash of the id
+TOXIC_CHARS, CLEAN_CHARS = 12 << 20, 12 << 20  # of the sample's texts; a text that does not fit is passed over
 CHAINS = 6000
 STEPS = 80
 LEAST_DOCS, LEAST_ODDS = 4, 2.0  # a toxic word: so many toxic documents, so much more often (natural log)
 _BLOCK = 1 << 20
-_SAMPLE_CHARS = 24 << 20  # of the sample; further texts are left out
 
 
 @dataclass
@@ -197,10 +197,24 @@ def _features_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts), np.r_[0, np.cumsum(np.concatenate(counts))]
 
 
+def within(texts: list[tuple[int, int, int]], limit: int) -> list[tuple[int, int]]:
+    """The (id, hash) of those texts (id, hash, length) that fit into ``limit``, in order; the shortest if none does."""
+    out, left = [], limit
+    for doc_id, h, n in texts:
+        if n <= left:
+            out.append((doc_id, h))
+            left -= n
+    return out or [t[:2] for t in sorted(texts, key=lambda t: t[2])[:1]]
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, train: Column | None = None, id_column: str = "doc_id",
-        text_column: str = "text", label_column: str = "toxic", toxic_docs: int = TOXIC_DOCS, clean_docs: int = CLEAN_DOCS) -> Crf:
+        text_column: str = "text", label_column: str = "toxic", toxic_docs: int = TOXIC_DOCS, clean_docs: int = CLEAN_DOCS,
+        toxic_chars: int = TOXIC_CHARS, clean_chars: int = CLEAN_CHARS) -> Crf:
     """Learn from about ``toxic_docs`` + ``clean_docs`` labelled documents, chosen by the hash of their id.
 
+    Of these, texts are taken in the order of the hash up to ``toxic_chars``
+    and ``clean_chars`` characters; one that does not fit is passed over, and
+    if none of a class fits, its shortest is taken.
     ``train`` is a condition on the id column.  Ids whose labels contradict
     each other and null labels are not learned from; copies count once.
     Without both kinds the model gives every text a low score.
@@ -214,11 +228,19 @@ def fit(docs: DataFrame, labels: DataFrame, *, train: Column | None = None, id_c
         return Crf()
     share = F.when(F.col("y") == 1, F.lit(min(1.0, toxic_docs / sizes[1]))).otherwise(F.lit(min(1.0, clean_docs / sizes[0])))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
-    # the sample is bounded by the two parameters: it may be broadcast and collected
-    sample = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).join(
-        F.broadcast(chosen), "doc_id").where("text is not null").toPandas()
+    # ids and lengths of the sample are bounded by the two numbers of documents, its texts by the numbers of characters
+    texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")).join(
+        F.broadcast(chosen), "doc_id").where("text is not null").withColumn("h", F.xxhash64("text"))
+    listed = texts.select("doc_id", "y", "h", F.length("text").alias("n"), F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)).alias("place")).distinct().toPandas()
+    listed = listed.sort_values(["doc_id", "h"]).drop_duplicates("h").sort_values(["place", "doc_id", "h"])
+    taken = []
+    for kind, limit in ((1, toxic_chars), (0, clean_chars)):
+        taken += within(listed[listed["y"] == kind][["doc_id", "h", "n"]].to_numpy().tolist(), limit)
+    if not taken:
+        return Crf()
+    wanted = docs.sparkSession.createDataFrame(taken, "doc_id long, h long")
+    sample = texts.join(F.broadcast(wanted), ["doc_id", "h"]).drop("h").toPandas()
     sample = sample.sort_values("doc_id").drop_duplicates("text")
-    sample = sample[sample["text"].str.len().cumsum() <= _SAMPLE_CHARS]
     y = sample["y"].to_numpy()
     if not len(y) or y.min() == y.max():
         return Crf()

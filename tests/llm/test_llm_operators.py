@@ -273,6 +273,17 @@ def test_toxicity_without_labels(spark):
     assert toxicity.score(table(spark, []), model).collect() == []
 
 
+def test_toxicity_with_one_very_long_text(spark):
+    """A text longer than the sample may be does not keep those after it from being learned."""
+    rng = random.Random(4)
+    texts = ["long " * (5 << 20)] + [" ".join([*words(rng, 20), *(["vile", "nasty"] if i % 2 else [])]) for i in range(1, 80)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    model = toxicity.fit(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), labels)
+    assert model.weight.any()
+    _, p = toxicity.token_marginals(["vile", "w1"], model)
+    assert p[0] > 0.5 > p[1]
+
+
 # ---------------------------------------------------------------- passages
 
 
