@@ -185,7 +185,10 @@ def viterbi(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     best = int(scores.sum(axis=0).argmax())
     gain = np.cumsum(scores - scores[:, [best]], axis=0)
     lowest = np.minimum.accumulate(np.vstack([np.zeros(k), gain[:-1]]), axis=0)
-    if ((gain - lowest) <= switch).all():
+    # a path with words of the best language pays a switch for every stretch of another one; a path without
+    # them pays one less than it has stretches: its first and last stretch have to earn it
+    suffix = gain[-1] - np.vstack([np.zeros(k), gain[:-1]])
+    if ((gain - lowest) <= switch).all() and gain.max() + suffix.max() <= switch:
         return np.full(n, best)
     value, back = scores[0].tolist(), []
     for row in scores[1:].tolist():

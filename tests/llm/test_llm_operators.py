@@ -222,6 +222,12 @@ def test_viterbi_shortcut_is_the_viterbi_path():
         assert np.isclose(total, plain(scores, 4.0))
 
 
+def test_viterbi_without_the_language_that_is_best_in_total():
+    """A leads C by 6 on the first half and B on the second: A, then B gains 12 for one switch."""
+    scores = np.array([[2.0, -9, 0]] * 3 + [[-9, 2.0, 0]] * 3)
+    assert langid.viterbi(scores, 8).tolist() == [0, 0, 0, 1, 1, 1]
+
+
 # ---------------------------------------------------------------- toxicity
 
 
