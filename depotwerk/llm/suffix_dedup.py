@@ -14,8 +14,8 @@ share it (a run) are handled together:
 2. Their windows are the suffixes that are sorted.  They are cut into pieces
    by the distance to the smallest hash and grouped by the bytes all windows
    of a piece have in common; pieces that are alone are unique.  In each group
-   multikey quicksort on eight-byte characters orders suffixes to a shallow
-   depth, and blind tries order the groups with a longer common prefix.
+   sorting ties by one eight-byte character after another (instead of multikey
+   quicksort's three-way partition) orders suffixes to a shallow depth, and blind tries order the groups with a longer common prefix.
    Neighbours that agree in all LENGTH bytes are equal; all but the first repeat.
 
 Content that repeats within a block of a task is resolved there, so a passage
