@@ -136,9 +136,9 @@ class Prefixes:
         return mix((self.sums[end] - self.sums[start]) * self.back[start] + size)
 
 
-def word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every run of non-space bytes, and per text the index of its first word (with the total)."""
-    gap = SPACE[data]
+def word_bounds(data: np.ndarray, at: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every run of bytes not in ``between``, and per text the index of its first word (with the total)."""
+    gap = between[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[at] = True
     full = ~gap

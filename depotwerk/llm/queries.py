@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, near_dedup, packing, passages, secret_scan, suffix_dedup, topk, toxicity
+from . import bpe, centroids, decontamination, exact_dedup, fill_middle, langid, near_dedup, packing, passages, secret_scan, suffix_dedup, topk, toxicity
 from .common import id_bucket, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -62,5 +62,24 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored("form", "output"), 256).alias("restored_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_top_k, op3_packing, op4_language, op5_toxicity, op6_passages, op7_secrets, op8_bpe, op9_near_dedup, op10_suffix_dedup)}
+    op1_exact_dedup, op2_top_k, op3_packing, op4_language, op5_toxicity, op6_passages, op7_secrets, op8_bpe, op9_near_dedup, op10_suffix_dedup,
+    op11_centroids, op12_decontamination, op13_fill_middle)}
