@@ -3,6 +3,8 @@
 Texts are encoded by the tiktoken library.  Long texts are cut before the
 library's regular expression sees them, only at places where no match can
 span the cut, so memory and time stay in proportion and the ids are the same.
+Long runs of white space, on which the expression's look-ahead would exhaust
+its stack, are encoded as the one match that they are.
 """
 
 from __future__ import annotations
@@ -25,6 +27,11 @@ LONG = 1 << 16  # characters of a text beyond which it is cut
 # leading space of a word and runs of white space contain white space at all.
 _SAFE = re.compile(r"(?<=\S)[ \n]")
 
+# The white space of the patterns.
+_WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_RUN = re.compile(f"[{_WHITE}]{{4096,}}")
+_LAST_BRANCHES = r"|\s+(?!\S)|\s+"
+
 _IDS = "doc_id long, ids array<int>"
 
 
@@ -38,6 +45,12 @@ def encoding(path: str, pattern: str):
     return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+@cache
+def _runs_stand_alone(pattern: str) -> bool:
+    """Whether white space is matched by the two last branches only, besides single leading blanks."""
+    return pattern.endswith(_LAST_BRANCHES) and r"\s" not in pattern.removesuffix(_LAST_BRANCHES).replace(r"[^\s", "")
+
+
 @cache
 def _decimal(path: str, pattern: str) -> list[str]:
     return [str(i) for i in range(encoding(path, pattern).max_token_value + 1)]
@@ -56,10 +69,25 @@ def pieces(text: str, long: int = LONG) -> Iterator[str]:
 
 
 def encode_text(text: str, path: str, pattern: str, long: int = LONG) -> list[int]:
+    """The ids of a text, as the library gives them for the whole of it.
+
+    A run of white space is one match up to its last character, which begins
+    the next one if a visible character follows.  Patterns that treat white
+    space otherwise are left to the library, long runs included.
+    """
     coder = encoding(path, pattern)
     if len(text) <= long:
         return coder.encode_ordinary(text)
-    return [i for piece in pieces(text, long) for i in coder.encode_ordinary(piece)]
+    ids, start = [], 0
+    for run in _RUN.finditer(text) if _runs_stand_alone(pattern) else ():
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        for piece in pieces(text[start : run.start()], long):
+            ids += coder.encode_ordinary(piece)
+        ids += encoding(path, r"\s+").encode_ordinary(text[run.start() : end])
+        start = end
+    for piece in pieces(text[start:], long):
+        ids += coder.encode_ordinary(piece)
+    return ids
 
 
 def decode_ids(ids: list[int], path: str, pattern: str) -> bytes:

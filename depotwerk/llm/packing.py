@@ -31,12 +31,18 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, buck
 # ---------------------------------------------------------------- tokens
 
 
+def _ends_in_letter(word: str) -> bool:
+    """Whether the last character is a Latin letter that stays one letter in lower case (that of İ ends in a mark)."""
+    last = word[-1:]
+    return last.isalpha() and last < "\u0250" and len(last.lower()) == 1
+
+
 class WordTokens:
     """Ids of texts by a tokenizer that never joins across white space, with the ids of words remembered.
 
     Words are cut at the four commonest white-space characters only; whatever
     else the tokenizer treats as a boundary stays inside a word and is left to
-    it.  Words are remembered in two generations: when the younger is full it
+    it, special tokens named in the text included.  Words are remembered in two generations: when the younger is full it
     becomes the older, and words met again move to the younger.
     """
 
@@ -44,7 +50,6 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.cached = cached
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
@@ -64,7 +69,7 @@ class WordTokens:
             self.known[word] = self.older[word]
         new = new.difference(self.known)
         # a comma or full stop after a letter is a token of its own (contractions left aside)
-        ended = {word for word in new if word[-1] in ",." and word[-2:-1].isalpha() and "'" not in word}
+        ended = {word for word in new if word[-1] in ",." and "'" not in word and _ends_in_letter(word[:-1])}
         self._learn(list(new.difference(ended).union(word[:-1] for word in ended).union(",.").difference(self.known)))
         for word in ended:
             self.known[word] = self.known[word[:-1]] + self.known[word[-1]]

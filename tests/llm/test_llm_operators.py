@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from depotwerk.llm import bpe, exact_dedup, graph, langid, near_dedup, packing, passages, secret_scan, suffix_dedup, topk, toxicity
 from depotwerk.llm.common import ship
@@ -130,9 +131,9 @@ def test_plan_is_best_fit_decreasing(seed):
 
 def test_pack_documents(spark):
     rng = random.Random(3)
-    texts = [*ODD, "it's o'clock, don't; 3.14...", "a\x1cb", *[" ".join(words(rng, rng.randrange(400))) for _ in range(60)], *["same copy"] * 20]
+    texts = [*ODD, "it's o'clock, don't; 3.14...", "a\x1cb", "pre <|endoftext|> post<|startoftext|>,x", "İ, İ. Iİ,\u0307.", *[" ".join(words(rng, rng.randrange(400))) for _ in range(60)], *["same copy"] * 20]
     rows = packing.pack_documents(table(spark, texts), TOKENIZER, 256).collect()
-    tokenizer = packing.word_tokens(TOKENIZER).tokenizer
+    tokenizer = Tokenizer.from_file(TOKENIZER)
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
         by_doc[r.doc_id].append(r)
@@ -153,6 +154,17 @@ def test_pack_documents(spark):
     assert len(by_sequence) == len(plain_best_fit([r.length for r in rows], 256))
 
 
+def test_ids_are_those_of_the_tokenizer():
+    """Words are remembered and cut at commas; whatever the library does with a whole text must come out."""
+    rng = random.Random(1)
+    parts = ["İ", "i", "Ä", "ß", "\u0307", "\u0308", "é", ",", ".", "'", "'s", "<|endoftext|>", "<|startoftext|>", "<|", "|>", " ", "  ", "\n", "\t",
+             "\x0b", "\xa0", "\u2028", "1", "K", "ſ", "日", "ﬁ", "ǅ", "=", "\u0338", "𝔘", "Σ", "\x1c", "\x85", "the", "and,"]
+    whole, known = Tokenizer.from_file(TOKENIZER), packing.WordTokens(TOKENIZER, 2000)
+    for _ in range(8000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 14)))
+        assert np.frombuffer(known.ids([text])[0], "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
 def test_pack_edges(spark):
     assert packing.pack_documents(table(spark, []), TOKENIZER).collect() == []
     got = packing.pack_documents(table(spark, ["x", "x", None], [1, 1, None]), TOKENIZER).collect()
@@ -437,6 +449,23 @@ def test_bpe_round_trip(spark):
     assert bpe.round_trip(table(spark, []), RANKS, public_tokenizers.PATTERN).collect() == []
 
 
+def test_long_runs_of_white_space():
+    """Runs as parts of texts against the library, and runs on which the library alone would fail."""
+    rng = random.Random(3)
+    coder = bpe.encoding(RANKS, public_tokenizers.PATTERN)
+    for _ in range(120):
+        text = ""
+        for _ in range(rng.randrange(1, 6)):
+            text += "".join(rng.choice(["a", "b'll", "1", "é", "!", " x", "\x1c", "\x1f"]) for _ in range(rng.randrange(6)))
+            text += rng.choice([" ", "\n", "\t", "\xa0", "\r\n", "\x85", "\u3000", "  \n"]) * rng.choice([1, 2, 4095, 4096, 5000, 20000])
+        text += rng.choice(["", "a", " a", "!", "\x1c"])
+        assert bpe.encode_text(text, RANKS, public_tokenizers.PATTERN, long=100) == coder.encode_ordinary(text)
+    for text in (" " * 2_000_000 + "a", "\n" * 2_000_000, "x" + "\t" * 2_000_000 + "y", " \n" * 1_000_000 + "z"):
+        ids = bpe.encode_text(text, RANKS, public_tokenizers.PATTERN)
+        assert bpe.decode_ids(ids, RANKS, public_tokenizers.PATTERN).decode() == text
+    assert not bpe._runs_stand_alone(r"\s*[\r\n]|\s+(?!\S)|\s+")
+
+
 def test_long_texts_are_cut_at_safe_places():
     rng = random.Random(1)
     bits = ["word", " ", "  ", "\n", "\n\n", "\t", "!?", "'s", "12", "é", "\xa0", "\x1c", "　", " x"]

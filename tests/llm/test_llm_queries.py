@@ -10,9 +10,10 @@ import duckdb
 import numpy as np
 import pytest
 from test_llm_operators import TOKENIZER, plain_best_fit, plain_near, plain_secrets, words
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from depotwerk.llm import oracle, packing, queries
+from depotwerk.llm import oracle, queries
 from depotwerk.llm.common import ship
 
 SF = "/root/testdata/sf0.001"
@@ -91,7 +92,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
             at = max(at, end)
         masked[i] = "".join([*out, t[at:]])
     assert set(got) == set(masked) and any("[SECRET]" in t for t in masked.values())
-    tokenizer = packing.word_tokens(TOKENIZER).tokenizer
+    tokenizer = Tokenizer.from_file(TOKENIZER)
     for i, t in masked.items():
         ids = np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], "<u4")
         assert [(r.piece, r.length, r.ids_crc32) for r in got[i]] == [(0, len(ids), zlib.crc32(ids.tobytes()))]
