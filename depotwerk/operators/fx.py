@@ -8,7 +8,7 @@ type EZB wins, then the newest batch, then the newest arrival.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import canonical
@@ -18,6 +18,7 @@ HOME = "EUR"
 PREFERRED_TYPE = "EZB"
 LOOKBACK_DAYS = 5
 RATE_TYPE = "decimal(15,8)"
+PIECE_DAYS = 64  # of a currency that are sorted together
 
 
 def _quotes(fx: DataFrame, allow_inverse: bool) -> DataFrame:
@@ -47,33 +48,71 @@ def _quotes(fx: DataFrame, allow_inverse: bool) -> DataFrame:
     return quotes
 
 
-def eur_rate_table(
-    fx: DataFrame, *, lookback: int = LOOKBACK_DAYS, allow_inverse: bool = False
-) -> DataFrame:
-    """Two tiers of (waehrung, gilt_am, batch_id, kurs), one row per key.
+def rate_requests(rows: DataFrame, currency: Column, on_date: str) -> DataFrame:
+    """(waehrung, gilt_am, batch_id): the different rates the rows ask for."""
+    return (
+        rows.select(currency.alias("waehrung"), F.col(on_date).alias("gilt_am"), F.col("batch_id").cast("bigint").alias("batch_id"))
+        .where((F.col("waehrung") != HOME) & F.col("gilt_am").isNotNull())
+        .distinct()
+    )
+
 
-    With a batch id: the rate that batch delivered for that very day.  Without
-    one: the look-back rate of the day.  Quotes are reduced to one per
-    currency, day and batch before anything is widened, and no row gathers a
-    list, so the number of batches does not matter.
+def eur_rates(
+    requests: DataFrame, fx: DataFrame, *, lookback: int = LOOKBACK_DAYS, allow_inverse: bool = False,
+    piece_days: int = PIECE_DAYS,
+) -> DataFrame:
+    """(waehrung, gilt_am, batch_id, kurs): the rate of each request that has one.
+
+    Quotes and requests are sorted together by currency and day, and each
+    request takes the last quote before it, so the look-back costs nothing:
+    it only decides whether that quote is too old.  Both sides are reduced
+    first, to one quote per currency, day and batch and to the different
+    requests; what remains is cut into pieces of ``piece_days`` days, so a
+    piece has a bounded number of rows per batch however many rows ask for
+    it.  The last quote of the earlier pieces comes from a table with one
+    row per currency and piece.
     """
-    per_batch = (
+    first = Window.partitionBy("waehrung", "kursdatum", "batch_id").orderBy(F.desc("klasse"), F.desc_nulls_last("stg_id"))
+    quotes = (
         _quotes(fx, allow_inverse)
-        .groupBy("waehrung", "kursdatum", "batch_id")
-        .agg(F.max(F.struct("klasse", "stg_id", "kurs")).alias("bester"))
+        .withColumn("rang", F.row_number().over(first)).where("rang = 1")
+        .select("waehrung", F.col("kursdatum").alias("tag"), F.col("batch_id").cast("bigint").alias("batch_id"),
+                "klasse", "stg_id", "kurs", F.lit(False).alias("gefragt"))
+    )
+    asked = requests.select("waehrung", F.col("gilt_am").alias("tag"), "batch_id").where(
+        "waehrung IS NOT NULL AND tag IS NOT NULL").distinct()
+    both = (
+        quotes.unionByName(asked.withColumn("gefragt", F.lit(True)), allowMissingColumns=True)
+        .withColumn("teil", F.floor(F.unix_date("tag") / piece_days))
+        .repartition("waehrung", "teil")
     )
-    exact = per_batch.select("waehrung", F.col("kursdatum").alias("gilt_am"), "batch_id", "bester.kurs")
-    per_day = per_batch.groupBy("waehrung", "kursdatum").agg(
-        F.max(F.struct("bester.klasse", "batch_id", "bester.stg_id", "bester.kurs")).alias("bester"))
-    # each day stays valid for itself and the next `lookback` days; the
-    # youngest valid day wins, which turns the range condition into equality
-    newest = (
-        per_day.withColumn("alter", F.explode(F.sequence(F.lit(0), F.lit(lookback))))
-        .groupBy("waehrung", F.date_add("kursdatum", F.col("alter")).alias("gilt_am"))
-        .agg(F.min(F.struct("alter", "bester.kurs")).alias("letzter"))
-        .select("waehrung", "gilt_am", F.lit(None).cast("bigint").alias("batch_id"), "letzter.kurs")
+    day = Window.partitionBy("waehrung", "teil", "tag").orderBy(
+        "gefragt", F.desc("klasse"), F.desc_nulls_last("batch_id"), F.desc_nulls_last("stg_id"))
+    whole_day = day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    own_batch = Window.partitionBy("waehrung", "teil", "tag", "batch_id")
+    so_far = Window.partitionBy("waehrung", "teil").orderBy("tag").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    merged = both.withColumns({
+        "tageskurs": F.first("kurs").over(whole_day),
+        "eigener": F.max("kurs").over(own_batch),
+    }).withColumn("letzter", F.last(_quote("tag", "tageskurs"), ignorenulls=True).over(so_far))
+
+    ends = merged.groupBy("waehrung", "teil").agg(
+        F.max(F.when(F.col("tageskurs").isNotNull(), F.col("tag"))).alias("tag"),
+        F.max_by("tageskurs", F.when(F.col("tageskurs").isNotNull(), F.col("tag"))).alias("kurs"))
+    before = Window.partitionBy("waehrung").orderBy("teil").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("waehrung", "teil", F.last(_quote("tag", "kurs"), ignorenulls=True).over(before).alias("vorher"))
+
+    newest = F.coalesce("letzter", "vorher")
+    fresh = F.when(F.date_diff(F.col("tag"), newest["tag"]) <= lookback, newest["kurs"])
+    return (
+        merged.where("gefragt").join(carried, ["waehrung", "teil"], "left")
+        .select("waehrung", F.col("tag").alias("gilt_am"), "batch_id", F.coalesce("eigener", fresh).alias("kurs"))
+        .where("kurs IS NOT NULL")
     )
-    return exact.where("batch_id is not null").unionByName(newest)
+
+
+def _quote(day: str, rate: str) -> Column:
+    return F.when(F.col(rate).isNotNull(), F.struct(F.col(day).alias("tag"), F.col(rate).alias("kurs")))
 
 
 def with_eur_rate(
@@ -89,23 +128,19 @@ def with_eur_rate(
 ) -> DataFrame:
     """Add the EUR rate of ``currency`` on ``on_date`` for the row's own batch.
 
-    ``rates`` comes from :func:`eur_rate_table`; each tier is one lookup.
+    ``rates`` comes from :func:`eur_rates` and holds what the rows ask for; it
+    is one lookup.  A row without a batch has its rate under the NULL batch.
     """
-    asked = rows.withColumns({"waehrung__fx": currency, "gilt_am__fx": F.col(on_date), "batch__fx": F.col("batch_id")})
-
-    def add(asked: DataFrame, tier: DataFrame, on: dict[str, str], into: str) -> DataFrame:
-        return lookup(asked, tier.withColumnsRenamed({**on, "kurs": into}), list(on.values()),
-                      spread_by=spread_by, table_rows=rate_rows, max_rows=max_rows)
-
-    day = {"waehrung": "waehrung__fx", "gilt_am": "gilt_am__fx"}
-    joined = add(asked, rates.where("batch_id is not null"), {**day, "batch_id": "batch__fx"}, "am_tag__fx")
-    joined = add(joined, rates.where("batch_id is null").drop("batch_id"), day, "letzter__fx")
-    rate = F.when(F.col("waehrung__fx") == HOME, F.lit(1).cast(RATE_TYPE)).otherwise(
-        F.coalesce("am_tag__fx", "letzter__fx")
-    )
-    return joined.withColumn(into, rate.cast(RATE_TYPE)).drop(
-        "waehrung__fx", "gilt_am__fx", "batch__fx", "letzter__fx", "am_tag__fx"
-    )
+    # a struct around a NULL batch equals another one
+    asked = rows.withColumns({
+        "waehrung__fx": currency, "gilt_am__fx": F.col(on_date), "batch__fx": F.struct(F.col("batch_id").cast("bigint").alias("b"))})
+    table = rates.select(
+        F.col("waehrung").alias("waehrung__fx"), F.col("gilt_am").alias("gilt_am__fx"),
+        F.struct(F.col("batch_id").alias("b")).alias("batch__fx"), F.col("kurs").alias("kurs__fx"))
+    joined = lookup(asked, table, ["waehrung__fx", "gilt_am__fx", "batch__fx"],
+                    spread_by=spread_by, table_rows=rate_rows, max_rows=max_rows)
+    rate = F.when(F.col("waehrung__fx") == HOME, F.lit(1).cast(RATE_TYPE)).otherwise(F.col("kurs__fx"))
+    return joined.withColumn(into, rate.cast(RATE_TYPE)).drop("waehrung__fx", "gilt_am__fx", "batch__fx", "kurs__fx")
 
 
 def in_eur(amount: Column, rate: str = "wechselkurs_eur", scale_type: str = "decimal(20,2)") -> Column:

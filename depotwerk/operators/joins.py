@@ -21,6 +21,11 @@ BROADCAST_BYTES = 128 << 20
 # Pieces of a key in a shuffle join.  Adaptive skew handling splits further.
 PIECES = 16
 
+# Of a key that is counted as hot: rows for one task, pieces, and keys that are looked at.
+ROWS_PER_PIECE = 1_000_000
+MOST_PIECES = 4096
+HOT_KEYS = 1024
+
 _PIECE = "__teil"
 
 
@@ -72,6 +77,41 @@ def split_hot_join(
     return left.join(right, [*on, _PIECE], how).drop(_PIECE)
 
 
+def hot_keys(rows: DataFrame, on: Sequence[str], rows_per_piece: int = ROWS_PER_PIECE) -> DataFrame:
+    """(on, __teile): keys with more rows than one task should take, and into how many pieces to cut them.
+
+    At most ``HOT_KEYS``, the largest: that bounds the table, which is broadcast.
+    What is beyond is even enough for adaptive skew handling.
+    """
+    counts = rows.groupBy(*on).agg(F.count("*").alias("__zeilen")).where(F.col("__zeilen") > rows_per_piece)
+    pieces = F.least(F.ceil(F.col("__zeilen") / rows_per_piece), F.lit(MOST_PIECES)).cast("int")
+    largest = counts.orderBy(F.desc("__zeilen"), *on).limit(HOT_KEYS).select(*on, pieces.alias("__teile")).collect()
+    schema = T.StructType([*[rows.schema[c] for c in on], T.StructField("__teile", T.IntegerType())])
+    return rows.sparkSession.createDataFrame(largest, schema)
+
+
+def split_hot(
+    rows: DataFrame, table: DataFrame, on: Sequence[str], hot: DataFrame, *, spread_by: Sequence[str]
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of a join and its columns, with the hot keys cut into pieces.
+
+    Only the hot keys' rows of ``table`` are copied, once per piece.
+    """
+    marks = {c: f"__heiss_{c}" for c in on}
+    hot = F.broadcast(hot.withColumnsRenamed(marks))
+
+    def marked(side: DataFrame) -> DataFrame:
+        same = F.lit(True)
+        for c, mark in marks.items():
+            same = same & F.col(c).eqNullSafe(F.col(mark))
+        return side.join(hot, same, "left").drop(*marks.values())
+
+    pieces = F.coalesce("__teile", F.lit(1))
+    left = marked(rows).withColumn(_PIECE, F.pmod(F.xxhash64(*spread_by), pieces).cast("int")).drop("__teile")
+    right = marked(table).withColumn(_PIECE, F.explode(F.sequence(F.lit(0), pieces - 1))).drop("__teile")
+    return left, right, [*on, _PIECE]
+
+
 def anti(rows: DataFrame, existing: DataFrame, on: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Rows whose key is absent from ``existing``.
 

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from ..functions import moment
 from ..schemas import nullable
-from .joins import BROADCAST_ROWS, small_enough
+from .joins import BROADCAST_ROWS, ROWS_PER_PIECE, hot_keys, small_enough, split_hot
 
 OPEN_END = date(9999, 12, 31)
+BIN_DAYS = 366  # of a point-in-time join by shuffle
 
 
 @dataclass(frozen=True)
@@ -62,9 +63,11 @@ def scd2(
     """
     delivered = F.broadcast(batch) if small_enough(batch, max_rows) else batch
 
-    history = dim.where(F.col("ist_aktuell") != "J")
+    # a row without a flag is not current
+    current = F.coalesce("ist_aktuell", F.lit("N")) == "J"
+    history = dim.where(~current)
     compared = (
-        dim.where(F.col("ist_aktuell") == "J").alias("alt")
+        dim.where(current).alias("alt")
         .join(
             delivered.select(key, *tracked, F.lit(True).alias("__da")).alias("neu"),
             F.col(f"alt.{key}") == F.col(f"neu.{key}"),
@@ -118,23 +121,35 @@ def version_at(dim: DataFrame, on: date | Column) -> DataFrame:
 
 def point_in_time(
     rows: DataFrame, dim: DataFrame, *, key: str, on_date: str, take: Sequence[str],
-    max_rows: int = BROADCAST_ROWS,
+    spread_by: Sequence[str] | None = None, max_rows: int = BROADCAST_ROWS, bin_days: int = BIN_DAYS,
+    rows_per_piece: int = ROWS_PER_PIECE,
 ) -> DataFrame:
     """Attach the dimension version valid on each row's own date.
 
-    Equality on the key plus a range on the date.  A version list beyond the
-    broadcast bound is joined by shuffle, where AQE cuts skewed keys.
+    A version list within the broadcast bound meets the rows where they are.
+    Beyond that both sides are shuffled by key and bin of ``bin_days`` days: a
+    version lies in every bin that it shares with the dates of the rows, a row
+    in one.  Keys with many rows are cut into pieces; ``spread_by`` (all
+    columns) tells their rows apart.  Rows without a valid version, a key or a
+    date keep NULL.
     """
     side = dim.select(key, "gueltig_von", "gueltig_bis", *take)
     if small_enough(side, max_rows):
-        side = F.broadcast(side)
-    return (
-        rows.alias("r")
-        .join(
-            side.alias("d"),
-            (F.col(f"r.{key}") == F.col(f"d.{key}"))
-            & F.col(f"r.{on_date}").between(F.col("d.gueltig_von"), F.col("d.gueltig_bis")),
-            "left",
-        )
-        .select("r.*", *[f"d.{c}" for c in take])
-    )
+        left, right, on = rows, F.broadcast(side), [key]
+    else:
+        first, last = rows.agg(F.min(on_date), F.max(on_date)).first()
+        hot = hot_keys(rows, [key], rows_per_piece)
+        left, right, on = split_hot(rows, side, [key], hot, spread_by=spread_by or rows.columns)
+
+        def bin_of(day: Column) -> Column:
+            return F.floor(F.unix_date(day) / bin_days)
+
+        begin, end = F.greatest("gueltig_von", F.lit(first)), F.least("gueltig_bis", F.lit(last))
+        left = left.withColumn("__bin", bin_of(F.col(on_date)))
+        overlaps = begin <= end if first is not None else F.lit(False)
+        right = right.where(overlaps).withColumn("__bin", F.explode(F.sequence(bin_of(begin), bin_of(end))))
+        on = [*on, "__bin"]
+    match = reduce(lambda a, b: a & b, [F.col(f"r.{c}") == F.col(f"d.{c}") for c in on])
+    valid = F.col(f"r.{on_date}").between(F.col("d.gueltig_von"), F.col("d.gueltig_bis"))
+    return left.alias("r").join(right.alias("d"), match & valid, "left").select(
+        *[f"r.{c}" for c in rows.columns], *[f"d.{c}" for c in take])

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date, datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import de_date, de_timestamp, moment, run_time
@@ -62,35 +63,48 @@ def last_batch_status(log: DataFrame) -> DataFrame:
     return found.agg(*[F.first(c).alias(c) for c in found.columns])
 
 
-def quality_report(tables: Mapping[str, DataFrame], *, with_fx: bool = False) -> DataFrame:
+def quality_measures(rows: DataFrame) -> dict[str, Column]:
+    """Aggregates of a validated table: rejected rows, and accepted rows that got no EUR rate."""
+    no_rate = (
+        F.count_if((F.col("ist_gueltig") == "J") & F.col("wechselkurs_eur").isNull())
+        if "wechselkurs_eur" in rows.columns
+        else F.count_if(F.lit(False))
+    )
+    return {"ungueltig": F.count_if(F.col("ist_gueltig") == "N"), "ohne_eur_kurs": no_rate}
+
+
+def quality_report(
+    tables: Mapping[str, DataFrame], *, with_fx: bool = False, labels: Mapping[str, str] | None = None
+) -> DataFrame:
     """Invalid rows per validated table and batch, one counting pass per table.
 
     ``ohne_eur_kurs`` counts accepted rows that got no EUR rate.  Batches
-    without a row in a table have no line for it.
+    without a row in a table have no line for it.  ``labels`` names other
+    tables than those of the report.
     """
-    wanted = dict(REPORT_TABLES)
+    wanted = dict(labels or REPORT_TABLES)
     if with_fx:
         wanted["VOR_WECHSELKURS"] = "Wechselkurse"
     parts = []
     for name in wanted:
         df = tables[name]
-        no_rate = (
-            F.count_if((F.col("ist_gueltig") == "J") & F.col("wechselkurs_eur").isNull())
-            if "wechselkurs_eur" in df.columns
-            else F.lit(0).cast("bigint")
-        )
+        measures = [c.alias(n) for n, c in quality_measures(df).items()]
         parts.append(
-            df.groupBy("batch_id").agg(
-                F.count("*").alias("anzahl"),
-                F.count_if(F.col("ist_gueltig") == "N").alias("ungueltig"),
-                no_rate.alias("ohne_eur_kurs"),
-            ).select("batch_id", F.lit(name).alias("tabelle"), F.lit(wanted[name]).alias("bezeichnung"),
-                     "anzahl", "ungueltig", "ohne_eur_kurs")
+            df.groupBy("batch_id").agg(F.count("*").alias("anzahl"), *measures).select(
+                "batch_id", F.lit(name).alias("tabelle"), F.lit(wanted[name]).alias("bezeichnung"),
+                "anzahl", "ungueltig", "ohne_eur_kurs")
         )
-    report = parts[0]
-    for p in parts[1:]:
-        report = report.unionByName(p)
-    return report
+    return reduce(DataFrame.unionByName, parts)
+
+
+def stored_quality(steps: DataFrame, labels: Mapping[str, str]) -> DataFrame:
+    """The report from the counts that the step log holds, of the last try of each table that was not skipped."""
+    tries = steps.where((F.col("phase") == "TRANSFORMATION") & (F.col("status") != "UEBERSPRUNGEN"))
+    last = tries.groupBy("batch_id", "tabelle").agg(
+        *[F.max_by(c, "schritt_id").alias(c) for c in ("status", "anzahl_saetze", "ungueltig", "ohne_eur_kurs")])
+    label = F.create_map(*[F.lit(x) for pair in labels.items() for x in pair])[F.col("tabelle")]
+    return last.where("status = 'ERFOLGREICH' AND ungueltig IS NOT NULL").select(
+        "batch_id", "tabelle", label.alias("bezeichnung"), F.col("anzahl_saetze").alias("anzahl"), "ungueltig", "ohne_eur_kurs")
 
 
 def verdict(report: DataFrame) -> DataFrame:

@@ -2,21 +2,22 @@
 
 Each function takes staging rows of one or many batches and returns the
 business columns of its ``VOR_`` table; ids and processing time are added on
-write.  Rejected rows are kept and flagged.  ``rates`` is the result of
-:func:`depotwerk.operators.fx.eur_rate_table`.
+write.  Rejected rows are kept and flagged.  ``rates`` holds the result of
+:func:`depotwerk.operators.fx.eur_rates` for the rows' own requests.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import canonical, clean, flow_type, rules, trade_type, with_verdict
 from ..operators.dedupe import latest
-from ..operators.fx import in_eur, with_eur_rate
+from ..operators.fx import in_eur, rate_requests, with_eur_rate
 from ..operators.weights import with_portfolio_weight
 from ..schemas import TABLES
 
@@ -31,6 +32,21 @@ class Rates:
     rows: int | None = None
 
 
+# The staged tables that are converted: currency and date that ask for the rate.
+CONVERTED = {
+    "STG_KV_KURS": ("waehrung", "kursdatum"),
+    "STG_FB_BESTAND": ("waehrung_fonds", "bewertungsdatum"),
+    "STG_FB_TRANSAKTION": ("waehrung", "handelsdatum"),
+    "STG_FB_FONDSBEWEGUNG": ("waehrung", "handelsdatum"),
+}
+
+
+def requested_rates(staged: Mapping[str, DataFrame]) -> DataFrame:
+    """The different rates that the rows of some staged tables ask for."""
+    asked = [rate_requests(rows, canonical(CONVERTED[name][0]), CONVERTED[name][1]) for name, rows in staged.items()]
+    return reduce(DataFrame.unionByName, asked).distinct()
+
+
 def _project(df: DataFrame, table: str, computed: dict[str, Column]) -> DataFrame:
     """Columns of a target table: computed ones, the rest carried over, all in target types."""
     layout = TABLES[table]

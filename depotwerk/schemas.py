@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 _DICTIONARY = {
     "bigint": """
         stg_id vor_id log_id prozess_id batch_id batch_id_erstellt batch_id_geaendert
+        schritt_id ungueltig ohne_eur_kurs
         wertpapier_sk fonds_sk depot_sk waehrung_id land_id branche_id fondswaehrung_id
         domizil_land_id waehrung_papier_id waehrung_fonds_id waehrung_von_id waehrung_nach_id
         bestand_id transaktion_id fondsbewegung_id kurs_id wechselkurs_id
@@ -27,7 +28,7 @@ _DICTIONARY = {
         bewertungsdatum handelsdatum valutatdatum buchungsdatum kursdatum faelligkeitsdatum
         auflagedatum gueltig_von gueltig_bis datum lade_datum""",
     "timestamp": """
-        ladezeit verarbeitungszeit ladestart ladeende prozessstart prozessende
+        ladezeit verarbeitungszeit ladestart ladeende prozessstart prozessende schrittstart schrittende
         erstellt_am geaendert_am src_erstellt_am src_geaendert_am""",
     "decimal(20,6)": """
         nominale stueckzahl einstandskurs aktueller_kurs kurs anteile anteilswert_nav
@@ -298,7 +299,13 @@ _table("STG_LADELOG", """log_id! batch_id! quellsystem! tabelle! ladestart! lade
 _table("ETL_PROZESSLOG", """prozess_id! batch_id! lade_datum! prozessstart! prozessende phase!
     status fehlermeldung erstellt_am""", id_column="prozess_id",
     allowed={"status": ("GESTARTET", "ERFOLGREICH", "FEHLER", "UEBERSPRUNGEN")})
+# One line per finished step of a phase: what a run needs to go on where it
+# stopped, and the counts taken while the step wrote.
+_table("ETL_SCHRITTLOG", """schritt_id! batch_id! phase! tabelle! schrittstart! schrittende! anzahl_saetze
+    ungueltig ohne_eur_kurs status! fehlermeldung erstellt_am!""", id_column="schritt_id", time_column="erstellt_am",
+    allowed={"status": ("ERFOLGREICH", "FEHLER", "UEBERSPRUNGEN")})
 
+LOGS = ("STG_LADELOG", "ETL_PROZESSLOG", "ETL_SCHRITTLOG")
 STAGING = [t for t in TABLES if t.startswith("STG_") and t != "STG_LADELOG"]
 VALIDATED = [t for t in TABLES if t.startswith("VOR_")]
 DIMENSIONS = [t for t in TABLES if t.startswith("DIM_")]

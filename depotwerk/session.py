@@ -13,6 +13,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    "spark.scheduler.mode": "FAIR",  # source systems load side by side
     "spark.ui.enabled": "false",
     # the JIT compiler skips methods above 8000 bytecodes: wide projections run
     # faster as several small methods than as one that is never compiled

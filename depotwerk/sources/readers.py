@@ -7,9 +7,9 @@ literal rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
@@ -153,8 +153,31 @@ def rows_of_day(df: DataFrame, date_column: str, lade_datum: date | None) -> Dat
 
 
 def rows_changed_since(df: DataFrame, changed_column: str, since: datetime | None) -> DataFrame:
-    """Delta delivery: rows changed after the last successful load; all rows on the first load."""
-    return df if since is None else df.where(F.col(changed_column) > moment(since))
+    """Delta delivery: rows changed after the last successful load; all rows on the first load.
+
+    A row without a change time may have changed at any time and is taken.
+    """
+    return df if since is None else df.where(F.col(changed_column).isNull() | (F.col(changed_column) > moment(since)))
+
+
+@dataclass(frozen=True)
+class Delta:
+    """Incremental delivery of a table: its change time, what identifies a row, and how late rows may come."""
+
+    column: str
+    key: tuple[str, ...]
+    overlap: timedelta = timedelta(hours=1)
+
+
+def without_staged(changed: DataFrame, staged: DataFrame, key: Sequence[str], column: str = "src_geaendert_am") -> DataFrame:
+    """Changed rows without those staged before: same key, NULL parts included, and same change time."""
+    def marked(rows: DataFrame) -> DataFrame:
+        # a struct around a NULL equals another one; keys are compared as the staging tables hold them
+        return rows.withColumns({f"__k{i}": F.struct(F.col(c).cast("string").alias("w")) for i, c in enumerate(key)}
+                                | {"__stand": F.col(column).cast("timestamp")})
+
+    marks = [*[f"__k{i}" for i in range(len(key))], "__stand"]
+    return marked(changed).join(marked(staged).select(*marks), marks, "left_anti").drop(*marks)
 
 
 def last_load(log: DataFrame, table: str) -> datetime | None:

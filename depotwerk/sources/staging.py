@@ -31,7 +31,8 @@ def _times_rate(amount: str) -> Column:
 def _stage(delivery: DataFrame, table: str, derived: dict[str, Column], run_ts: datetime) -> DataFrame:
     layout = TABLES[table]
     now = moment(run_ts)
-    values = {"src_erstellt_am": now, "src_geaendert_am": now, **derived}
+    changed = F.col("src_geaendert_am") if "src_geaendert_am" in delivery.columns else now  # a delta brings its own
+    values = {"src_erstellt_am": now, "src_geaendert_am": changed, **derived}
     schema = layout.schema_without(layout.id_column, layout.time_column, layout.partition)
     for name in ARRIVAL:  # where a row comes from is kept until it has its number
         if name in delivery.columns:

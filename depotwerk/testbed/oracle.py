@@ -112,15 +112,18 @@ FX = f"fx AS ({stg('STG_KV_WECHSELKURS')})"
 
 def fx_best(requests: str, lookback: int = 5) -> str:
     """CTEs ``req`` and ``best`` (batch_id, ccy, datum, kurs) over a request list."""
-    return f"""req AS (SELECT DISTINCT batch_id, ccy, datum FROM ({requests})),
-    quote AS (SELECT {code('waehrung_von')} AS ccy, kursdatum, batch_id AS b, cast(kurs AS decimal(15,8)) AS kurs,
+    return f"""req AS MATERIALIZED (SELECT DISTINCT batch_id, ccy, datum FROM ({requests})),
+    quote AS MATERIALIZED (SELECT {code('waehrung_von')} AS ccy, kursdatum, batch_id AS b, cast(kurs AS decimal(15,8)) AS kurs,
         CASE WHEN {code('kurstyp')} = 'EZB' THEN 1 ELSE 0 END AS ezb, stg_id
         FROM fx WHERE {code('waehrung_nach')} = 'EUR'),
-    best AS (SELECT r.batch_id, r.ccy, r.datum, q.kurs FROM req r JOIN quote q
-        ON q.ccy = r.ccy AND q.kursdatum BETWEEN r.datum - {lookback} AND r.datum
-        QUALIFY row_number() OVER (PARTITION BY r.batch_id, r.ccy, r.datum ORDER BY
-            CASE WHEN q.kursdatum = r.datum AND q.b = r.batch_id THEN 1 ELSE 0 END DESC,
-            q.kursdatum DESC, ezb DESC, q.b DESC, stg_id DESC) = 1)"""
+    same AS MATERIALIZED (SELECT ccy, kursdatum, b, kurs FROM quote
+        QUALIFY row_number() OVER (PARTITION BY ccy, kursdatum, b ORDER BY ezb DESC, stg_id DESC) = 1),
+    tag AS MATERIALIZED (SELECT ccy, kursdatum, kurs FROM quote
+        QUALIFY row_number() OVER (PARTITION BY ccy, kursdatum ORDER BY ezb DESC, b DESC, stg_id DESC) = 1),
+    best AS MATERIALIZED (SELECT r.batch_id, r.ccy, r.datum,
+            coalesce(same.kurs, CASE WHEN r.datum - tag.kursdatum <= {lookback} THEN tag.kurs END) AS kurs
+        FROM req r ASOF LEFT JOIN tag ON tag.ccy = r.ccy AND r.datum >= tag.kursdatum
+        LEFT JOIN same ON same.ccy = r.ccy AND same.kursdatum = r.datum AND same.b = r.batch_id)"""
 
 
 def rated(source: str, ccy: str, datum: str, name: str = "r") -> str:
@@ -140,6 +143,11 @@ FX_ASOF = f"""WITH {FX}, {REQUEST_INPUT}, {fx_best(REQUESTS)}
         cast(CASE WHEN req.ccy = 'EUR' THEN 1 ELSE best.kurs END AS double) AS wechselkurs_eur
     FROM req LEFT JOIN best USING (batch_id, ccy, datum)"""
 
+FX_LONG = f"""WITH fx AS ({stg('STG_KV_WECHSELKURS')} WHERE o_orderkey % 1000 < 10), {REQUEST_INPUT}, {fx_best(REQUESTS, 400)}
+    SELECT req.batch_id, req.ccy AS waehrung, cast(req.datum AS varchar) AS datum,
+        cast(CASE WHEN req.ccy = 'EUR' THEN 1 ELSE best.kurs END AS double) AS wechselkurs_eur
+    FROM req LEFT JOIN best USING (batch_id, ccy, datum)"""
+
 # exact tier: same batch and day; then newest day; direct before inverse, EZB first
 FX_INVERSE = f"""WITH {FX}, {REQUEST_INPUT}, req AS ({REQUESTS}),
     quote AS (
@@ -475,6 +483,7 @@ ORACLE: dict[str, str] = {
         cast(coalesce(nettobetrag, bruttobetrag) AS double) AS nettobetrag,
         cast(coalesce(ausgabeaufschlag, 0) AS double) AS ausgabeaufschlag FROM s""",
     "fx_asof": FX_ASOF,
+    "fx_asof_long": FX_LONG,
     "fx_asof_inverse": FX_INVERSE,
     "key_lookup": f"""WITH {DIMS}, s AS ({stg('STG_FB_TRANSAKTION')}) SELECT transaktions_id, s.fonds_id, s.isin,
         fo.sk AS fonds_sk, wp.sk AS wertpapier_sk, de.sk AS depot_sk, cast(cur.id AS bigint) AS waehrung_id,
@@ -541,6 +550,11 @@ ORACLE: dict[str, str] = {
     "point_in_time_version": f"""WITH {VERSIONS}, s AS ({stg('STG_KV_KURS')}) SELECT s.isin,
         cast(s.kursdatum AS varchar) AS kursdatum, cast(v.dwh_version AS bigint) AS dwh_version FROM s LEFT JOIN v
         ON v.isin = s.isin AND s.kursdatum BETWEEN v.gueltig_von AND v.gueltig_bis""",
+    "point_in_time_hot_key": f"""WITH {VERSIONS}, s AS (SELECT l_orderkey, l_linenumber, kursdatum,
+        CASE WHEN l_orderkey % 3 = 0 THEN {mapping.security_number('7')} ELSE isin END AS isin
+        FROM ({stg('STG_KV_KURS', arrival=True)})) SELECT s.l_orderkey, s.l_linenumber, s.isin,
+        cast(s.kursdatum AS varchar) AS kursdatum, cast(v.dwh_version AS bigint) AS dwh_version FROM s LEFT JOIN v
+        ON v.isin = s.isin AND s.kursdatum BETWEEN v.gueltig_von AND v.gueltig_bis""",
     "versions_at_date": f"""WITH {VERSIONS} SELECT isin, cast(dwh_version AS bigint) AS dwh_version FROM v
         WHERE DATE '1998-02-01' BETWEEN gueltig_von AND gueltig_bis""",
     "surrogate_keys": "SELECT o_orderkey, 1000 + row_number() OVER (ORDER BY o_orderkey) AS sk FROM orders",
@@ -555,6 +569,8 @@ ORACLE: dict[str, str] = {
                                    "zeit_id", "fonds_id", "isin", "depot_nr")], HOLDING_COLS, typed(HOLDING_COLS)),
     "append_trade": append(TRADES, TRADE_FACTS, "transaktions_id").replace(
         "cur.id AS waehrung_id", "cast(cur.id AS bigint) AS waehrung_id"),
+    "append_by_key_filter": f"""SELECT transaktions_id, fonds_id, {zeit('handelsdatum')} AS zeit_id_handel,
+        '199603' AS gelesene_monate FROM ({stg('STG_FB_TRANSAKTION')}) WHERE handelsdatum >= DATE '2000-07-01'""",
     "append_flow": append(
         flows(f"SELECT * REPLACE (cast(cast(bewegungs_id AS bigint) // 3 AS varchar) AS bewegungs_id) "
               f"FROM ({stg('STG_FB_FONDSBEWEGUNG')})"), FLOW_FACTS, "bewegungs_id").replace(

@@ -12,19 +12,21 @@ from pyspark.sql import types as T
 
 from ..functions import canonical, flow_sign, flow_type, isin_error, rules, trade_sign, trade_type, with_verdict
 from ..functions import sql as sql_functions
+from ..functions import zeit_id
 from ..operators import integrity, merge
 from ..operators.calendar import calendar, describe_days
 from ..operators.dedupe import latest
-from ..operators.fx import eur_rate_table, with_eur_rate
+from ..operators.fx import eur_rates, rate_requests, with_eur_rate
 from ..operators.keys import KeyTable, with_key
 from ..operators.numbering import arrival_ids, number_rows
 from ..operators.retention import expired_batches, retain
 from ..operators.scd2 import point_in_time, version_at
 from ..operators.weights import with_portfolio_weight
 from ..plans import dimensions, facts, monitor, transforms
-from ..schemas import TABLES
+from ..schemas import TABLES, nullable
 from ..session import ensure_checkpoint_dir
 from ..sources import readers, seeds, staging
+from ..sources.store import Warehouse
 from . import mapping
 from .mapping import ARRIVAL, Tables
 
@@ -57,8 +59,10 @@ def comparable(df: DataFrame) -> DataFrame:
 
 # --- shared inputs --------------------------------------------------------
 
-def rates(t: Tables) -> transforms.Rates:
-    return transforms.Rates(eur_rate_table(t.stg("STG_KV_WECHSELKURS")))
+def rates(t: Tables, *staged: str) -> transforms.Rates:
+    """The EUR rates that the rows of some staged tables ask for, stored as a load stores them."""
+    table = _stored(eur_rates(transforms.requested_rates({n: t.stg(n) for n in staged}), t.stg("STG_KV_WECHSELKURS")))
+    return transforms.Rates(table, table.count())
 
 
 def reference_keys(t: Tables) -> tuple[KeyTable, KeyTable, KeyTable]:
@@ -102,8 +106,9 @@ def with_row_id(df: DataFrame) -> DataFrame:
 
 def _stored(rows: DataFrame) -> DataFrame:
     """Rows written once, as a load does, before they are used twice."""
-    ensure_checkpoint_dir(rows.sparkSession)
-    return rows.checkpoint()
+    path = f"{ensure_checkpoint_dir(rows.sparkSession)}/arbeit-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(nullable(rows.schema)).parquet(path)
 
 
 def _delivered(rows: DataFrame, table: str) -> DataFrame:
@@ -283,10 +288,21 @@ def _fx_requests(t: Tables) -> DataFrame:
     return holdings.distinct().unionByName(flows.distinct()).distinct()
 
 
+def _asked(t: Tables, fx: DataFrame, **options) -> DataFrame:
+    asked = _stored(_fx_requests(t))
+    table = eur_rates(rate_requests(asked, F.col("waehrung"), "datum"), fx, **options)
+    return with_eur_rate(asked, _stored(table), currency=F.col("waehrung"), on_date="datum", spread_by=["batch_id"])
+
+
 @query
 def fx_asof(t: Tables) -> DataFrame:
-    return with_eur_rate(_fx_requests(t), rates(t).table, currency=F.col("waehrung"), on_date="datum",
-                         spread_by=["batch_id"])
+    return _asked(t, t.stg("STG_KV_WECHSELKURS"))
+
+
+@query
+def fx_asof_long(t: Tables) -> DataFrame:
+    """A look-back of 400 days, from the quotes of every tenth order only."""
+    return _asked(t, t.stg("STG_KV_WECHSELKURS").where("stg_id % 1000 < 10"), lookback=400)
 
 
 @query
@@ -297,9 +313,7 @@ def fx_asof_inverse(t: Tables) -> DataFrame:
         "waehrung_von": F.when(F.col("stg_id") % 2 == 0, F.col("waehrung_nach")).otherwise(F.col("waehrung_von")),
         "waehrung_nach": F.when(F.col("stg_id") % 2 == 0, F.col("waehrung_von")).otherwise(F.col("waehrung_nach")),
     })
-    table = eur_rate_table(turned, allow_inverse=True, lookback=2)
-    return with_eur_rate(_fx_requests(t), table, currency=F.col("waehrung"), on_date="datum",
-                         spread_by=["batch_id"])
+    return _asked(t, turned, allow_inverse=True, lookback=2)
 
 
 @query
@@ -378,25 +392,25 @@ def transform_wechselkurse(t: Tables) -> DataFrame:
 
 @query
 def transform_kurse(t: Tables) -> DataFrame:
-    return transforms.transform_kurse(t.stg("STG_KV_KURS", arrival=True), rates(t), spread_by=ARRIVAL).drop("src_kurs_id")
+    return transforms.transform_kurse(t.stg("STG_KV_KURS", arrival=True), rates(t, "STG_KV_KURS"), spread_by=ARRIVAL).drop("src_kurs_id")
 
 
 @query
 def transform_bestaende(t: Tables) -> DataFrame:
-    return transforms.transform_bestaende(t.stg("STG_FB_BESTAND", arrival=True), rates(t), order_by=ARRIVAL, stored=_stored).drop(
+    return transforms.transform_bestaende(t.stg("STG_FB_BESTAND", arrival=True), rates(t, "STG_FB_BESTAND"), order_by=ARRIVAL, stored=_stored).drop(
         "stg_id", "nominale")
 
 
 @query
 def transform_transaktionen(t: Tables) -> DataFrame:
     return transforms.transform_transaktionen(
-        t.stg("STG_FB_TRANSAKTION", arrival=True), rates(t), spread_by=ARRIVAL).drop("stg_id", "nominale")
+        t.stg("STG_FB_TRANSAKTION", arrival=True), rates(t, "STG_FB_TRANSAKTION"), spread_by=ARRIVAL).drop("stg_id", "nominale")
 
 
 @query
 def transform_fondsbewegungen(t: Tables) -> DataFrame:
     return transforms.transform_fondsbewegungen(
-        t.stg("STG_FB_FONDSBEWEGUNG"), rates(t), spread_by=["bewegungs_id"]).drop("stg_id")
+        t.stg("STG_FB_FONDSBEWEGUNG"), rates(t, "STG_FB_FONDSBEWEGUNG"), spread_by=["bewegungs_id"]).drop("stg_id")
 
 
 # --- dimensions -----------------------------------------------------------
@@ -467,6 +481,17 @@ def point_in_time_version(t: Tables) -> DataFrame:
     return point_in_time(rows, _dated_versions(t), key="isin", on_date="kursdatum", take=["dwh_version"])
 
 
+@query
+def point_in_time_hot_key(t: Tables) -> DataFrame:
+    """The join by shuffle, with one security in a third of the rows."""
+    rows = t.stg("STG_KV_KURS", arrival=True).selectExpr(
+        f"CASE WHEN l_orderkey % 3 = 0 THEN {mapping.security_number('7')} ELSE isin END AS isin", "kursdatum",
+        "l_orderkey", "l_linenumber", "l_extendedprice")
+    found = point_in_time(rows, _dated_versions(t), key="isin", on_date="kursdatum", take=["dwh_version"],
+                          max_rows=0, rows_per_piece=1000)
+    return found.select("l_orderkey", "l_linenumber", "isin", "kursdatum", "dwh_version")
+
+
 @query
 def versions_at_date(t: Tables) -> DataFrame:
     return version_at(_dated_versions(t), date(1998, 2, 1)).select("isin", "dwh_version")
@@ -507,7 +532,7 @@ def _merged(rows: DataFrame, match: tuple[str, ...], update: list[str]) -> DataF
 def upsert_price(t: Tables) -> DataFrame:
     stg = merge.one_per_key(t.stg("STG_KV_KURS", arrival=True), ["isin", "kursdatum", "kurstyp", "boerse", "batch_id"],
                             on_duplicate="latest", order_by=ARRIVAL)
-    vor = with_row_id(transforms.transform_kurse(stg, rates(t), spread_by=ARRIVAL))
+    vor = with_row_id(transforms.transform_kurse(stg, rates(t, "STG_KV_KURS"), spread_by=ARRIVAL))
     rows = facts.price_rows(vor, keys(t)).drop("kurs_hoch", "kurs_tief", "kurs_eroeffnung", "handelsvolumen",
                                                "umsatz_stueck")
     return _merged(rows, TABLES["FAKT_KURS"].unique, facts.PRICE_UPDATE)
@@ -524,26 +549,44 @@ def upsert_fx(t: Tables) -> DataFrame:
 
 @query
 def upsert_holding(t: Tables) -> DataFrame:
-    vor = with_row_id(transforms.transform_bestaende(t.stg("STG_FB_BESTAND", arrival=True), rates(t), order_by=ARRIVAL, stored=_stored))
+    vor = with_row_id(transforms.transform_bestaende(t.stg("STG_FB_BESTAND", arrival=True), rates(t, "STG_FB_BESTAND"), order_by=ARRIVAL, stored=_stored))
     rows = facts.holding_rows(vor, keys(t)).drop("nominale")
     return _merged(rows, TABLES["FAKT_BESTAND"].unique, facts.HOLDING_UPDATE)
 
 
 @query
 def append_trade(t: Tables) -> DataFrame:
-    vor = with_row_id(transforms.transform_transaktionen(t.stg("STG_FB_TRANSAKTION", arrival=True), rates(t),
+    vor = with_row_id(transforms.transform_transaktionen(t.stg("STG_FB_TRANSAKTION", arrival=True), rates(t, "STG_FB_TRANSAKTION"),
                                                          spread_by=ARRIVAL))
     rows = _stored(facts.trade_rows(vor, keys(t)).drop("nominale"))
     return merge.insert_if_absent(rows.where("batch_id = 1"), rows.where("batch_id = 2"),
                                   TABLES["FAKT_TRANSAKTION"].unique)
 
 
+NEW_TRADES, REPEATED_MONTH = "2000-07-01", "1996-03"
+
+
+@query
+def append_by_key_filter(t: Tables) -> DataFrame:
+    """A delivery of new trades and of a month delivered years ago: the key filters name that month only."""
+    trades = t.stg("STG_FB_TRANSAKTION").withColumn("zeit_id_handel", zeit_id("handelsdatum"))
+    store = Warehouse(t.spark, f"{ensure_checkpoint_dir(t.spark)}/lager-{uuid.uuid4().hex}")
+    keys = TABLES["FAKT_TRANSAKTION"].unique
+    store.write_months("FAKT_TRANSAKTION", trades.where(f"handelsdatum < '{NEW_TRADES}'"), "zeit_id_handel", replace=False)
+    store.refresh_key_filters("FAKT_TRANSAKTION", keys)
+    delivery = trades.where(f"handelsdatum >= '{NEW_TRADES}' OR date_format(handelsdatum, 'yyyy-MM') = '{REPEATED_MONTH}'")
+    months = store.months_with_keys("FAKT_TRANSAKTION", delivery, keys)
+    fresh = merge.insert_if_absent(store.read("FAKT_TRANSAKTION", months=months), delivery, keys)
+    read = "alle" if months is None else ",".join(map(str, months))
+    return fresh.select("transaktions_id", "fonds_id", "zeit_id_handel", F.lit(read).alias("gelesene_monate"))
+
+
 @query
 def append_flow(t: Tables) -> DataFrame:
     """Flows of the second batch, half of which were delivered before."""
     stg = t.stg("STG_FB_FONDSBEWEGUNG").withColumn(
         "bewegungs_id", F.floor(F.col("bewegungs_id").cast("bigint") / 3).cast("string"))
-    vor = with_row_id(transforms.transform_fondsbewegungen(stg, rates(t), spread_by=["bewegungs_id"]))
+    vor = with_row_id(transforms.transform_fondsbewegungen(stg, rates(t, "STG_FB_FONDSBEWEGUNG"), spread_by=["bewegungs_id"]))
     rows = _stored(facts.flow_rows(vor, keys(t)))
     return merge.insert_if_absent(rows.where("batch_id = 1"), rows.where("batch_id = 2"),
                                   TABLES["FAKT_FONDSBEWEGUNG"].unique)
@@ -559,7 +602,7 @@ def replace_batch(t: Tables) -> DataFrame:
 
 @query
 def unresolved_keys(t: Tables) -> DataFrame:
-    vor = with_row_id(transforms.transform_fondsbewegungen(t.stg("STG_FB_FONDSBEWEGUNG"), rates(t),
+    vor = with_row_id(transforms.transform_fondsbewegungen(t.stg("STG_FB_FONDSBEWEGUNG"), rates(t, "STG_FB_FONDSBEWEGUNG"),
                                                            spread_by=["bewegungs_id"]))
     _, rejected = merge.split_unresolved(facts.flow_rows(vor, keys(t)), ["fonds_sk", "depot_sk"])
     return rejected.select("bewegungs_id", "fonds_id", "fehlende_schluessel")
@@ -581,7 +624,7 @@ def log_state(t: Tables) -> DataFrame:
 
 @query
 def quality_report(t: Tables) -> DataFrame:
-    r = rates(t)
+    r = rates(t, *transforms.CONVERTED)
     tables = {
         "VOR_WERTPAPIER": transforms.transform_wertpapier(
             t.delivery("STG_WP_STAMMDATEN", 1, broken=True).unionByName(
@@ -666,7 +709,7 @@ def check_violations(t: Tables) -> DataFrame:
 @query
 def reference_violations(t: Tables) -> DataFrame:
     """All foreign keys of the trade facts; the calendar ends early and some funds are unknown."""
-    vor = with_row_id(transforms.transform_transaktionen(t.stg("STG_FB_TRANSAKTION", arrival=True), rates(t), spread_by=ARRIVAL))
+    vor = with_row_id(transforms.transform_transaktionen(t.stg("STG_FB_TRANSAKTION", arrival=True), rates(t, "STG_FB_TRANSAKTION"), spread_by=ARRIVAL))
     parents = {
         "DIM_ZEIT": lambda: calendar(t.spark, date(1992, 1, 1), date(1996, 12, 31)),
         "DIM_FONDS": lambda: funds(t).where("fonds_sk <= 5"), "DIM_WERTPAPIER": lambda: securities(t),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from depotwerk.operators import integrity, merge
 from depotwerk.operators.calendar import calendar
 from depotwerk.operators.dedupe import latest
-from depotwerk.operators.fx import eur_rate_table, with_eur_rate
+from depotwerk.operators.fx import eur_rates, rate_requests, with_eur_rate
 from depotwerk.operators.joins import PIECES, anti, lookup, small_enough, split_hot_join
 from depotwerk.operators.keys import KeyTable
 from depotwerk.operators.numbering import arrival_ids, number_rows, with_arrival
@@ -95,24 +95,39 @@ def brute_rate(quotes, batch, ccy, day, lookback=5):
     return best["kurs"]
 
 
-@pytest.mark.parametrize("max_rows", [1_000_000, 0])
-def test_fx_asof_against_brute_force(spark, max_rows):
-    rnd = random.Random(7)
-    start = date(2024, 1, 1)
+def asked_rates(ask, fx, currency="ccy", **options):
+    return eur_rates(rate_requests(ask, F.col(currency), "d"), fx, **options)
+
+
+@pytest.mark.parametrize(("max_rows", "lookback", "piece_days"), [(1_000_000, 5, 64), (0, 5, 7), (1_000_000, 400, 3), (0, 0, 1)])
+def test_fx_asof_against_brute_force(spark, max_rows, lookback, piece_days):
+    rnd = random.Random(lookback)
+    start, span = date(2024, 1, 1), 60 if lookback < 100 else 900
     quotes = [dict(id=i, batch=rnd.randint(1, 4), von=rnd.choice(["USD", "GBP", "JPY"]),
-                   nach=rnd.choice(["EUR", "EUR", "EUR", "CHF"]), datum=start + timedelta(days=rnd.randint(0, 60)),
-                   typ=rnd.choice(["EZB", "GELD"]), kurs=Decimal(rnd.randint(1, 10**6)) / 10**4) for i in range(80)]
+                   nach=rnd.choice(["EUR", "EUR", "EUR", "CHF"]), datum=start + timedelta(days=rnd.randint(0, span)),
+                   typ=rnd.choice(["EZB", "GELD"]), kurs=Decimal(rnd.randint(1, 10**6)) / 10**4) for i in range(80 if span == 60 else 12)]
     fx = spark.createDataFrame(
         [(q["id"], q["batch"], f" {q['von'].lower()}", q["nach"], q["datum"], q["typ"], q["kurs"]) for q in quotes],
         "stg_id bigint, batch_id bigint, waehrung_von string, waehrung_nach string, kursdatum date, kurstyp string, "
         "kurs decimal(20,8)")
     wanted = [(n, b, c, start + timedelta(days=d)) for n, (b, c, d) in enumerate(
-        (b, c, d) for b in range(1, 5) for c in ("USD", "GBP", "JPY", "EUR", "SEK") for d in range(-2, 70))]
-    wanted.append((9999, 1, "USD", None))
+        (b, c, d) for b in (1, 2, 3, 4, None) for c in ("USD", "GBP", "JPY", "EUR", "SEK", None) for d in range(-2, span + 10, 1 if span == 60 else 29))]
+    wanted += [(9999, 1, "USD", None), *[(10000 + i, 1, "USD", start + timedelta(days=9)) for i in range(50)]]
     df = spark.createDataFrame(wanted, "n int, batch_id bigint, ccy string, d date")
-    got = with_eur_rate(df, eur_rate_table(fx), currency=F.col("ccy"), on_date="d", spread_by=["n"], max_rows=max_rows)
-    expected = {n: brute_rate(quotes, b, c, d) for n, b, c, d in wanted}
-    assert {r.n: r.wechselkurs_eur for r in got.collect()} == expected
+    table = asked_rates(df, fx, lookback=lookback, piece_days=piece_days)
+    got = with_eur_rate(df, table, currency=F.col("ccy"), on_date="d", spread_by=["n"], max_rows=max_rows)
+    expected = {n: brute_rate(quotes, b, c, d, lookback) for n, b, c, d in wanted}
+    assert {r.n: r.wechselkurs_eur for r in got.collect()} == expected and any(v and v != 1 for v in expected.values())
+
+
+def test_fx_rates_are_one_sort_whatever_the_look_back(spark):
+    fx = spark.createDataFrame([(1, 1, "USD", "EUR", date(2024, 1, 1), "EZB", Decimal("0.8"))],
+                               "stg_id bigint, batch_id bigint, waehrung_von string, waehrung_nach string, "
+                               "kursdatum date, kurstyp string, kurs decimal(20,8)")
+    ask = spark.createDataFrame([(1, "USD", date(2024, 1, 3))], "batch_id bigint, ccy string, d date")
+    texts = [plan(asked_rates(ask, fx, lookback=n)) for n in (5, 400)]
+    assert texts[0].count("Exchange") == texts[1].count("Exchange")
+    assert all("Generate" not in t and "SortAggregate" not in t and "NestedLoop" not in t for t in texts)
 
 
 def test_fx_inverse_is_opt_in(spark):
@@ -121,7 +136,7 @@ def test_fx_inverse_is_opt_in(spark):
                                "kursdatum date, kurstyp string, kurs decimal(20,8)")
     ask = spark.createDataFrame([(1, "GBP", date(2024, 1, 3))], "batch_id bigint, ccy string, d date")
     for allowed, rate in ((False, None), (True, Decimal("1.25"))):
-        got = with_eur_rate(ask, eur_rate_table(fx, allow_inverse=allowed), currency=F.col("ccy"), on_date="d", spread_by=["ccy"])
+        got = with_eur_rate(ask, asked_rates(ask, fx, allow_inverse=allowed), currency=F.col("ccy"), on_date="d", spread_by=["ccy"])
         assert got.first().wechselkurs_eur == rate
 
 
@@ -312,6 +327,10 @@ def test_rates_up_to_the_own_batch(spark, tmp_path):
         control.store.stage_batch("STG_KV_WECHSELKURS", fx, number)
         control.store.publish_batches(["STG_KV_WECHSELKURS"], number)
     ask = spark.createDataFrame([(1, date(2024, 1, 4))], "batch_id bigint, d date")
+    asking = spark.createDataFrame([(1, 1, TS, "X", date(2024, 1, 4), "USD")],
+                                   "stg_id bigint, batch_id bigint, ladezeit timestamp, isin string, kursdatum date, waehrung string")
+    control.store.stage_batch("STG_KV_KURS", asking, 1)
+    control.store.publish_batches(["STG_KV_KURS"], 1)
     for policy, rate in (("all", "0.7"), ("up_to_batch", "0.5")):
         control.fx_batches = policy
         got = with_eur_rate(ask, control.rates(1), currency=F.lit("USD"), on_date="d", spread_by=["d"])
@@ -354,7 +373,7 @@ def test_rates_with_large_arrival_numbers_and_many_batches(spark):
                                "stg_id bigint, batch_id bigint, waehrung_von string, waehrung_nach string, kursdatum date, kurstyp string, kurs decimal(20,8)")
     ask = spark.createDataFrame([(1, "USD", day), (7, "USD", day), (900, "USD", day), (1, "USD", date(2024, 1, 20)), (1, "USD", date(2024, 1, 21))],
                                 "batch_id bigint, ccy string, d date")
-    table = eur_rate_table(fx)
+    table = asked_rates(ask, fx)
     assert "collect_list" not in plan(table)
     got = with_eur_rate(ask, table, currency=F.col("ccy"), on_date="d", spread_by=["d"])
     assert Counter((r.batch_id, r.d.day, r.wechselkurs_eur and str(round(r.wechselkurs_eur, 2))) for r in got.collect()) == Counter(

@@ -87,7 +87,7 @@ def test_seeds(spark):
 
 
 def test_layouts():
-    assert len(TABLES) == 28
+    assert len(TABLES) == 29  # those of the contract and the step log
     assert len(TABLES["STG_WP_STAMMDATEN"].columns) == 35
     assert len(TABLES["VOR_BESTAND"].columns) == 24
     assert len(TABLES["DIM_WERTPAPIER"].columns) == 31
