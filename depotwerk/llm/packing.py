@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, shuffle_partitions, written
+from .common import LOWER, as_bytes, blocks, shuffle_partitions, word_bounds, written
 
 CAPACITY = 2048
 CACHED_WORDS = 500_000  # words of a generation; a worker keeps two
@@ -31,12 +31,33 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, buck
 # ---------------------------------------------------------------- tokens
 
 
-def _ends_in_letter(word: str) -> bool:
+_CUTS = np.zeros(256, bool)  # bytes that words are cut at
+_CUTS[[0x20, 0x09, 0x0A, 0x0D]] = True
+
+
+_MARKS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"  # ASCII marks other than those of contractions and special tokens
+
+
+def _ends_in_letter(word: bytes) -> bool:
     """Whether the last character is a Latin letter that stays one letter in lower case (that of İ ends in a mark)."""
-    last = word[-1:]
+    last = word[-4:].decode(errors="ignore")[-1:]
     return last.isalpha() and last < "\u0250" and len(last.lower()) == 1
 
 
+def _lowered(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The texts with A-Z in lower case, where the tokenizer's own steps then give the same.
+
+    Not in texts with characters from U+0300 on, whose marks compose with
+    small letters that have no capital, or with the beginning of a special token.
+    """
+    odd = data >= 0xCC
+    odd[:-1] |= (data[:-1] == 0x3C) & (data[1:] == 0x7C)
+    low = LOWER[data]
+    for text in np.unique(np.searchsorted(at, np.flatnonzero(odd), side="right") - 1).tolist():
+        low[at[text] : at[text + 1]] = data[at[text] : at[text + 1]]
+    return low
+
+
 class WordTokens:
     """Ids of texts by a tokenizer that never joins across white space, with the ids of words remembered.
 
@@ -51,34 +72,50 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cached = cached
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-
-    @staticmethod
-    def words(text: str) -> list[str]:
-        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        self.known: dict[bytes, bytes] = {b"": b""}
+        self.older: dict[bytes, bytes] = {}
 
-    def ids(self, texts: list[str]) -> list[bytes]:
+    def ids(self, texts: pa.Array | list[str]) -> list[bytes]:
         """Per text its ids as little-endian 32-bit numbers."""
-        split = [self.words(t) for t in texts]
-        new = {w for words in split for w in words}.difference(self.known)
-        if len(self.known) + len(new) > self.cached:
-            self.older, self.known = self.known, {"": b""}
-            new = {w for words in split for w in words if w}
-        for word in new.intersection(self.older):
-            self.known[word] = self.older[word]
-        new = new.difference(self.known)
-        # a comma or full stop after a letter is a token of its own (contractions left aside)
-        ended = {word for word in new if word[-1] in ",." and "'" not in word and _ends_in_letter(word[:-1])}
-        self._learn(list(new.difference(ended).union(word[:-1] for word in ended).union(",.").difference(self.known)))
-        for word in ended:
-            self.known[word] = self.known[word[:-1]] + self.known[word[-1]]
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
-
-    def _learn(self, words: list[str], at_once: int = 2000) -> None:
+        data, at = as_bytes(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        data = _lowered(data, at)
+        start, end, first = word_bounds(data, at, _CUTS)
+        ends = np.r_[0, np.cumsum(end - start)]
+        words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(data[~_CUTS[data]])])
+        coded = words.dictionary_encode()  # each word of the texts is looked up once
+        parts = self._of_words(coded.dictionary.to_pylist())
+        size = np.array([len(p) // 4 for p in parts], np.int64)
+        flat, begin, index = np.frombuffer(b"".join(parts), "<u4"), np.cumsum(size) - size, coded.indices.to_numpy()
+        n = size[index]
+        edge = np.r_[0, np.cumsum(n)]
+        found = flat[np.repeat(begin[index] - edge[:-1], n) + np.arange(edge[-1])]
+        bounds = edge[first].tolist()
+        return [found[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+    def _of_words(self, words: list[bytes]) -> list[bytes]:
+        """The ids of different words."""
+        missing = [word for word in words if word not in self.known]
+        if len(self.known) + len(missing) > self.cached:
+            self.older, self.known, missing = self.known, {b"": b""}, words
+        new = []
+        for word in missing:
+            if word in self.older:
+                self.known[word] = self.older[word]
+            elif word:
+                new.append(word)
+        # marks after a letter are a part of their own (contractions left aside)
+        ended = {word: len(word.rstrip(_MARKS)) for word in new if word[-1] in _MARKS and b"'" not in word}
+        ended = {word: cut for word, cut in ended.items() if _ends_in_letter(word[:cut])}
+        parts = {word[:cut] for word, cut in ended.items()}.union(word[cut:] for word, cut in ended.items())
+        self._learn([word for word in parts.union(new) if word not in ended and word not in self.known])
+        for word, cut in ended.items():
+            self.known[word] = self.known[word[:cut]] + self.known[word[cut:]]
+        return [self.known[word] for word in words]
+
+    def _learn(self, words: list[bytes], at_once: int = 2000) -> None:
         for i in range(0, len(words), at_once):
             some = words[i : i + at_once]
-            coded = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            coded = self.tokenizer.encode([w.decode() for w in some], is_pretokenized=True, add_special_tokens=False)
             ids = np.array(coded.ids, "<u4")
             owner = np.array([-1 if w is None else w for w in coded.word_ids], np.int64)
             bounds = np.searchsorted(owner, np.arange(len(some) + 1)).tolist()
@@ -110,7 +147,7 @@ def token_pieces(
         for block in blocks(batches, "text"):
             out = []
             ids, where = block.column("doc_id").to_pylist(), block.column("bucket").to_pylist()
-            texts = tokens.ids([t or "" for t in block.column("text").to_pylist()])
+            texts = tokens.ids(block.column("text"))
             for doc, bucket, raw in zip(ids, where, texts, strict=True):
                 raw += end
                 for piece, at in enumerate(range(0, len(raw), 4 * capacity)):
