@@ -4,15 +4,19 @@ Documents are sets of word shingles; documents with the same set are one
 class from here on.  Independent trees branch the classes by minwise tokens:
 at every level a class goes to the child named by its smallest shingle under
 the hash of that tree and level, so similar sets stay together and others part.
-A node with few classes is compared exhaustively on estimates from the tokens,
-and gives the pairs that join what is similar in it: a spanning forest by
+A node with few classes is compared exhaustively on estimates from the tokens;
+nodes of different trees with the same members are one.  It
+gives the pairs that join what is similar in it: a spanning forest by
 falling similarity and the two best partners of each class, not all pairs.
-Its other similar pairs are confirmed later if their ends are not in one component by then.
 Large nodes go on in several subtrees each.  A node that is still large
 at the last level holds classes of high mutual similarity: its members are
-compared with four pivots, and members that do not reach the component of the
-first pivot are then compared with the whole node.  Links are confirmed on
-full sets, and components of links are the groups.
+compared with two pivots.
+
+Links are confirmed on full sets, and components of links are the groups.  The
+best pair of each class comes first.  All other similar pairs, those that a
+small node did not give included, are confirmed only if their ends are not in one component
+by then; so are members of a node that stays large that are not in the component
+of its first member, with the rest of the node.
 
 A pair of similarity s shares a leaf at depth d with probability s^d in each
 tree; at 0.85, sixteen trees miss it with 10^-13 at depth one.  Inside groups of
@@ -29,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.numbering import number_rows
 from .common import LOWER, Prefixes, as_bytes, blocks, mix, word_bounds, written
 from .graph import components
 
@@ -95,8 +100,8 @@ def _signatures(words: int):
                     token[full, k] = np.minimum.reduceat(short * factor, begin)
             tokens = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * _TOKENS), len(sets), [None, pa.py_buffer(token.tobytes())])
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), pa.array(size), pa.array(key[:, 0].view(np.int64)), pa.array(key[:, 1].view(np.int64)),
-                 tokens.cast(pa.binary())], names=["doc_id", "n", "k1", "k2", "tokens"])
+                [block.column("uid"), block.column("doc_id"), pa.array(size), pa.array(key[:, 0].view(np.int64)),
+                 pa.array(key[:, 1].view(np.int64)), tokens.cast(pa.binary())], names=["uid", "doc_id", "n", "k1", "k2", "tokens"])
 
     return run
 
@@ -158,7 +163,7 @@ def _leaf_pairs(least: float):
 
     def run(nodes: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in nodes:
-            left, right, others, at = [], [], [], 0
+            left, right, value, others, at = [], [], [], [], 0
             sizes = np.diff(batch.column("reps").offsets.to_numpy()) if batch.num_rows else []
             reps = batch.column("reps").flatten().to_numpy()
             bits = batch.column("bits").flatten().to_pylist()
@@ -169,6 +174,7 @@ def _leaf_pairs(least: float):
                     a, b = joining_pairs(similarity, least)
                     left.append(reps[at + a])
                     right.append(reps[at + b])
+                    value.append(similarity[a, b])
                     other = np.triu(similarity >= least, 1)
                     other[a, b] = False
                     if other.any():
@@ -177,14 +183,14 @@ def _leaf_pairs(least: float):
                 at += n
             if left:
                 a, b = np.concatenate(left), np.concatenate(right)
-                yield _found(a=np.minimum(a, b), b=np.maximum(a, b))
+                yield _found(a=np.minimum(a, b), b=np.maximum(a, b), s=np.concatenate(value))
             if others:
                 yield _found(**dict(zip(("node", "reps", "x", "y"), zip(*others, strict=True), strict=True)))
 
     return run
 
 
-_FOUND = {"a": pa.int64(), "b": pa.int64(), "node": pa.int64(), "reps": pa.list_(pa.int64()), "x": pa.binary(), "y": pa.binary()}
+_FOUND = {"a": pa.int64(), "b": pa.int64(), "s": pa.float64(), "node": pa.int64(), "reps": pa.list_(pa.int64()), "x": pa.binary(), "y": pa.binary()}
 
 
 def _found(**columns) -> pa.RecordBatch:
@@ -218,18 +224,20 @@ def _parted(nodes: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def _estimated(pairs: DataFrame, bits: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) with high enough estimated similarity; each class is looked up once per pair."""
+    """Pairs (a, b) with their estimated similarity s, if high enough; each class is looked up once per pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 one = np.frombuffer(b"".join(batch.column("x").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
                 two = np.frombuffer(b"".join(batch.column("y").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-                yield batch.select(["a", "b"]).filter(pa.array((one == two).mean(axis=1) >= least))
+                value = (one == two).mean(axis=1)
+                scored = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(value)], names=["a", "b", "s"])
+                yield scored.filter(pa.array(value >= least))
 
     return (pairs.join(bits.select(F.col("rep").alias("a"), F.col("bits").alias("x")), "a")
             .join(bits.select(F.col("rep").alias("b"), F.col("bits").alias("y")), "b")
-            .select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
+            .select("a", "b", "x", "y").mapInArrow(run, "a long, b long, s double"))
 
 
 def _sets(words: int):
@@ -237,7 +245,7 @@ def _sets(words: int):
         for block in blocks(batches, "text", _BLOCK):
             sets = shingles(block, words)
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["rep", "elements"])
+                [block.column("uid"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["rep", "elements"])
 
     return run
 
@@ -251,6 +259,22 @@ def confirmed(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: in
             .where(F.lit(denominator) * F.col("i") >= F.lit(numerator) * (F.col("n") - F.col("i"))).select("a", "b"))
 
 
+def _best_pairs(pairs: DataFrame) -> DataFrame:
+    """For each class its most similar partner, as pairs (a, b)."""
+    both = pairs.select(F.col("a").alias("rep"), F.struct("s", (-F.col("b")).alias("other")).alias("best")).union(
+        pairs.select(F.col("b").alias("rep"), F.struct("s", (-F.col("a")).alias("other")).alias("best")))
+    best = both.groupBy("rep").agg((-F.max("best")["other"]).alias("other"))
+    return best.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+
+
+def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose ends are in different components (rep, component)."""
+    for end in ("a", "b"):
+        own = label.select(F.col("rep").alias(end), F.col("component").alias(f"of_{end}"))
+        pairs = pairs.join(own, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    return pairs.where("of_a <> of_b").select("a", "b")
+
+
 def near_dedup(
     docs: DataFrame, words: int = 3, numerator: int = 85, *, id_column: str = "doc_id", text_column: str = "text",
     small_node: int = SMALL_NODE,
@@ -260,15 +284,25 @@ def near_dedup(
     Documents are linked if 100 * |intersection| >= ``numerator`` * |union|.
     Null and empty texts, and texts without words, have an empty set and are
     linked with nothing.  Rows with a null id are not linked and are kept.
+    Rows that repeat an id are documents of their own, each linked by its own
+    text; only then does a numbering pass over the table precede.
     """
     least = numerator / 100 - MARGIN
     rows = _documents(docs, id_column, text_column)
-    signed = written(rows.mapInArrow(_signatures(words), "doc_id long, n long, k1 long, k2 long, tokens binary"))
-    linkable = signed.where("n > 0 and doc_id is not null")
-    classes = linkable.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"))
+    plain = rows.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
+    if plain:
+        rows = rows.withColumn("uid", F.col("doc_id"))
+    else:  # numbers rise with the ids, so the smallest number of a component is that of its smallest id
+        ordered = rows.withColumn("order", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
+        rows = written(number_rows(ordered, ["order", "text"], "uid").drop("order"))
+    texts = rows.select("uid", "text")
+    signed = written(rows.select(F.when(F.col("doc_id").isNotNull(), F.col("uid")).alias("uid"), "doc_id", "text").mapInArrow(
+        _signatures(words), "uid long, doc_id long, n long, k1 long, k2 long, tokens binary"))
+    linkable = signed.where("n > 0 and uid is not null")
+    classes = linkable.groupBy("k1", "k2", "n").agg(F.min("uid").alias("rep"))
     reps = written(
-        linkable.join(classes.select(F.col("rep").alias("doc_id"), "k1", "k2"), ["doc_id", "k1", "k2"], "left_semi")
-        .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "tokens"))
+        linkable.join(classes.select(F.col("rep").alias("uid"), "k1", "k2"), ["uid", "k1", "k2"], "left_semi")
+        .select(F.col("uid").alias("rep"), "tokens"))
 
     # branch: a class ends in the first small node on its path; a node on its own has no pairs
     def sized(nodes: DataFrame) -> DataFrame:
@@ -295,47 +329,51 @@ def near_dedup(
         if last == LEVELS:
             stuck = still.select("node", "rep")
 
-    # one byte per token is enough for an estimate
+    # one byte per token is enough for an estimate; it goes once to each different set of members
     bits = reps.mapInArrow(_bits, "rep long, bits binary")
-    grouped = leaf.join(bits, "rep").groupBy("node").agg(F.collect_list("rep").alias("reps"), F.collect_list("bits").alias("bits"))
+    members = leaf.groupBy("node").agg(F.sort_array(F.collect_list("rep")).alias("reps"))
+    members = members.groupBy("reps").agg(F.min("node").alias("node"))
+    grouped = (members.select("node", F.explode("reps").alias("rep")).join(bits, "rep")
+               .groupBy("node").agg(F.collect_list("rep").alias("reps"), F.collect_list("bits").alias("bits")))
     found = written(grouped.select("node", "reps", "bits").mapInArrow(
-        _leaf_pairs(least), "a long, b long, node long, reps array<long>, x binary, y binary"))
-    pairs = found.where("a is not null").select("a", "b").distinct()
+        _leaf_pairs(least), "a long, b long, s double, node long, reps array<long>, x binary, y binary"))
+    pairs = found.where("a is not null").select("a", "b", "s")
     others = found.where("node is not null").select("node", "reps", "x", "y")
     if stuck is not None:
         shuffled = F.xxhash64("rep")
-        pivot = stuck.groupBy("node").agg(
-            F.min("rep").alias("p1"), F.max("rep").alias("p2"), F.min_by("rep", shuffled).alias("p3"), F.max_by("rep", shuffled).alias("p4"))
-        star = stuck.join(pivot, "node").select("rep", F.explode(F.array("p1", "p2", "p3", "p4")).alias("p")).where("rep <> p")
+        pivot = stuck.groupBy("node").agg(F.min("rep").alias("p1"), F.min_by("rep", shuffled).alias("p2"))
+        star = stuck.join(pivot, "node").select("rep", F.explode(F.array("p1", "p2")).alias("p")).where("rep <> p")
         star = star.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
-        pairs = pairs.unionByName(_estimated(star, bits, least)).distinct()
-    pairs = written(pairs)
+        pairs = pairs.unionByName(_estimated(star, bits, least))
+    pairs = written(pairs.groupBy("a", "b").agg(F.max("s").alias("s")))
 
     # full sets of all classes that may take part in a comparison: the texts move once
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
+    ids = pairs.select(F.col("a").alias("uid")).union(pairs.select("b"))
     if stuck is not None:
         ids = ids.union(stuck.select("rep"))
-    sets = written(rows.join(ids.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(
-        _sets(words), "rep long, elements array<long>"))
-    links = written(confirmed(pairs, sets, numerator))
+    sets = written(texts.join(ids.distinct(), "uid", "left_semi").mapInArrow(_sets(words), "rep long, elements array<long>"))
+    best = written(_best_pairs(pairs))
+    links = written(confirmed(best, sets, numerator))
     groups = written(components(links))
     label = groups.select(F.col("id").alias("rep"), "component")
-    # estimates chose the pairs: where confirmation refuted them, the others may still join
-    rest = _parted(others, label)
+    rest = _apart(pairs, label).unionByName(_parted(others, label))
     if stuck is not None:
         member = stuck.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         home = member.groupBy("node").agg(F.min_by("component", "rep").alias("home"))
         outside = member.join(home, "node").where("component <> home").select("node", F.col("rep").alias("p"), F.col("component").alias("c"))
         across = (outside.join(member.select("node", "rep", "component"), "node").where("component <> c")
                   .select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct())
-        rest = rest.unionByName(_estimated(across, bits, least)).distinct()
-    rest = written(rest.join(pairs, ["a", "b"], "left_anti"))
+        rest = rest.unionByName(_estimated(across, bits, least).select("a", "b"))
+    rest = written(rest.distinct().join(best, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         links = links.unionByName(confirmed(rest, sets, numerator))
         groups = components(links)
 
     named = (classes.join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left")
              .select("k1", "k2", "n", F.coalesce("component", "rep").alias("found")))
+    if not plain:
+        lowest = signed.select(F.col("uid").alias("found"), F.col("doc_id").alias("lowest")).where("found is not null")
+        named = named.join(lowest, "found").select("k1", "k2", "n", F.col("lowest").alias("found"))
     return (
         signed.drop("tokens").join(named, ["k1", "k2", "n"], "left")
         .select("doc_id", F.col("n").alias("n_shingles"),
