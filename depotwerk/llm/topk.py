@@ -25,8 +25,8 @@ QUERIES_PER_BLOCK = 2048
 EVALUATE = 128  # candidates evaluated between two checks of the stopping rule
 
 _TABLE = "vec_id long, dim int, v array<long>, pivot_distance array<double>"
-_HITS = "query_id long, vec_id long, score long"
-_HITS_ARROW = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+_HITS = "query_id long, vector long, vec_id long, score long"
+_HITS_ARROW = pa.schema([("query_id", pa.int64()), ("vector", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
 def integer_vectors(vectors: DataFrame, id_column: str, vector_column: str, scale: int) -> DataFrame:
@@ -54,20 +54,23 @@ def top_k(
 
     ``is_query`` is a condition on the columns of ``vectors``.  A query's own
     row (same id) is no candidate; vectors of another length take no part; null
-    ids take no part.  Fewer than k candidates are all returned.
+    ids take no part.  Fewer than k candidates are all returned.  Rows that
+    repeat an id are candidates of their own; as queries, each different vector
+    of an id has a ranking of its own, in rows of that id.
     """
     source = vectors.where(F.col(id_column).isNotNull())
     rows = integer_vectors(source, id_column, vector_column, scale)
-    queries = integer_vectors(source.where(is_query), id_column, vector_column, scale)
+    queries = integer_vectors(source.where(is_query), id_column, vector_column, scale).dropDuplicates(["vec_id", "v"])
     n = rows.count()
     chosen = [np.array(r["v"], np.float64) for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).collect()]
     candidate_blocks = max(1, -(-n // candidates_per_block))
     query_blocks = max(1, -(-queries.count() // queries_per_block))
 
+    spread = F.xxhash64("vec_id", "v")
+
     def table(df: DataFrame) -> DataFrame:
-        return df.mapInArrow(lambda batches: _distances(batches, chosen), _TABLE)
+        return df.mapInArrow(lambda batches: _distances(batches, chosen), _TABLE).withColumn("vector", spread)
 
-    spread = F.xxhash64("vec_id", "v")
     left = table(queries).withColumns({
         "q": F.pmod(spread, F.lit(query_blocks)).cast("int"), "c": F.explode(F.sequence(F.lit(0), F.lit(candidate_blocks - 1))),
         "asks": F.lit(True)})
@@ -75,7 +78,7 @@ def top_k(
         "c": F.pmod(spread, F.lit(candidate_blocks)).cast("int"),
         "q": F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))), "asks": F.lit(False)})
     hits = left.unionByName(right).groupBy("dim", "q", "c").applyInArrow(lambda block: _search(block, k), _HITS)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "vector").orderBy(F.desc("score"), "vec_id")
     return (
         hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score"))
@@ -87,13 +90,26 @@ def _matrix(column: pa.Array | pa.ChunkedArray, rows: int, kind) -> np.ndarray:
 
 
 def _distances(batches: Iterator[pa.RecordBatch], pivots: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Vectors with their distances to the pivots: one matrix product per length of vector and batch."""
     for batch in batches:
-        out = []
-        for v in batch.column("v").to_pylist():
-            x = np.array(v, np.float64)
-            out.append([float(np.sqrt(np.square(x - p).sum())) if len(p) == len(x) else 0.0 for p in pivots])
+        dim = batch.column("dim").to_numpy()
+        far = np.zeros((len(dim), len(pivots)))
+        flat = batch.column("v").flatten().to_numpy(zero_copy_only=False)
+        begin = np.r_[0, np.cumsum(dim)[:-1]]
+        for width in np.unique(dim).tolist():
+            own = [i for i, p in enumerate(pivots) if len(p) == width]
+            if not own or not width:
+                continue
+            rows, point = np.flatnonzero(dim == width), np.array([pivots[i] for i in own])
+            x = flat[begin[rows][:, None] + np.arange(width)].astype(np.float64)
+            if max(np.abs(x).max(), np.abs(point).max()) ** 2 * 4 * width < 1 << 53:  # then these sums are exact
+                square = np.square(x).sum(axis=1)[:, None] + np.square(point).sum(axis=1) - 2 * (x @ point.T)
+            else:
+                square = np.stack([np.square(x - p).sum(axis=1) for p in point], axis=1)
+            far[np.ix_(rows, own)] = np.sqrt(square)
+        offsets = pa.array(np.arange(len(dim) + 1, dtype=np.int32) * len(pivots))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("vec_id"), batch.column("dim"), batch.column("v"), pa.array(out, pa.list_(pa.float64()))],
+            [batch.column("vec_id"), batch.column("dim"), batch.column("v"), pa.ListArray.from_arrays(offsets, pa.array(far.ravel()))],
             names=["vec_id", "dim", "v", "pivot_distance"])
 
 
@@ -102,7 +118,7 @@ def _search(block: pa.Table, k: int) -> pa.Table:
     asks = block.column("asks").to_numpy()
     if not asks.any() or asks.all():
         return _HITS_ARROW.empty_table()
-    ids = block.column("vec_id").to_numpy()
+    ids, vector = block.column("vec_id").to_numpy(), block.column("vector").to_numpy()
     v = _matrix(block.column("v"), len(ids), np.int64)
     far = _matrix(block.column("pivot_distance"), len(ids), np.float64)
     # doubles hold these integers exactly unless components are huge
@@ -126,5 +142,5 @@ def _search(block: pa.Table, k: int) -> pa.Table:
             who = np.concatenate([best_id, cand_ids[some]])
             keep = np.lexsort((who, -score))[:k]
             best_score, best_id = score[keep], who[keep]
-        found.append((np.full(len(best_id), ids[i]), best_id, best_score))
+        found.append((np.full(len(best_id), ids[i]), np.full(len(best_id), vector[i]), best_id, best_score))
     return pa.table([np.concatenate(c) for c in zip(*found, strict=True)], schema=_HITS_ARROW)

@@ -98,6 +98,26 @@ def test_top_k_few_and_none(spark):
     assert [tuple(r) for r in got] == [(0, 1, 1, 1024 * 2048)]
 
 
+def test_top_k_repeated_ids_and_huge_components(spark):
+    """Two vectors of one query id have a ranking each; a repeated row is one query and two candidates."""
+    rows = [(100, [0.5, 0.25]), (100, [-0.5, 1.0]), (100, [0.5, 0.25]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (2, [0.0, 1.0]), (3, [900.0, -900.0])]
+    schema = "vec_id long, embedding array<float>"
+    got = sorted(tuple(r) for r in topk.top_k(spark.createDataFrame(rows, schema), F.col("vec_id") == 100, 3, pivots=2).collect())
+    whole = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows]
+    want = []
+    for q in ([512, 256], [-512, 1024]):
+        best = sorted((-(q[0] * v[0] + q[1] * v[1]), i) for i, v in whole if i != 100)[:3]
+        want += [(100, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert got == sorted(want)
+    rng = np.random.default_rng(2)
+    large = [(i, v.tolist()) for i, v in enumerate(rng.normal(0, 3e4, (60, 4)))]
+    got = topk.top_k(spark.createDataFrame(large, "vec_id long, embedding array<double>"), F.col("vec_id") < 3, 5, pivots=7).collect()
+    whole = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in large]
+    for q in range(3):
+        best = sorted((-sum(a * b for a, b in zip(whole[q][1], v, strict=True)), i) for i, v in whole if i != q)[:5]
+        assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] == [(i, -s) for s, i in best]
+
+
 # ---------------------------------------------------------------- packing
 
 
@@ -533,6 +553,17 @@ def test_near_dedup_around_the_threshold(spark):
     assert got == plain_near(texts, 3, 85)
 
 
+def test_near_dedup_rows_that_repeat_an_id(spark):
+    """Each row is linked by its own text, whichever of them is met first."""
+    rng = random.Random(7)
+    one, two = words(rng, 120), words(rng, 120)
+    rows = [(1, one), (1, two), (2, [*one[:-1], "x"]), (3, [*two[:-1], "y"]), (9, one), (9, words(rng, 40)), (4, words(rng, 30)), (None, one), (8, two), (8, two)]
+    texts = [" ".join(t) for _, t in rows]
+    got = near_dedup.near_dedup(table(spark, texts, [i for i, _ in rows])).collect()
+    assert sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in got) == sorted([
+        (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (9, 1, False), (9, 9, True), (4, 4, True), (-1, -1, True), (8, 1, False), (8, 1, False)])
+
+
 def test_near_dedup_edges(spark):
     assert near_dedup.near_dedup(table(spark, [])).collect() == []
     got = near_dedup.near_dedup(table(spark, ["a b c d", "a b c d", "a b c d", None], [3, 3, None, None])).collect()
