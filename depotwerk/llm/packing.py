@@ -40,6 +40,8 @@ _MARKS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"  # ASCII marks other than those of co
 
 def _ends_in_letter(word: bytes) -> bool:
     """Whether the last character is a Latin letter that stays one letter in lower case (that of İ ends in a mark)."""
+    if word[-1:].isalpha():  # ASCII
+        return True
     last = word[-4:].decode(errors="ignore")[-1:]
     return last.isalpha() and last < "\u0250" and len(last.lower()) == 1
 
@@ -94,23 +96,30 @@ class WordTokens:
 
     def _of_words(self, words: list[bytes]) -> list[bytes]:
         """The ids of different words."""
-        missing = [word for word in words if word not in self.known]
-        if len(self.known) + len(missing) > self.cached:
-            self.older, self.known, missing = self.known, {b"": b""}, words
-        new = []
+        known, older = self.known, self.older
+        missing = [word for word in words if word not in known]
+        if len(known) + len(missing) > self.cached:
+            older, known, missing = known, {b"": b""}, [word for word in words if word]
+            self.older, self.known = older, known
+        new, ended = set(), []
         for word in missing:
-            if word in self.older:
-                self.known[word] = self.older[word]
-            elif word:
-                new.append(word)
-        # marks after a letter are a part of their own (contractions left aside)
-        ended = {word: len(word.rstrip(_MARKS)) for word in new if word[-1] in _MARKS and b"'" not in word}
-        ended = {word: cut for word, cut in ended.items() if _ends_in_letter(word[:cut])}
-        parts = {word[:cut] for word, cut in ended.items()}.union(word[cut:] for word, cut in ended.items())
-        self._learn([word for word in parts.union(new) if word not in ended and word not in self.known])
-        for word, cut in ended.items():
-            self.known[word] = self.known[word[:cut]] + self.known[word[cut:]]
-        return [self.known[word] for word in words]
+            ids = older.get(word)
+            if ids is not None:
+                known[word] = ids
+                continue
+            if word[-1] in _MARKS and b"'" not in word:
+                # marks after a letter are a part of their own (contractions left aside)
+                stem = word.rstrip(_MARKS)
+                if _ends_in_letter(stem):
+                    marks = word[len(stem):]
+                    ended.append((word, stem, marks))
+                    new.update(part for part in (stem, marks) if part not in known)
+                    continue
+            new.add(word)
+        self._learn(list(new))
+        for word, stem, marks in ended:
+            known[word] = known[stem] + known[marks]
+        return [known[word] for word in words]
 
     def _learn(self, words: list[bytes], at_once: int = 2000) -> None:
         for i in range(0, len(words), at_once):
