@@ -28,6 +28,8 @@ GRAMS = (1, 2, 3, 4)
 DOCS_PER_LANGUAGE = 1500  # documents a language is learned from, chosen by the hash of the text
 SWITCH = 8.0  # penalty of a change of language, in nats
 WEIGHT = 0.35  # n-grams of a word overlap: their log-likelihoods are scaled down
+_PART = 1 << 20  # code points whose n-grams are held at once
+_ROWS = 1 << 14  # words of a path that are lists at once
 _BLOCK = 1 << 18
 
 # Script ranges (first code point, last, script).
@@ -114,6 +116,20 @@ def gram_buckets(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(grams), np.concatenate(owners)
 
 
+def parts(words: Words, size: int = _PART) -> Iterator[tuple[int, int, Words]]:
+    """First word, end and words of stretches of about ``size`` code points, with the boundary marks around them.
+
+    What is computed for each n-gram then takes memory for a stretch, however long a text is.
+    """
+    a = 0
+    while a < len(words.start):
+        b = max(a + 1, int(np.searchsorted(words.end, words.start[a] + size, side="right")))
+        low, high = int(words.start[a]) - 1, int(words.end[b - 1]) + 1
+        yield a, b, Words(words.codes[low:high], words.start[a:b] - low, words.end[a:b] - low, words.script[a:b],
+                          np.array([0, b - a]), np.array([1]))
+        a = b
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -167,10 +183,11 @@ def fit(docs: DataFrame, *, language_column: str = "lang", text_column: str = "t
 
 def word_scores(words: Words, model: Model) -> np.ndarray:
     """float64 [words, languages]; languages that do not use the word's script lose 50 nats, unless none does."""
-    grams, owner = gram_buckets(words)
     scores = np.empty((len(words.start), len(model.languages)))
-    for k in range(len(model.languages)):
-        scores[:, k] = np.bincount(owner, model.table[grams, k], len(words.start))
+    for a, b, part in parts(words):
+        grams, owner = gram_buckets(part)
+        for k in range(len(model.languages)):
+            scores[a:b, k] = np.bincount(owner, model.table[grams, k], b - a)
     allowed = model.scripts[words.script]
     allowed |= ~allowed.any(axis=1, keepdims=True)
     scores[~allowed] -= 50
@@ -183,24 +200,33 @@ def viterbi(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     if n == 0:
         return np.zeros(0, np.int64)
     best = int(scores.sum(axis=0).argmax())
-    gain = np.cumsum(scores - scores[:, [best]], axis=0)
-    lowest = np.minimum.accumulate(np.vstack([np.zeros(k), gain[:-1]]), axis=0)
     # a path with words of the best language pays a switch for every stretch of another one; a path without
     # them pays one less than it has stretches: its first and last stretch have to earn it
-    suffix = gain[-1] - np.vstack([np.zeros(k), gain[:-1]])
-    if ((gain - lowest) <= switch).all() and gain.max() + suffix.max() <= switch:
-        return np.full(n, best)
-    value, back = scores[0].tolist(), []
-    for row in scores[1:].tolist():
-        top = max(value)
-        leader = value.index(top)
-        top -= switch
-        back.append([j if v >= top else leader for j, v in enumerate(value)])
-        value = [(v if v >= top else top) + s for v, s in zip(value, row, strict=True)]
-    path = [value.index(max(value))]
-    for step in reversed(back):
-        path.append(step[path[-1]])
-    return np.array(path[::-1])
+    prefix = suffix = 0.0
+    for other in range(k):
+        gain = np.cumsum(scores[:, other] - scores[:, best])
+        before = np.r_[0.0, gain[:-1]]
+        if not (gain - np.minimum.accumulate(before) <= switch).all():
+            break
+        prefix, suffix = max(prefix, gain.max()), max(suffix, (gain[-1] - before).max())
+    else:
+        if prefix + suffix <= switch:
+            return np.full(n, best)
+    value, back = scores[0].tolist(), np.empty((n, k), np.int16)
+    for start in range(1, n, _ROWS):
+        for at, row in enumerate(scores[start : start + _ROWS].tolist(), start):
+            top = max(value)
+            leader = value.index(top)
+            top -= switch
+            back[at] = [j if v >= top else leader for j, v in enumerate(value)]
+            value = [(v if v >= top else top) + s for v, s in zip(value, row, strict=True)]
+    path = np.empty(n, np.int64)
+    last = path[-1] = value.index(max(value))
+    for start in range(n - 1, 0, -_ROWS):
+        some = back[max(1, start - _ROWS + 1) : start + 1].tolist()
+        for at in range(start, start - len(some), -1):
+            last = path[at - 1] = some[at - start + len(some) - 1][last]
+    return path
 
 
 def label_texts(texts: list[str], model: Model, switch: float = SWITCH):
