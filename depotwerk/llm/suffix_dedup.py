@@ -14,8 +14,8 @@ share it (a run) are handled together:
 2. Their windows are the suffixes that are sorted.  They are cut into pieces
    by the distance to the smallest hash and grouped by the bytes all windows
    of a piece have in common; pieces that are alone are unique.  In each group
-   sorting ties by one eight-byte character after another (instead of multikey
-   quicksort's three-way partition) orders suffixes to a shallow depth, and blind tries order the groups with a longer common prefix.
+   multikey quicksort by eight-byte characters orders suffixes to a shallow
+   depth, and blind tries order the groups with a longer common prefix.
    Neighbours that agree in all LENGTH bytes are equal; all but the first repeat.
 
 Content that repeats within a block of a task is resolved there, so a passage
@@ -269,27 +269,44 @@ class BlindTrie:
                 stack += [node[2], node[1]]
 
 
+def multikey_quicksort(character: np.ndarray, deepest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of rows by their first ``deepest`` characters, and where each group of rows that agree in them begins.
+
+    Every group of more than one row is parted in three by its pivot, the
+    median of its first, middle and last row's character: smaller and greater
+    rows stay at that character, equal ones go on to the next.  All groups are
+    parted at once, each in its own place.
+    """
+    n = len(character)
+    order, begin, depth = np.arange(n), np.zeros(min(n, 1), np.int64), np.zeros(min(n, 1), np.int64)
+    while True:
+        size = np.diff(np.r_[begin, n])
+        open_ones = (size > 1) & (depth < deepest)
+        first, length, at = begin[open_ones], size[open_ones], depth[open_ones]
+        if not len(first):
+            return order, begin
+        owner = np.repeat(np.arange(len(first)), length)
+        place = np.repeat(first - np.cumsum(length) + length, length) + np.arange(len(owner))
+        a, b, c = (character[order[i], at] for i in (first, first + length // 2, first + length - 1))
+        pivot = np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c))[owner]
+        value = character[order[place], at[owner]]
+        part = 3 * owner + (value >= pivot) + (value > pivot)
+        order[place] = order[place[np.argsort(part, kind="stable")]]
+        sizes = np.bincount(part, minlength=3 * len(first)).reshape(-1, 3)
+        starts = first[:, None] + np.cumsum(sizes, axis=1) - sizes
+        begin = np.r_[begin[~open_ones], starts[sizes > 0]]
+        depth = np.r_[depth[~open_ones], (at[:, None] + np.array([0, 1, 0]))[sizes > 0]]
+        placed = np.argsort(begin)
+        begin, depth = begin[placed], depth[placed]
+
+
 def sorted_groups(strings: np.ndarray) -> Iterator[np.ndarray]:
     """Indices of equal strings (rows of bytes), in the order of the strings: deep-shallow sorting."""
     n, width = strings.shape
     padded = np.zeros((n, -(-width // 8) * 8), np.uint8)
     padded[:, :width] = strings
     character = padded.view(">u8").astype(np.uint64)
-    order, group = np.arange(n), np.zeros(n, np.int64)
-    depth = min(SHALLOW, character.shape[1])
-    for d in range(depth):
-        # only groups of more than one suffix go on; a group keeps its place
-        size = np.bincount(group)
-        tied = np.flatnonzero(size[group] > 1)
-        if not len(tied):
-            break
-        here = np.lexsort((character[order[tied], d], group[tied]))
-        order[tied] = order[tied][here]
-        value = character[order, d]
-        new = np.ones(n, bool)
-        new[1:] = (group[1:] != group[:-1]) | ((value[1:] != value[:-1]) & (size[group][1:] > 1))
-        group = np.cumsum(new) - 1
-    begin = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if n else np.zeros(0, np.int64)
+    order, begin = multikey_quicksort(character, min(SHALLOW, character.shape[1]))
     end = np.r_[begin[1:], n]
     raw, width8 = padded.tobytes(), padded.shape[1]
     for a, b in zip(begin.tolist(), end.tolist(), strict=True):

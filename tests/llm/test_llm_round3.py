@@ -11,7 +11,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from depotwerk.llm import centroids, decontamination, fill_middle
+from depotwerk.llm import centroids, decontamination, fill_middle, langid, passages, suffix_dedup
 from depotwerk.llm.common import ship
 
 ODD = [None, "", " ", "\n", "\n\n\n", "a", "a\n", "ÄÖ ß\nüü", "日本\n語", "𝔘𝔫\n𝔦", "\r\n x\r", "x" * 3000 + "\n" + "é" * 200, "$1 \\ $0\n{3}+\n"]
@@ -250,3 +250,64 @@ def test_hashes_do_not_depend_on_how_many_words_go_at_once(monkeypatch):
     assert whole[0] == whole[3] and len(set(whole.tolist())) == 4
     monkeypatch.setattr(decontamination, "_WORDS_AT_ONCE", 2)
     assert np.array_equal(words.hashes(), whole)
+
+
+# ---------------------------------------------------------------- parts of earlier operators
+
+
+def test_multikey_quicksort_orders_and_groups():
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        rows = rng.integers(0, rng.integers(1, 7), (int(rng.integers(0, 60)), 5)).astype(np.uint64)
+        deepest = int(rng.integers(1, 6))
+        order, begin = suffix_dedup.multikey_quicksort(rows, deepest)
+        got = [tuple(r) for r in rows[order][:, :deepest].tolist()]
+        assert got == sorted(map(tuple, rows[:, :deepest].tolist()))
+        assert begin.tolist() == [i for i in range(len(got)) if i == 0 or got[i] != got[i - 1]]
+
+
+def test_groups_verified_at_once_give_what_one_gives():
+    rng = np.random.default_rng(2)
+    wide, hits = passages._WIDE, 0
+
+    def members(n):
+        base = rng.integers(1, 1 << 31, (3, wide)).astype(np.uint32) | 1
+        out = base[rng.integers(0, 3, n)].copy()
+        for row in out:
+            row[rng.integers(0, wide, rng.integers(0, 14))] = rng.integers(1, 1 << 31) | 1
+            if rng.random() < 0.3:
+                row[rng.integers(0, wide):] = 0
+            if rng.random() < 0.3:
+                row[:] = np.roll(row, rng.integers(-2, 3))
+        return out
+
+    for size in range(2, 8):
+        groups = np.stack([members(size) for _ in range(40)])
+        together = {x for leader, *found in passages.verify_groups(groups) for x in zip(*(c.tolist() for c in found), [leader] * len(found[0]), strict=True)}
+        alone = {(g, f, lo, hi, leader) for g in range(40) for leader, *found in passages.verify_group(groups[g])
+                 for f, lo, hi in zip(*(c.tolist() for c in found), strict=True)}
+        assert together == alone
+        hits += len(alone)
+    assert hits > 200
+
+
+def test_language_of_a_long_text_by_stretches():
+    """Word scores by stretches equal those of the whole, and paths of the bounded form those of plain Viterbi."""
+    rng = np.random.default_rng(3)
+    text = " ".join("".join(rng.choice(list("abcdeäöß日 -1"), 9)) for _ in range(3000))
+    words = langid.words_of([text, "", "x " + text])
+    whole = [sorted(zip(*(c.tolist() for c in langid.gram_buckets(words)), strict=True))]
+    by_part = []
+    for a, b, part in langid.parts(words, 500):
+        grams, owner = langid.gram_buckets(part)
+        by_part += zip(grams.tolist(), (owner + a).tolist(), strict=True)
+        assert part.start[0] == 1 and b - a == len(part.start)
+    assert [sorted(by_part)] == whole
+    for _ in range(300):
+        scores = rng.normal(0, rng.choice([0.5, 3, 8]), (int(rng.integers(1, 30)), int(rng.integers(1, 4))))
+        got = langid.viterbi(scores, 5.0)
+        best = np.zeros(scores.shape[1])
+        for i, row in enumerate(scores):
+            best = row + (np.maximum(best, best.max() - 5.0) if i else best)
+        worth = scores[np.arange(len(got)), got].sum() - 5.0 * np.count_nonzero(np.diff(got))
+        assert worth == pytest.approx(best.max())
