@@ -145,8 +145,10 @@ def load_log_view(log: DataFrame, run_ts: datetime, days: int = LOG_DAYS) -> Dat
     )
 
 
-def phase_stats(log: DataFrame) -> DataFrame:
-    """Runs, failures, last start and last duration per phase."""
+def phase_stats(log: DataFrame, like: str | None = None) -> DataFrame:
+    """Runs, failures, last start and last duration per phase, of those whose name is like a pattern if one is given."""
+    if like is not None:
+        log = log.where(F.col("phase").like(like))
     return log.groupBy("phase").agg(
         F.count("*").alias("run_count"),
         F.count_if(F.col("status") == "FEHLER").alias("failure_count"),

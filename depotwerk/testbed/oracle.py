@@ -403,6 +403,47 @@ def append(ctes: str, rows: str, key: str) -> str:
         SELECT 1 FROM fakt o WHERE o.batch_id = 1 AND o.{key} = n.{key} AND o.fonds_id = n.fonds_id)"""
 
 
+def _warehouse_run() -> str:
+    """The logs of a run of one day, from counts of what each step takes."""
+    def of_day(table: str, column: str, source: str | None = None) -> str:
+        return f"SELECT * FROM ({source or stg(table)}) WHERE {column} = DATE '2000-01-31'"
+
+    trades = latest(f"({of_day('', 'handelsdatum', stg('STG_FB_TRANSAKTION', arrival=True))})", "transaktions_id, fonds_id", null_keys=True)
+    flows_of_day = (f"SELECT * REPLACE (handelsdatum + 1 AS handelsdatum) FROM ({stg('STG_FB_FONDSBEWEGUNG')}) "
+                    "WHERE handelsdatum + 1 = DATE '2000-01-31'")
+    tables = {"h": of_day("STG_FB_BESTAND", "bewertungsdatum"), "k": of_day("STG_KV_KURS", "kursdatum"),
+              "x": of_day("STG_KV_WECHSELKURS", "kursdatum"), "t": trades, "f": flows_of_day,
+              "w": delivery("STG_WP_STAMMDATEN", 2), "o": delivery("STG_WP_FONDS_STAMMDATEN", 2)}
+    known = "isin IN (SELECT isin FROM vw WHERE ist_gueltig = 'J')"
+    fund = "fonds_id IN (SELECT fonds_id FROM vo WHERE ist_gueltig = 'J')"
+    rate = f"SELECT DISTINCT {code('waehrung_von')}, {code('waehrung_nach')}, {code('kurstyp')} FROM x"
+    price = f"SELECT DISTINCT isin, {code('kurstyp')} FROM k"
+    held = "SELECT DISTINCT fonds_id, isin FROM h WHERE isin IS NOT NULL"
+    numbered = {
+        ("STAGING", "WERTPAPIERSTAMMDATEN"): "SELECT isin FROM w UNION ALL SELECT fonds_id FROM o",
+        ("STAGING", "KURSVERSORGUNG"): "SELECT kursdatum FROM k UNION ALL SELECT kursdatum FROM x",
+        ("STAGING", "FONDSBUCHHALTUNG"): "SELECT fonds_id FROM h UNION ALL SELECT fonds_id FROM t UNION ALL SELECT fonds_id FROM f",
+        ("TRANSFORMATION", "VOR_WERTPAPIER"): "SELECT * FROM vw", ("TRANSFORMATION", "VOR_FONDS"): "SELECT * FROM vo",
+        ("TRANSFORMATION", "VOR_WECHSELKURS"): rate, ("TRANSFORMATION", "VOR_KURS"): price,
+        ("TRANSFORMATION", "VOR_BESTAND"): held, ("TRANSFORMATION", "VOR_TRANSAKTION"): "SELECT * FROM t",
+        ("TRANSFORMATION", "VOR_FONDSBEWEGUNG"): "SELECT * FROM f",
+        ("ZIELBELADUNG", "FAKT_WECHSELKURS"): rate, ("ZIELBELADUNG", "FAKT_KURS"): f"{price} WHERE {known}",
+        ("ZIELBELADUNG", "FAKT_BESTAND"): f"{held} AND {known} AND {fund}",
+        ("ZIELBELADUNG", "FAKT_TRANSAKTION"): f"SELECT * FROM ({judged('t', 'trade')}) WHERE ist_gueltig = 'J' AND {known} AND {fund}",
+        ("ZIELBELADUNG", "FAKT_FONDSBEWEGUNG"): f"SELECT * FROM ({judged('f', 'flow')}) WHERE ist_gueltig = 'J' AND {fund}",
+    }
+    lines = [f"SELECT '{phase}' AS phase, '{name}' AS tabelle, 'ERFOLGREICH' AS status, (SELECT count(*) FROM ({rows})) AS anzahl_saetze"
+             for (phase, name), rows in numbered.items()]
+    plain = [("STAGING", "KURSVERSORGUNG", "FEHLER"), *[("STAGING", n, "UEBERSPRUNGEN") for n in ("WERTPAPIERSTAMMDATEN", "FONDSBUCHHALTUNG")],
+             *[("ZIELBELADUNG", n, "ERFOLGREICH") for n in ("DIM_WERTPAPIER", "DIM_FONDS", "DIM_DEPOT")],
+             *[(p, None, s) for p, s in (("GESAMT", "FEHLER"), ("STAGING", "FEHLER"), ("GESAMT", "ERFOLGREICH"), ("STAGING", "ERFOLGREICH"),
+                                         ("TRANSFORMATION", "ERFOLGREICH"), ("ZIELBELADUNG", "ERFOLGREICH"))]]
+    lines += [f"SELECT '{p}', {repr(n) if n else 'NULL'}, '{s}', NULL" for p, n, s in plain]
+    ctes = ", ".join(f"{name} AS MATERIALIZED ({rows})" for name, rows in tables.items())
+    return f"""WITH {ctes}, vw AS MATERIALIZED ({judged("(" + latest('w', 'isin', 'isin') + ")", 'security')}),
+        vo AS MATERIALIZED ({judged("(" + latest('o', 'fonds_id', 'fonds_id') + ")", 'fund')}) """ + " UNION ALL ".join(lines)
+
+
 def rule_count(column: str, rule: str, broken: str) -> str:
     return (f"SELECT '{column}' AS spalte, '{rule}' AS regel, count(*) FILTER (WHERE {broken}) AS anzahl FROM s "
             f"HAVING count(*) FILTER (WHERE {broken}) > 0")
@@ -604,6 +645,15 @@ ORACLE: dict[str, str] = {
         SELECT phase, count(*) AS run_count, count(*) FILTER (WHERE status = 'FEHLER') AS failure_count,
         strftime(max(prozessstart), '%Y-%m-%d %H:%M:%S.%f') AS last_start,
         max(dauer) FILTER (WHERE rn = 1) AS last_run_seconds FROM x GROUP BY phase""",
+    "phase_stats_like": f"""WITH {LOG} SELECT phase, count(*) AS run_count, count(*) FILTER (WHERE status = 'FEHLER') AS failure_count,
+        strftime(max(prozessstart), '%Y-%m-%d %H:%M:%S.%f') AS last_start FROM lg WHERE phase LIKE '_T%' GROUP BY phase""",
+    "warehouse_run": _warehouse_run(),
+    "delta_with_watermark": f"""WITH p AS (SELECT {mapping.security_number('p_partkey')} AS isin, p_name AS bezeichnung_lang,
+            p_partkey % 1000 AS m, p_partkey % 1000 < 600 AND p_partkey % 10 <> 3 AS zuerst FROM part),
+        s AS (SELECT 1 AS batch_id, * FROM p WHERE zuerst UNION ALL
+            SELECT 2, * FROM p WHERE NOT zuerst AND m > (SELECT max(m) FROM p WHERE zuerst) - 60)
+        SELECT cast(batch_id AS bigint) AS batch_id, isin, bezeichnung_lang,
+            strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(cast(m AS bigint)), '%Y-%m-%d %H:%M:%S.%f') AS src_geaendert_am FROM s""",
     "invalid_rows": f"""WITH s AS ({stg('STG_FB_BESTAND', broken=True)}), j AS ({judged('s', 'holding')})
         SELECT {out('batch_id', 'fonds_id', 'isin', 'bewertungsdatum:d', 'validierungsfehler')} FROM j WHERE ist_gueltig = 'N'""",
     "retention": "SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-04-15 00:00:00' - INTERVAL 90 DAY",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +23,7 @@ from ..operators.retention import expired_batches, retain
 from ..operators.scd2 import point_in_time, version_at
 from ..operators.weights import with_portfolio_weight
 from ..plans import dimensions, facts, monitor, transforms
+from ..plans.control import Control
 from ..schemas import TABLES, nullable
 from ..session import ensure_checkpoint_dir
 from ..sources import readers, seeds, staging
@@ -32,6 +33,7 @@ from .mapping import ARRIVAL, Tables
 
 RUN_TS = datetime(2024, 2, 10, 12, 0, 0)
 FIRST_LOAD, SECOND_LOAD = date(2024, 1, 1), date(2024, 2, 1)
+RUN_DAY = date(2000, 1, 31)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -608,6 +610,63 @@ def unresolved_keys(t: Tables) -> DataFrame:
     return rejected.select("bewegungs_id", "fonds_id", "fehlende_schluessel")
 
 
+# --- deliveries and whole runs --------------------------------------------
+
+@query
+def delta_with_watermark(t: Tables) -> DataFrame:
+    """Two deliveries of securities by change time: the second repeats the first and brings late and new rows."""
+    parts = t.raw("part").selectExpr(
+        "p_partkey", f"{mapping.security_number('p_partkey')} AS isin", "p_name AS bezeichnung_lang",
+        "timestamp '2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(p_partkey % 1000 AS int)) AS geaendert_am")
+    funds_rows = _delivered(t.delivery("STG_WP_FONDS_STAMMDATEN", 2), "STG_WP_FONDS_STAMMDATEN")
+    control = Control(t.spark, f"{ensure_checkpoint_dir(t.spark)}/lager-{uuid.uuid4().hex}",
+                      delta={"STG_WP_STAMMDATEN": readers.Delta("geaendert_am", ("isin",), timedelta(minutes=60))})
+    for batch, rows in ((1, parts.where("p_partkey % 1000 < 600 AND p_partkey % 10 <> 3")), (2, parts)):
+        control.source = readers.FrameSource({
+            "STG_WP_STAMMDATEN": _delivered(rows, "STG_WP_STAMMDATEN"), "STG_WP_FONDS_STAMMDATEN": funds_rows})
+        control.load_source(staging.SOURCE_SYSTEMS[0], batch, RUN_DAY)
+    return control.store.read("STG_WP_STAMMDATEN").select("batch_id", "isin", "bezeichnung_lang", "src_geaendert_am")
+
+
+
+class _OnceUnreachable(readers.FrameSource):
+    """Prices cannot be read the first time."""
+
+    tries = 0
+
+    def read(self, table: str) -> DataFrame:
+        if table == "STG_KV_KURS":
+            self.tries += 1
+            if self.tries == 1:
+                raise ConnectionError("Kursversorgung nicht erreichbar")
+        return super().read(table)
+
+
+@query
+def warehouse_run(t: Tables) -> DataFrame:
+    """The logs of a daily run that fails in one source system and is resumed: steps, then phases."""
+    on_day = {"STG_FB_BESTAND": "bewertungsdatum", "STG_KV_KURS": "kursdatum", "STG_KV_WECHSELKURS": "kursdatum"}
+    frames = {n: t.stg(n).where(F.col(c) == F.lit(RUN_DAY)) for n, c in on_day.items()}
+    frames["STG_FB_TRANSAKTION"] = merge.one_per_key(
+        t.stg("STG_FB_TRANSAKTION", arrival=True).where(F.col("handelsdatum") == F.lit(RUN_DAY)),
+        ["transaktions_id", "fonds_id"], on_duplicate="latest", order_by=ARRIVAL)
+    frames["STG_FB_FONDSBEWEGUNG"] = t.stg("STG_FB_FONDSBEWEGUNG").withColumn(
+        "handelsdatum", F.date_add("handelsdatum", 1)).where(F.col("handelsdatum") == F.lit(RUN_DAY))
+    for name in ("STG_WP_STAMMDATEN", "STG_WP_FONDS_STAMMDATEN"):
+        frames[name] = t.delivery(name, 2)
+    source = _OnceUnreachable({n: _delivered(rows, n) for n, rows in frames.items()})
+    control = Control(t.spark, f"{ensure_checkpoint_dir(t.spark)}/lager-{uuid.uuid4().hex}", source,
+                      on_duplicate="latest", on_unresolved="reject")
+    control.install(RUN_DAY, RUN_DAY)
+    try:
+        control.run_daily_etl(RUN_DAY)
+    except ConnectionError:
+        control.resume()
+    phases = control.process_log().select("phase", F.lit(None).cast("string").alias("tabelle"), "status",
+                                          F.lit(None).cast("bigint").alias("anzahl_saetze"))
+    return control.step_log().select("phase", "tabelle", "status", "anzahl_saetze").unionByName(phases)
+
+
 # --- monitoring -----------------------------------------------------------
 
 @query
@@ -659,6 +718,12 @@ def phase_stats(t: Tables) -> DataFrame:
     return monitor.phase_stats(t.log())
 
 
+@query
+def phase_stats_like(t: Tables) -> DataFrame:
+    """Phases chosen by a pattern, in which an underscore stands for any character."""
+    return monitor.phase_stats(t.log(), like="_T%").drop("last_run_seconds")
+
+
 @query
 def invalid_rows(t: Tables) -> DataFrame:
     vor = with_verdict(t.stg("STG_FB_BESTAND", broken=True), rules.holding_rules())
