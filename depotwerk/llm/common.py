@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 BLOCK_BYTES = 4 << 20
+BITS = 1 << 26  # of a table that lets few hashes pass
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -70,6 +71,33 @@ def id_bucket(column: str, buckets: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % buckets
 
 
+class Passing:
+    """Table of bits, two for each hash: whether a hash may be in the set."""
+
+    def __init__(self, table: np.ndarray):
+        self.table = table
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        hit = np.ones(len(h), bool)
+        for shift in (0, 32):
+            bit = (h >> np.uint64(shift)) & np.uint64(64 * len(self.table) - 1)
+            hit &= (self.table[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+        return hit
+
+
+def bit_table(hashes: DataFrame) -> np.ndarray:
+    """The table for the column ``hash``: Spark sets the bits, at most ``BITS / 64`` numbers reach the driver."""
+    filled = (
+        hashes.select(F.explode(F.array(*[F.shiftrightunsigned("hash", s).bitwiseAND(F.lit(BITS - 1)) for s in (0, 32)])).alias("bit"))
+        .groupBy(F.shiftright("bit", 6).alias("at"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 AS int)))").alias("bits"))
+        .toArrow()
+    )
+    table = np.zeros(BITS // 64, np.uint64)
+    table[filled.column("at").to_numpy()] = filled.column("bits").to_numpy().astype(np.int64).view(np.uint64)
+    return table
+
+
 def blocks(batches: Iterable[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most ``limit`` bytes of ``column`` (or one row)."""
     for batch in batches:

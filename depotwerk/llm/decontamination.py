@@ -29,11 +29,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import lookup, split_hot_join
-from .common import LOWER, Prefixes, as_bytes, blocks, mix, word_bounds, written
+from .common import LOWER, Passing, Prefixes, as_bytes, bit_table, blocks, mix, word_bounds, written
 
 WINDOW = 10  # words of an item that stand together
 SHINGLE = 3  # words
-BITS = 1 << 26  # of the table that lets shingles of the benchmark pass
 BROADCAST_BYTES = 64 << 20  # of the prefix table, measured
 
 _BETWEEN = np.zeros(256, bool)  # bytes outside words: ASCII other than digits and letters
@@ -93,33 +92,6 @@ class Words:
         return b" ".join([self.data[s:e].tobytes() for s, e in zip(self.start[a:b].tolist(), self.end[a:b].tolist(), strict=True)]).decode(errors="replace")
 
 
-class Passing:
-    """Table of bits, two for each hash: whether a hash may be in the set."""
-
-    def __init__(self, table: np.ndarray):
-        self.table = table
-
-    def __call__(self, h: np.ndarray) -> np.ndarray:
-        hit = np.ones(len(h), bool)
-        for shift in (0, 32):
-            bit = (h >> np.uint64(shift)) & np.uint64(64 * len(self.table) - 1)
-            hit &= (self.table[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-        return hit
-
-
-def bit_table(hashes: DataFrame) -> np.ndarray:
-    """The table for the column ``hash``: Spark sets the bits, at most ``BITS / 64`` numbers reach the driver."""
-    filled = (
-        hashes.select(F.explode(F.array(*[F.shiftrightunsigned("hash", s).bitwiseAND(F.lit(BITS - 1)) for s in (0, 32)])).alias("bit"))
-        .groupBy(F.shiftright("bit", 6).alias("at"))
-        .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 AS int)))").alias("bits"))
-        .toArrow()
-    )
-    table = np.zeros(BITS // 64, np.uint64)
-    table[filled.column("at").to_numpy()] = filled.column("bits").to_numpy().astype(np.int64).view(np.uint64)
-    return table
-
-
 # ---------------------------------------------------------------- benchmark
 
 

@@ -10,7 +10,7 @@ gives the pairs that join what is similar in it: a spanning forest by
 falling similarity and the two best partners of each class, not all pairs.
 Large nodes go on in several subtrees each.  A node that is still large
 at the last level holds classes of high mutual similarity: its members are
-compared with two pivots.
+compared with twelve pivots.
 
 Links are confirmed on full sets, and components of links are the groups.  The
 best pair of each class comes first.  All other similar pairs, those that a
@@ -18,8 +18,10 @@ small node did not give included, are confirmed only if their ends are not in on
 by then; so are members of a node that stays large that are not in the component
 of its first member, with the rest of the node.
 
-A pair of similarity s shares a leaf at depth d with probability s^d in each
-tree; at 0.85, sixteen trees miss it with 10^-13 at depth one.  Inside groups of
+Classes meet first at the second level: two tokens part what is not similar
+far better than one, so nodes and their number grow less with the corpus.
+A pair of similarity s shares a node at depth d with probability s^d in each
+tree; at 0.85, sixteen trees miss it with 10^-9 at depth two.  Inside groups of
 thousands of copies that differ leaves lie deeper: 48 subtrees find a pair of
 similarity 0.86 at depth fifteen with 99 %, and a document has many partners there.
 """
@@ -30,16 +32,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.numbering import number_rows
-from .common import LOWER, Prefixes, as_bytes, blocks, mix, word_bounds, written
+from .common import BITS, LOWER, Passing, Prefixes, as_bytes, bit_table, blocks, mix, word_bounds, written
 from .graph import components
 
 TREES, LEVELS = 16, 16
 BRANCHES = 3  # subtrees of a large node
+FIRST = 2  # level at which classes meet first: what is not similar seldom agrees in two tokens
 FIRST_LEVELS = 4  # levels after which most classes have left the large nodes
+PIVOTS = 12  # of a node that stays large
 SMALL_NODE = 24  # classes compared exhaustively
 MARGIN = 0.09  # an estimate from 256 tokens is off by more in 1 of 20,000 pairs
 
@@ -124,10 +129,11 @@ def _node_keys(levels: tuple[int, ...]):
                 row, tree, branch = np.repeat(np.arange(n), TREES), np.tile(np.arange(TREES), n), np.zeros(n * TREES, np.int64)
             node = mix(mix(tree.astype(np.uint64) + np.uint64(1)) + token[row, tree])
             for level in range(1, max(levels) + 1):
-                if level == 2:
+                if level == FIRST + 1:
                     node = mix(node + branch.astype(np.uint64))
                 if level > 1:
-                    node = mix(node + token[row, _LOOKS_AT[tree, branch, level - 1]] + np.uint64(level))
+                    looks = _LOOKS_AT[tree, branch if level > FIRST else 0, level - 1]
+                    node = mix(node + token[row, looks] + np.uint64(level))
                 if level in levels:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(rep[row]), pa.array(tree.astype(np.int32)), pa.array(branch.astype(np.int32)),
@@ -240,9 +246,13 @@ def _estimated(pairs: DataFrame, bits: DataFrame, least: float) -> DataFrame:
             .select("a", "b", "x", "y").mapInArrow(run, "a long, b long, s double"))
 
 
-def _sets(words: int):
+def _sets(words: int, passing: Broadcast):
+    """Full sets (rep, elements) of the rows whose hash passes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text", _BLOCK):
+        may = Passing(passing.value)
+        chosen = (b.filter(pa.array(may(b.column("hash").to_numpy().view(np.uint64)))) for b in batches if b.num_rows)
+        for block in blocks(chosen, "text", _BLOCK):
             sets = shingles(block, words)
             yield pa.RecordBatch.from_arrays(
                 [block.column("uid"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["rep", "elements"])
@@ -310,10 +320,10 @@ def near_dedup(
         return nodes.join(sizes, "node")
 
     form = "rep long, tree int, branch int, level int, node long"
-    top = written(sized(reps.mapInArrow(_node_keys((1,)), form)))
+    top = written(sized(reps.mapInArrow(_node_keys((FIRST,)), form)))
     leaf = top.where(F.col("size") <= small_node).select("node", "rep")
     large, stuck = top.where(F.col("size") > small_node).select("rep", "tree"), None
-    spans = [(2, FIRST_LEVELS), (FIRST_LEVELS + 1, LEVELS)]
+    spans = [(FIRST + 1, FIRST_LEVELS), (FIRST_LEVELS + 1, LEVELS)]
     for first, last in spans:
         if large.isEmpty():
             break
@@ -340,18 +350,25 @@ def near_dedup(
     pairs = found.where("a is not null").select("a", "b", "s")
     others = found.where("node is not null").select("node", "reps", "x", "y")
     if stuck is not None:
-        shuffled = F.xxhash64("rep")
-        pivot = stuck.groupBy("node").agg(F.min("rep").alias("p1"), F.min_by("rep", shuffled).alias("p2"))
-        star = stuck.join(pivot, "node").select("rep", F.explode(F.array("p1", "p2")).alias("p")).where("rep <> p")
+        # one node of each class; its pivots, chosen by hash, are mostly those of the other nodes too
+        own = stuck.groupBy("rep").agg(F.min("node").alias("node"))
+        pivot = stuck.groupBy("node").agg(*[F.min_by("rep", F.xxhash64("rep", F.lit(i))).alias(f"p{i}") for i in range(PIVOTS)])
+        star = own.join(pivot, "node").select("rep", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p")).where("rep <> p")
         star = star.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
         pairs = pairs.unionByName(_estimated(star, bits, least))
     pairs = written(pairs.groupBy("a", "b").agg(F.max("s").alias("s")))
 
-    # full sets of all classes that may take part in a comparison: the texts move once
+    # full sets of all classes that may take part in a comparison
     ids = pairs.select(F.col("a").alias("uid")).union(pairs.select("b"))
     if stuck is not None:
         ids = ids.union(stuck.select("rep"))
-    sets = written(texts.join(ids.distinct(), "uid", "left_semi").mapInArrow(_sets(words), "rep long, elements array<long>"))
+    # texts stay where they are: a table of bits lets those of the classes pass, and a few others
+    ids = written(ids.distinct())
+    passing = rows.sparkSession.sparkContext.broadcast(bit_table(ids.select(F.xxhash64("uid").alias("hash"))))
+    sets = texts.withColumn("hash", F.xxhash64("uid")).mapInArrow(_sets(words, passing), "rep long, elements array<long>")
+    if ids.count() > BITS // 16:  # so many that others pass as well
+        sets = sets.join(ids.withColumnRenamed("uid", "rep"), "rep", "left_semi")
+    sets = written(sets)
     best = written(_best_pairs(pairs))
     links = written(confirmed(best, sets, numerator))
     groups = written(components(links))

@@ -11,7 +11,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from depotwerk.llm import centroids, decontamination, fill_middle, langid, passages, suffix_dedup
+from depotwerk.llm import centroids, common, decontamination, fill_middle, langid, passages, suffix_dedup
 from depotwerk.llm.common import ship
 
 ODD = [None, "", " ", "\n", "\n\n\n", "a", "a\n", "ÄÖ ß\nüü", "日本\n語", "𝔘𝔫\n𝔦", "\r\n x\r", "x" * 3000 + "\n" + "é" * 200, "$1 \\ $0\n{3}+\n"]
@@ -217,7 +217,7 @@ def test_decontamination(spark, share):
 def test_decontamination_with_a_shared_passage_and_shuffled_join(spark, monkeypatch):
     """One passage in most documents and most items; prefixes joined by shuffle, shingles passed by a small bit table."""
     monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(decontamination, "BITS", 64 * 4)
+    monkeypatch.setattr(common, "BITS", 64 * 4)
     rng = random.Random(9)
     line = " ".join(prose(rng, 14))
     items = [(i, " ".join(prose(rng, 6)) + " " + line) for i in range(40)]
