@@ -15,8 +15,8 @@ compared with twelve pivots.
 Links are confirmed on full sets, and components of links are the groups.  The
 best pair of each class comes first.  All other similar pairs, those that a
 small node did not give included, are confirmed only if their ends are not in one component
-by then; so are members of a node that stays large that are not in the component
-of its first member, with the rest of the node.
+by then; and members of a node that stays large that are still not in its largest
+component are compared with the rest of the node.
 
 Classes meet first at the second level: two tokens part what is not similar
 far better than one, so nodes and their number grow less with the corpus.
@@ -277,6 +277,11 @@ def _best_pairs(pairs: DataFrame) -> DataFrame:
     return best.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
 
 
+def _labels(groups: DataFrame) -> DataFrame:
+    """Class and component of those that have links."""
+    return groups.select(F.col("id").alias("rep"), "component")
+
+
 def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     """Pairs (a, b) whose ends are in different components (rep, component)."""
     for end in ("a", "b"):
@@ -372,19 +377,20 @@ def near_dedup(
     best = written(_best_pairs(pairs))
     links = written(confirmed(best, sets, numerator))
     groups = written(components(links))
-    label = groups.select(F.col("id").alias("rep"), "component")
-    rest = _apart(pairs, label).unionByName(_parted(others, label))
+    rest = written(_apart(pairs, _labels(groups)).unionByName(_parted(others, _labels(groups))).distinct().join(best, ["a", "b"], "left_anti"))
+    if not rest.isEmpty():
+        links = written(links.unionByName(confirmed(rest, sets, numerator)))
+        groups = written(components(links))
     if stuck is not None:
-        member = stuck.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        home = member.groupBy("node").agg(F.min_by("component", "rep").alias("home"))
+        member = stuck.join(_labels(groups), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        largest = F.max_by("component", F.struct("count", "component"))
+        home = member.groupBy("node", "component").count().groupBy("node").agg(largest.alias("home"))
         outside = member.join(home, "node").where("component <> home").select("node", F.col("rep").alias("p"), F.col("component").alias("c"))
         across = (outside.join(member.select("node", "rep", "component"), "node").where("component <> c")
                   .select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct())
-        rest = rest.unionByName(_estimated(across, bits, least).select("a", "b"))
-    rest = written(rest.distinct().join(best, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        links = links.unionByName(confirmed(rest, sets, numerator))
-        groups = components(links)
+        last = written(_estimated(across, bits, least).select("a", "b").join(best.union(rest), ["a", "b"], "left_anti"))
+        if not last.isEmpty():
+            groups = components(links.unionByName(confirmed(last, sets, numerator)))
 
     named = (classes.join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left")
              .select("k1", "k2", "n", F.coalesce("component", "rep").alias("found")))
