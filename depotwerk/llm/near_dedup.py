@@ -7,7 +7,7 @@ the hash of that tree and level, so similar sets stay together and others part.
 A node with few classes is compared exhaustively on estimates from the tokens;
 nodes of different trees with the same members are one.  It
 gives the pairs that join what is similar in it: a spanning forest by
-falling similarity and the two best partners of each class, not all pairs.
+falling similarity, not all pairs.
 Large nodes go on in several subtrees each.  A node that is still large
 at the last level holds classes of high mutual similarity: its members are
 compared with twelve pivots.
@@ -144,23 +144,17 @@ def _node_keys(levels: tuple[int, ...]):
 
 
 def joining_pairs(similarity: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a small node: a spanning forest of the similar ones by falling similarity, and each one's two best."""
-    n = len(similarity)
-    a, b = np.triu_indices(n, 1)
+    """Pairs of a small node: a spanning forest of the similar ones, by falling similarity."""
+    a, b = np.triu_indices(len(similarity), 1)
     value = similarity[a, b]
     good = np.flatnonzero(value >= least)
     good = good[np.argsort(-value[good], kind="stable")]
-    group, taken, chosen = list(range(n)), [0] * n, []
+    group, chosen = list(range(len(similarity))), []
     for k in good.tolist():
-        x, y = int(a[k]), int(b[k])
-        if group[x] != group[y]:
-            old, new = group[y], group[x]
+        old, new = group[b[k]], group[a[k]]
+        if old != new:
             group = [new if g == old else g for g in group]
-        elif taken[x] >= 2 and taken[y] >= 2:
-            continue
-        taken[x] += 1
-        taken[y] += 1
-        chosen.append(k)
+            chosen.append(k)
     return a[chosen], b[chosen]
 
 
