@@ -10,20 +10,23 @@ gives the pairs that join what is similar in it: a spanning forest by
 falling similarity, not all pairs.
 Large nodes go on in several subtrees each.  A node that is still large
 at the last level holds classes of high mutual similarity: its members are
-compared with twelve pivots.
+compared with twelve pivots, and then with the twelve that were found most
+similar to the pivots.
 
 Links are confirmed on full sets, and components of links are the groups.  The
 best pair of each class comes first.  All other similar pairs, those that a
 small node did not give included, are confirmed only if their ends are not in one component
-by then; and members of a node that stays large that are still not in its largest
-component are compared with the rest of the node.
+by then.  Members of a node that stays large that are still not in its largest
+component are joined exactly with all members of such nodes, by prefixes: in one order
+of all shingles, rare ones first, the first shingle that two linked sets share stands so
+early in both that the rest can reach the threshold.  Shingles of no other member
+find nothing, so what has too many of them to be linked meets nobody.
 
 Classes meet first at the second level: two tokens part what is not similar
 far better than one, so nodes and their number grow less with the corpus.
 A pair of similarity s shares a node at depth d with probability s^d in each
-tree; at 0.85, sixteen trees miss it with 10^-9 at depth two.  Inside groups of
-thousands of copies that differ leaves lie deeper: 48 subtrees find a pair of
-similarity 0.86 at depth fifteen with 99 %, and a document has many partners there.
+tree; at 0.85, sixteen trees miss it with 10^-9 at depth two, and 48 subtrees
+with 10^-8 at depth four, the last one.
 """
 
 from __future__ import annotations
@@ -40,13 +43,14 @@ from ..operators.numbering import number_rows
 from .common import BITS, LOWER, Passing, Prefixes, as_bytes, bit_table, blocks, mix, word_bounds, written
 from .graph import components
 
-TREES, LEVELS = 16, 16
+TREES, LEVELS = 16, 4
 BRANCHES = 3  # subtrees of a large node
 FIRST = 2  # level at which classes meet first: what is not similar seldom agrees in two tokens
-FIRST_LEVELS = 4  # levels after which most classes have left the large nodes
 PIVOTS = 12  # of a node that stays large
 SMALL_NODE = 24  # classes compared exhaustively
 MARGIN = 0.09  # an estimate from 256 tokens is off by more in 1 of 20,000 pairs
+BINS = 1 << 20  # of shingles that are counted together, to know the rare ones
+SIZE_CLASSES = 64  # of sets, for a factor of e in size
 
 _TOKENS = 256
 # which token a level of a subtree looks at; the first level of a tree has its own
@@ -263,6 +267,81 @@ def confirmed(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: in
             .where(F.lit(denominator) * F.col("i") >= F.lit(numerator) * (F.col("n") - F.col("i"))).select("a", "b"))
 
 
+def _bin(elements: np.ndarray) -> np.ndarray:
+    return (elements.view(np.uint64) & np.uint64(BINS - 1)).astype(np.int64)
+
+
+def _frequencies(sets: DataFrame) -> np.ndarray:
+    """How many shingles of the sets fall into each bin: at most ``BINS`` numbers reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, count = np.unique(_bin(batch.column("elements").flatten().to_numpy()), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count.astype(np.int64))], names=["at", "count"])
+
+    filled = sets.select("elements").mapInArrow(run, "at long, count long").groupBy("at").agg(F.sum("count").alias("count")).toArrow()
+    frequency = np.zeros(BINS, np.int64)
+    frequency[filled.column("at").to_numpy()] = filled.column("count").to_numpy()
+    return frequency
+
+
+def _size_class(n: int) -> int:
+    return int(np.log(n) * SIZE_CLASSES)
+
+
+def _prefixes(frequency: Broadcast, numerator: int, denominator: int):
+    """(e, size, rep, component, n, at, probe): the shingles by which a set can be met first, and where they stand in it.
+
+    Every set is found under its own class of size.  Those that probe look into each class of size in which
+    a set could be similar, with the shingles after which the rest still suffices there.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            offsets = batch.column("elements").offsets.to_numpy()
+            elements = batch.column("elements").values.to_numpy()
+            for k, (rep, component, probe) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("rep", "component", "probe")), strict=True)):
+                own = elements[offsets[k] : offsets[k + 1]]
+                n, count = len(own), frequency.value[_bin(own)]
+                head = np.lexsort((own, count))[: n - -(-numerator * n // denominator) + 1]
+                at = np.flatnonzero(count[head] > 1)  # one that is alone in its bin is in no other set
+                own = own[head][at]
+                out.append((own, np.full(len(at), _size_class(n)), rep, component, n, at, False))
+                if probe and len(at):
+                    size = np.arange(_size_class(max(1, numerator * n // denominator)), _size_class(denominator * n // numerator + 1) + 1)
+                    low, high = np.floor(np.exp(size / SIZE_CLASSES)), np.ceil(np.exp((size + 1) / SIZE_CLASSES))
+                    other = np.clip((n - at)[None, :], low[:, None], high[:, None])  # the size that suits best
+                    shared = np.minimum(other, (n - at)[None, :])
+                    x, y = np.nonzero(denominator * shared >= numerator * (n + other - shared))
+                    out.append((own[y], size[x], rep, component, n, at[y], True))
+            many = [len(row[0]) for row in out]
+            if sum(many):
+                first = [np.concatenate([row[c] for row in out]) for c in (0, 1, 5)]
+                same = [np.repeat(np.array([row[c] for row in out]), many) for c in (2, 3, 4, 6)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(first[0]), pa.array(first[1].astype(np.int32)), pa.array(same[0]), pa.array(same[1]),
+                     pa.array(same[2].astype(np.int32)), pa.array(first[2].astype(np.int32)), pa.array(same[3])],
+                    names=["e", "size", "rep", "component", "n", "at", "probe"])
+
+    return run
+
+
+def meeting_pairs(sets: DataFrame, numerator: int, denominator: int = 100) -> DataFrame:
+    """Pairs (a, b) of sets (rep, component, probe, elements) of different components, at least one of which probes, that may be linked.
+
+    No linked pair is left out: the join is on full sets, by prefixes.
+    """
+    frequency = sets.sparkSession.sparkContext.broadcast(_frequencies(sets))
+    found = written(sets.select("rep", "component", "probe", "elements").mapInArrow(
+        _prefixes(frequency, numerator, denominator), "e long, size int, rep long, component long, n int, at int, probe boolean"))
+    probes = found.where("probe").select("e", "size", F.col("rep").alias("p"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("at").alias("i"))
+    shared = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("i"))
+    return (probes.join(found.where("not probe"), ["e", "size"])
+            .where((F.col("c") != F.col("component")) & (F.lit(denominator) * shared >= F.lit(numerator) * (F.col("n") + F.col("m") - shared)))
+            .select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct())
+
+
 def _best_pairs(pairs: DataFrame) -> DataFrame:
     """For each class its most similar partner, as pairs (a, b)."""
     both = pairs.select(F.col("a").alias("rep"), F.struct("s", (-F.col("b")).alias("other")).alias("best")).union(
@@ -284,6 +363,12 @@ def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     return pairs.where("of_a <> of_b").select("a", "b")
 
 
+def _star(own: DataFrame, pivot: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each class (rep, node) and the pivots of its node."""
+    star = own.join(pivot, "node").select("rep", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p")).where("rep <> p")
+    return star.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
+
+
 def near_dedup(
     docs: DataFrame, words: int = 3, numerator: int = 85, *, id_column: str = "doc_id", text_column: str = "text",
     small_node: int = SMALL_NODE,
@@ -322,21 +407,15 @@ def near_dedup(
     top = written(sized(reps.mapInArrow(_node_keys((FIRST,)), form)))
     leaf = top.where(F.col("size") <= small_node).select("node", "rep")
     large, stuck = top.where(F.col("size") > small_node).select("rep", "tree"), None
-    spans = [(FIRST + 1, FIRST_LEVELS), (FIRST_LEVELS + 1, LEVELS)]
-    for first, last in spans:
-        if large.isEmpty():
-            break
+    if not large.isEmpty():
         # several levels at once: the path of a class is known
-        below = sized(large.join(reps, "rep").mapInArrow(_node_keys(tuple(range(first, last + 1))), form))
+        below = sized(large.join(reps, "rep").mapInArrow(_node_keys(tuple(range(FIRST + 1, LEVELS + 1))), form))
         below = written(below.select("rep", "tree", "branch", "level", "node", (F.col("size") > small_node).alias("large")))
         path = ["rep", "tree", "branch"]
         deepest = below.where("large").groupBy(*path).agg(F.max("level").alias("last"))
-        ends = below.where("not large").join(deepest, path, "left").where(F.col("level") == F.coalesce("last", F.lit(first - 1)) + 1)
+        ends = below.where("not large").join(deepest, path, "left").where(F.col("level") == F.coalesce("last", F.lit(FIRST)) + 1)
         leaf = leaf.unionByName(ends.select("node", "rep"))
-        still = below.where((F.col("level") == last) & F.col("large"))
-        large = still.select(*path)
-        if last == LEVELS:
-            stuck = still.select("node", "rep")
+        stuck = below.where((F.col("level") == LEVELS) & F.col("large")).select("node", "rep")
 
     # one byte per token is enough for an estimate; it goes once to each different set of members
     bits = reps.mapInArrow(_bits, "rep long, bits binary")
@@ -352,9 +431,12 @@ def near_dedup(
         # one node of each class; its pivots, chosen by hash, are mostly those of the other nodes too
         own = stuck.groupBy("rep").agg(F.min("node").alias("node"))
         pivot = stuck.groupBy("node").agg(*[F.min_by("rep", F.xxhash64("rep", F.lit(i))).alias(f"p{i}") for i in range(PIVOTS)])
-        star = own.join(pivot, "node").select("rep", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p")).where("rep <> p")
-        star = star.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
-        pairs = pairs.unionByName(_estimated(star, bits, least))
+        star = written(_estimated(_star(own, pivot), bits, 0))
+        # the second ones have the highest mean estimate of those with the same remainder
+        mean = star.select(F.col("a").alias("rep"), "s").union(star.select("b", "s")).groupBy("rep").agg(F.avg("s").alias("mean"))
+        part = F.pmod(F.xxhash64("rep"), F.lit(PIVOTS))
+        hub = own.join(mean, "rep").groupBy("node").agg(*[F.max_by("rep", F.when(part == i, F.struct("mean", "rep"))).alias(f"p{i}") for i in range(PIVOTS)])
+        pairs = pairs.unionByName(star.where(F.col("s") >= least)).unionByName(_estimated(_star(own, hub), bits, least))
     pairs = written(pairs.groupBy("a", "b").agg(F.max("s").alias("s")))
 
     # full sets of all classes that may take part in a comparison
@@ -379,12 +461,19 @@ def near_dedup(
         member = stuck.join(_labels(groups), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         largest = F.max_by("component", F.struct("count", "component"))
         home = member.groupBy("node", "component").count().groupBy("node").agg(largest.alias("home"))
-        outside = member.join(home, "node").where("component <> home").select("node", F.col("rep").alias("p"), F.col("component").alias("c"))
-        across = (outside.join(member.select("node", "rep", "component"), "node").where("component <> c")
-                  .select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct())
-        last = written(_estimated(across, bits, least).select("a", "b").join(best.union(rest), ["a", "b"], "left_anti"))
-        if not last.isEmpty():
-            groups = components(links.unionByName(confirmed(last, sets, numerator)))
+        outside = written(member.join(home, "node").where("component <> home").select("rep", F.lit(True).alias("outside")).distinct())
+        if not outside.isEmpty():
+            inside = member.select("rep", "component").distinct().join(outside, "rep", "left")
+            probing = sets.join(inside, "rep").withColumn("probe", F.coalesce("outside", F.lit(False)))
+            across = meeting_pairs(probing, numerator).join(best.union(rest), ["a", "b"], "left_anti")
+            across = written(_estimated(across, bits, least))
+            # again the best pair of each class first
+            best = written(_best_pairs(across))
+            links = written(links.unionByName(confirmed(best, sets, numerator)))
+            groups = written(components(links))
+            last = written(_apart(across, _labels(groups)).join(best, ["a", "b"], "left_anti"))
+            if not last.isEmpty():
+                groups = components(links.unionByName(confirmed(last, sets, numerator)))
 
     named = (classes.join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left")
              .select("k1", "k2", "n", F.coalesce("component", "rep").alias("found")))

@@ -553,6 +553,50 @@ def test_near_dedup_around_the_threshold(spark):
     assert got == plain_near(texts, 3, 85)
 
 
+def test_near_dedup_compares_in_proportion_to_a_large_group(spark, monkeypatch):
+    """A third of a group of near copies has too many shingles of its own: twice the group, about twice the compared pairs."""
+    compared = []
+    estimated = near_dedup._estimated
+
+    def counted(pairs, *more):
+        compared.append(pairs.count())
+        return estimated(pairs, *more)
+
+    monkeypatch.setattr(near_dedup, "_estimated", counted)
+    made = {}
+    for size in (150, 300):
+        rng = random.Random(13)
+        clique = words(rng, 200)
+        texts = []
+        for i in range(size):
+            own = list(clique)
+            for at in rng.sample(range(200), 8 if i % 3 == 0 else 1):
+                own[at] = f"c{i}x{at}"
+            texts.append(" ".join(own))
+        compared.clear()
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_dedup(table(spark, texts), small_node=8).collect()}
+        assert got == plain_near(texts, 3, 85)
+        made[size] = sum(compared)
+    assert made[300] <= 2.5 * made[150]
+
+
+def test_meeting_pairs_lose_no_link(spark):
+    """Sets of different sizes around the threshold: every linked pair of different components meets."""
+    rng = random.Random(17)
+    sets = []
+    for _ in range(12):
+        base = rng.sample(range(1000), rng.randrange(1, 90))
+        for _ in range(8):
+            sets.append(sorted({*rng.sample(base, len(base) - rng.randrange(1 + len(base) // 8)), *(rng.randrange(1000) for _ in range(rng.randrange(1 + len(base) // 8)))}))
+    rows = [(i, i % 5, i % 5 != 0, s) for i, s in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "rep long, component long, probe boolean, elements array<long>")
+    got = [(r.a, r.b) for r in near_dedup.meeting_pairs(frame, 85).collect()]
+    linked = {(a, b) for b in range(len(sets)) for a in range(b) if a % 5 != b % 5
+              and 100 * len({*sets[a]} & {*sets[b]}) >= 85 * len({*sets[a]} | {*sets[b]})}
+    assert len(linked) > 20 and linked <= set(got) and len(got) == len(set(got))
+    assert all(a < b and a % 5 != b % 5 for a, b in got)
+
+
 def test_near_dedup_rows_that_repeat_an_id(spark):
     """Each row is linked by its own text, whichever of them is met first."""
     rng = random.Random(7)
