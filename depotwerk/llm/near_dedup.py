@@ -458,7 +458,7 @@ def near_dedup(
         links = written(links.unionByName(confirmed(rest, sets, numerator)))
         groups = written(components(links))
     if stuck is not None:
-        member = stuck.join(_labels(groups), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        member = written(stuck.join(_labels(groups), "rep", "left").withColumn("component", F.coalesce("component", "rep")))
         largest = F.max_by("component", F.struct("count", "component"))
         home = member.groupBy("node", "component").count().groupBy("node").agg(largest.alias("home"))
         outside = written(member.join(home, "node").where("component <> home").select("rep", F.lit(True).alias("outside")).distinct())
@@ -466,12 +466,7 @@ def near_dedup(
             inside = member.select("rep", "component").distinct().join(outside, "rep", "left")
             probing = sets.join(inside, "rep").withColumn("probe", F.coalesce("outside", F.lit(False)))
             across = meeting_pairs(probing, numerator).join(best.union(rest), ["a", "b"], "left_anti")
-            across = written(_estimated(across, bits, least))
-            # again the best pair of each class first
-            best = written(_best_pairs(across))
-            links = written(links.unionByName(confirmed(best, sets, numerator)))
-            groups = written(components(links))
-            last = written(_apart(across, _labels(groups)).join(best, ["a", "b"], "left_anti"))
+            last = written(_estimated(across, bits, least).select("a", "b"))
             if not last.isEmpty():
                 groups = components(links.unionByName(confirmed(last, sets, numerator)))
 
