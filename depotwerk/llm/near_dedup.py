@@ -50,6 +50,8 @@ PIVOTS = 12  # of a node that stays large
 SMALL_NODE = 24  # classes compared exhaustively
 MARGIN = 0.09  # an estimate from 256 tokens is off by more in 1 of 20,000 pairs
 BINS = 1 << 20  # of shingles that are counted together, to know the rare ones
+SLICE = 1 << 14  # bins whose counts are summed in one place
+PIECE = 1 << 9  # of them in a row at most, so that a batch of rows stays small
 SIZE_CLASSES = 64  # of sets, for a factor of e in size
 
 _TOKENS = 256
@@ -271,17 +273,43 @@ def _bin(elements: np.ndarray) -> np.ndarray:
     return (elements.view(np.uint64) & np.uint64(BINS - 1)).astype(np.int64)
 
 
+def _packed(total: np.ndarray) -> pa.RecordBatch:
+    """Rows (slice, at, count) of the bins that are not empty: one or a few for each slice of bins, at most ``PIECE`` bins each."""
+    at = np.flatnonzero(total)
+    part = at // SLICE
+    rank = np.arange(len(at)) - np.searchsorted(part, part)
+    begin = np.flatnonzero(rank % PIECE == 0)
+    offsets = pa.array(np.r_[begin, len(at)].astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[begin].astype(np.int32)), pa.ListArray.from_arrays(offsets, pa.array(at.astype(np.int32))),
+         pa.ListArray.from_arrays(offsets, pa.array(total[at]))], names=["slice", "at", "count"])
+
+
 def _frequencies(sets: DataFrame) -> np.ndarray:
-    """How many shingles of the sets fall into each bin: at most ``BINS`` numbers reach the driver."""
+    """How many shingles of the sets fall into each bin: at most ``BINS`` numbers reach the driver.
+
+    A task counts all its sets first.  Its counts are sent as rows of many bins, and
+    the tasks' counts are summed slice by slice.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BINS, np.int64)
         for batch in batches:
             at, count = np.unique(_bin(batch.column("elements").flatten().to_numpy()), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count.astype(np.int64))], names=["at", "count"])
+            total[at] += count
+        yield _packed(total)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BINS, np.int64)
+        for batch in batches:
+            np.add.at(total, batch.column("at").flatten().to_numpy(), batch.column("count").flatten().to_numpy())
+        yield _packed(total)
 
-    filled = sets.select("elements").mapInArrow(run, "at long, count long").groupBy("at").agg(F.sum("count").alias("count")).toArrow()
+    form = "slice int, at array<int>, count array<long>"
+    filled = sets.select("elements").mapInArrow(run, form).repartition("slice").mapInArrow(summed, form).toArrow()
     frequency = np.zeros(BINS, np.int64)
-    frequency[filled.column("at").to_numpy()] = filled.column("count").to_numpy()
+    for batch in filled.to_batches():
+        frequency[batch.column("at").flatten().to_numpy()] = batch.column("count").flatten().to_numpy()
     return frequency
 
 

@@ -597,6 +597,26 @@ def test_meeting_pairs_lose_no_link(spark):
     assert all(a < b and a % 5 != b % 5 for a, b in got)
 
 
+def test_shingles_are_counted_in_few_rows(spark, monkeypatch):
+    """Sets with many shingles of their own: the counts are right, and each task sends them in a few rows."""
+    rng = np.random.default_rng(19)
+    shared = rng.integers(-(1 << 63), 1 << 63, 40)
+    sets = [np.unique(np.r_[shared, rng.integers(-(1 << 63), 1 << 63, 300)]) for _ in range(400)]
+    frame = spark.createDataFrame([(s.tolist(),) for s in [*sets, shared[:0]]], "elements array<long>").repartition(4)
+    made, map_in_arrow = [], type(frame).mapInArrow
+
+    def counted(self, *more, **options):
+        out = map_in_arrow(self, *more, **options)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(type(frame), "mapInArrow", counted)
+    got = near_dedup._frequencies(frame)
+    assert (got == np.bincount(near_dedup._bin(np.concatenate(sets)), minlength=near_dedup.BINS)).all()
+    assert max(made) <= 1000
+    assert not near_dedup._frequencies(frame.limit(0)).any()
+
+
 def test_near_dedup_rows_that_repeat_an_id(spark):
     """Each row is linked by its own text, whichever of them is met first."""
     rng = random.Random(7)
