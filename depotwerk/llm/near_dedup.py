@@ -20,7 +20,10 @@ by then.  Members of a node that stays large that are still not in its largest
 component are joined exactly with all members of such nodes, by prefixes: in one order
 of all shingles, rare ones first, the first shingle that two linked sets share stands so
 early in both that the rest can reach the threshold.  Shingles of no other member
-find nothing, so what has too many of them to be linked meets nobody.
+find nothing, so what has too many of them to be linked meets nobody.  Members that
+are all near one text have nearly all of its shingles in common, rare or not: a
+sketch of each set bounds what two of them share, so most of those that differ
+too much are no pair.
 
 Classes meet first at the second level: two tokens part what is not similar
 far better than one, so nodes and their number grow less with the corpus.
@@ -32,11 +35,13 @@ with 10^-8 at depth four, the last one.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.numbering import number_rows
@@ -53,12 +58,17 @@ BINS = 1 << 20  # of shingles that are counted together, to know the rare ones
 SLICE = 1 << 14  # bins whose counts are summed in one place
 PIECE = 1 << 9  # of them in a row at most, so that a batch of rows stays small
 SIZE_CLASSES = 64  # of sets, for a factor of e in size
+SKETCH = 128  # counters of a set's sketch
+STEPS = 4  # that a counter of a sketch goes up to
 
 _TOKENS = 256
 # which token a level of a subtree looks at; the first level of a tree has its own
 _LOOKS_AT = np.random.default_rng(11).integers(TREES, _TOKENS, (TREES, BRANCHES, LEVELS))
 _FACTORS = np.random.default_rng(9).integers(1, 1 << 32, _TOKENS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _BLOCK = 2 << 20
+_ROWS = 1 << 10  # classes that meet their pivots at once
+_SETS = 1 << 7  # whose prefixes go out together
+_WORDS = [f"w{i}" for i in range(SKETCH * STEPS // 64)]
 
 
 def shingles(block: pa.RecordBatch, words: int) -> list[np.ndarray]:
@@ -200,9 +210,13 @@ _FOUND = {"a": pa.int64(), "b": pa.int64(), "s": pa.float64(), "node": pa.int64(
 
 
 def _found(**columns) -> pa.RecordBatch:
+    return _filled(_FOUND, **columns)
+
+
+def _filled(form: dict[str, pa.DataType], **columns) -> pa.RecordBatch:
     n = len(next(iter(columns.values())))
     return pa.RecordBatch.from_arrays(
-        [pa.array(columns[c], kind) if c in columns else pa.nulls(n, kind) for c, kind in _FOUND.items()], names=list(_FOUND))
+        [pa.array(columns[c], kind) if c in columns else pa.nulls(n, kind) for c, kind in form.items()], names=list(form))
 
 
 def _parted(nodes: DataFrame, label: DataFrame) -> DataFrame:
@@ -317,40 +331,59 @@ def _size_class(n: int) -> int:
     return int(np.log(n) * SIZE_CLASSES)
 
 
+def _sketch(elements: np.ndarray) -> tuple[np.ndarray, int]:
+    """Numbers of shingles by part of their hash, each in unary as bits of the words, and how many found no bit.
+
+    Two sets share at most as many as the bits that both have, and the smaller of the two rests.
+    """
+    held = np.bincount((elements.view(np.uint64) >> np.uint64(40) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+    bits = held[:, None] > np.arange(STEPS)
+    return np.packbits(bits).view(np.int64), int(held.sum() - bits.sum())
+
+
+def _shared(one: str, two: str) -> Column:
+    """At most so many shingles are in both of two sets, by their sketches."""
+    both = [F.bit_count(F.col(f"{one}{w}").bitwiseAND(F.col(f"{two}{w}"))) for w in _WORDS]
+    return reduce(add, both) + F.least(f"{one}over", f"{two}over")
+
+
 def _prefixes(frequency: Broadcast, numerator: int, denominator: int):
-    """(e, size, rep, component, n, at, probe): the shingles by which a set can be met first, and where they stand in it.
+    """(e, size, rep, component, n, at, probe, over, words): the shingles by which a set can be met first, where they stand in it, and its sketch.
 
     Every set is found under its own class of size.  Those that probe look into each class of size in which
-    a set could be similar, with the shingles after which the rest still suffices there.
+    a set could be similar, with the shingles after which the rest still suffices there.  The sketch leaves out
+    shingles that are in no other set.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(k, _SETS) for b in batches for k in range(0, b.num_rows, _SETS)):
             out = []
             offsets = batch.column("elements").offsets.to_numpy()
             elements = batch.column("elements").values.to_numpy()
             for k, (rep, component, probe) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("rep", "component", "probe")), strict=True)):
                 own = elements[offsets[k] : offsets[k + 1]]
                 n, count = len(own), frequency.value[_bin(own)]
+                words, over = _sketch(own[count > 1])  # one that is alone in its bin is in no other set
                 head = np.lexsort((own, count))[: n - -(-numerator * n // denominator) + 1]
-                at = np.flatnonzero(count[head] > 1)  # one that is alone in its bin is in no other set
+                at = np.flatnonzero(count[head] > 1)
                 own = own[head][at]
-                out.append((own, np.full(len(at), _size_class(n)), rep, component, n, at, False))
+                out.append((own, np.full(len(at), _size_class(n)), rep, component, n, at, False, over, words))
                 if probe and len(at):
                     size = np.arange(_size_class(max(1, numerator * n // denominator)), _size_class(denominator * n // numerator + 1) + 1)
                     low, high = np.floor(np.exp(size / SIZE_CLASSES)), np.ceil(np.exp((size + 1) / SIZE_CLASSES))
                     other = np.clip((n - at)[None, :], low[:, None], high[:, None])  # the size that suits best
                     shared = np.minimum(other, (n - at)[None, :])
                     x, y = np.nonzero(denominator * shared >= numerator * (n + other - shared))
-                    out.append((own[y], size[x], rep, component, n, at[y], True))
+                    out.append((own[y], size[x], rep, component, n, at[y], True, over, words))
             many = [len(row[0]) for row in out]
             if sum(many):
                 first = [np.concatenate([row[c] for row in out]) for c in (0, 1, 5)]
-                same = [np.repeat(np.array([row[c] for row in out]), many) for c in (2, 3, 4, 6)]
+                same = [np.repeat(np.array([row[c] for row in out]), many, axis=0) for c in (2, 3, 4, 6, 7, 8)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(first[0]), pa.array(first[1].astype(np.int32)), pa.array(same[0]), pa.array(same[1]),
-                     pa.array(same[2].astype(np.int32)), pa.array(first[2].astype(np.int32)), pa.array(same[3])],
-                    names=["e", "size", "rep", "component", "n", "at", "probe"])
+                     pa.array(same[2].astype(np.int32)), pa.array(first[2].astype(np.int32)), pa.array(same[3]),
+                     pa.array(same[4].astype(np.int32)), *(pa.array(np.ascontiguousarray(word)) for word in same[5].T)],
+                    names=["e", "size", "rep", "component", "n", "at", "probe", "over", *_WORDS])
 
     return run
 
@@ -358,13 +391,16 @@ def _prefixes(frequency: Broadcast, numerator: int, denominator: int):
 def meeting_pairs(sets: DataFrame, numerator: int, denominator: int = 100) -> DataFrame:
     """Pairs (a, b) of sets (rep, component, probe, elements) of different components, at least one of which probes, that may be linked.
 
-    No linked pair is left out: the join is on full sets, by prefixes.
+    No linked pair is left out: the join is on full sets, by prefixes, and sketches bound what two sets share from above.
     """
     frequency = sets.sparkSession.sparkContext.broadcast(_frequencies(sets))
     found = written(sets.select("rep", "component", "probe", "elements").mapInArrow(
-        _prefixes(frequency, numerator, denominator), "e long, size int, rep long, component long, n int, at int, probe boolean"))
-    probes = found.where("probe").select("e", "size", F.col("rep").alias("p"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("at").alias("i"))
-    shared = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("i"))
+        _prefixes(frequency, numerator, denominator),
+        "e long, size int, rep long, component long, n int, at int, probe boolean, over int, " + ", ".join(f"{w} long" for w in _WORDS)))
+    probes = found.where("probe").select(
+        "e", "size", F.col("rep").alias("p"), F.col("component").alias("c"), F.col("n").alias("m"), F.col("at").alias("i"),
+        *[F.col(w).alias(f"p_{w}") for w in ("over", *_WORDS)])
+    shared = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("i"), _shared("", "p_"))
     return (probes.join(found.where("not probe"), ["e", "size"])
             .where((F.col("c") != F.col("component")) & (F.lit(denominator) * shared >= F.lit(numerator) * (F.col("n") + F.col("m") - shared)))
             .select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct())
@@ -391,10 +427,40 @@ def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     return pairs.where("of_a <> of_b").select("a", "b")
 
 
-def _star(own: DataFrame, pivot: DataFrame) -> DataFrame:
-    """Pairs (a, b) of each class (rep, node) and the pivots of its node."""
-    star = own.join(pivot, "node").select("rep", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p")).where("rep <> p")
-    return star.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
+def _star(own: DataFrame, pivot: DataFrame, least: float) -> DataFrame:
+    """Classes (rep, node, bits) and the pivots of their nodes: pairs (a, b) with an estimate s that is high enough.
+
+    Other rows have the sum and the number of the estimates of an end (rep, total, many).
+    A class meets all its pivots in one row.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for begin in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(begin, _ROWS)
+                row = np.repeat(np.arange(batch.num_rows), np.diff(batch.column("pivots").offsets.to_numpy()))
+                rep, p = batch.column("rep").to_numpy()[row], batch.column("pivots").flatten().to_numpy()
+                one = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+                two = np.frombuffer(b"".join(batch.column("theirs").flatten().to_pylist()), np.uint8).reshape(len(p), -1)
+                value = (one[row] == two).mean(axis=1)
+                other = rep != p
+                rep, p, value = rep[other], p[other], value[other]
+                end, at = np.unique(np.r_[rep, p], return_inverse=True)
+                yield _met(rep=end, total=np.bincount(at, np.r_[value, value], len(end)), many=np.bincount(at, minlength=len(end)))
+                good = value >= least
+                yield _met(a=np.minimum(rep, p)[good], b=np.maximum(rep, p)[good], s=value[good])
+
+    chosen = pivot.select("node", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("rep")).distinct()
+    theirs = written(chosen.join(own.select("rep", "bits"), "rep").groupBy("node").agg(
+        F.collect_list("rep").alias("pivots"), F.collect_list("bits").alias("theirs")))
+    return own.join(theirs, "node").select("rep", "bits", "pivots", "theirs").mapInArrow(run, "a long, b long, s double, rep long, total double, many long")
+
+
+_MET = {"a": pa.int64(), "b": pa.int64(), "s": pa.float64(), "rep": pa.int64(), "total": pa.float64(), "many": pa.int64()}
+
+
+def _met(**columns) -> pa.RecordBatch:
+    return _filled(_MET, **columns)
 
 
 def near_dedup(
@@ -457,14 +523,15 @@ def near_dedup(
     others = found.where("node is not null").select("node", "reps", "x", "y")
     if stuck is not None:
         # one node of each class; its pivots, chosen by hash, are mostly those of the other nodes too
-        own = stuck.groupBy("rep").agg(F.min("node").alias("node"))
+        own = written(stuck.groupBy("rep").agg(F.min("node").alias("node")).join(bits, "rep"))
         pivot = stuck.groupBy("node").agg(*[F.min_by("rep", F.xxhash64("rep", F.lit(i))).alias(f"p{i}") for i in range(PIVOTS)])
-        star = written(_estimated(_star(own, pivot), bits, 0))
+        star = written(_star(own, pivot, least))
         # the second ones have the highest mean estimate of those with the same remainder
-        mean = star.select(F.col("a").alias("rep"), "s").union(star.select("b", "s")).groupBy("rep").agg(F.avg("s").alias("mean"))
+        mean = star.where("rep is not null").groupBy("rep").agg((F.sum("total") / F.sum("many")).alias("mean"))
         part = F.pmod(F.xxhash64("rep"), F.lit(PIVOTS))
         hub = own.join(mean, "rep").groupBy("node").agg(*[F.max_by("rep", F.when(part == i, F.struct("mean", "rep"))).alias(f"p{i}") for i in range(PIVOTS)])
-        pairs = pairs.unionByName(star.where(F.col("s") >= least)).unionByName(_estimated(_star(own, hub), bits, least))
+        near = star.unionByName(_star(own, hub, least)).where("a is not null").select("a", "b", "s")
+        pairs = pairs.unionByName(near)
     pairs = written(pairs.groupBy("a", "b").agg(F.max("s").alias("s")))
 
     # full sets of all classes that may take part in a comparison
@@ -494,7 +561,7 @@ def near_dedup(
             inside = member.select("rep", "component").distinct().join(outside, "rep", "left")
             probing = sets.join(inside, "rep").withColumn("probe", F.coalesce("outside", F.lit(False)))
             across = meeting_pairs(probing, numerator).join(best.union(rest), ["a", "b"], "left_anti")
-            last = written(_estimated(across, bits, least).select("a", "b"))
+            last = written(_estimated(across, own, least).select("a", "b"))
             if not last.isEmpty():
                 groups = components(links.unionByName(confirmed(last, sets, numerator)))
 

@@ -597,6 +597,65 @@ def test_meeting_pairs_lose_no_link(spark):
     assert all(a < b and a % 5 != b % 5 for a, b in got)
 
 
+def test_meeting_pairs_of_sets_around_one_text(spark):
+    """Sets with nearly all shingles in common: all linked pairs meet, and few of those that differ too much."""
+    rng = random.Random(23)
+    base, sets = rng.sample(range(1 << 62), 140), []
+    for i in range(160):
+        own = list(base)
+        for at in rng.sample(range(28), 3 if i % 4 == 0 else 1):
+            own[5 * at : 5 * at + 5] = [rng.randrange(1 << 62) for _ in range(5)]
+        sets.append(sorted(own))
+    rows = [(i, i if i % 4 == 0 else 1, i % 4 == 0, s) for i, s in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "rep long, component long, probe boolean, elements array<long>")
+    got = {(r.a, r.b) for r in near_dedup.meeting_pairs(frame, 80).collect()}
+    linked = {(a, b) for b in range(len(sets)) for a in range(b) if rows[a][1] != rows[b][1]
+              and 100 * len({*sets[a]} & {*sets[b]}) >= 80 * len({*sets[a]} | {*sets[b]})}
+    assert len(linked) > 100 and linked <= got and len(got) <= 2 * len(linked)
+
+
+def test_sketches_bound_what_two_sets_share():
+    rng = np.random.default_rng(29)
+    for size in (0, 1, 30, 400, 3000):
+        base = rng.integers(-(1 << 63), 1 << 63, size)
+        for _ in range(20):
+            one, two = (base[rng.random(size) < rng.random()] for _ in range(2))
+            (x, i), (y, j) = near_dedup._sketch(one), near_dedup._sketch(two)
+            both = int(np.unpackbits((x & y).view(np.uint8)).sum()) + min(i, j)
+            assert len(np.intersect1d(one, two)) <= both <= min(len(one), len(two))
+
+
+def test_classes_meet_their_pivots_in_one_row_each(spark, monkeypatch):
+    """A large group, of which nothing is left outside: no pair is looked up by its ends, and the estimates are those of all pairs."""
+    looked_up, stars = [], []
+    estimated, star = near_dedup._estimated, near_dedup._star
+
+    def counted(pairs, *more):
+        looked_up.append(pairs.count())
+        return estimated(pairs, *more)
+
+    def kept(own, pivot, least):
+        stars.append((own.collect(), {r[0]: {*r[1:]} - {None} for r in pivot.collect()}, least, star(own, pivot, least).collect()))
+        return star(own, pivot, least)
+
+    monkeypatch.setattr(near_dedup, "_estimated", counted)
+    monkeypatch.setattr(near_dedup, "_star", kept)
+    rng = random.Random(31)
+    clique, texts = words(rng, 200), []
+    for i in range(120):
+        texts.append(" ".join([*clique[:i], f"c{i}", *clique[i + 1 :]]))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_dedup(table(spark, texts), small_node=8).collect()}
+    assert got == plain_near(texts, 3, 85) and sum(looked_up) == 0 and len(stars) == 2
+    for own, pivot, least, rows in stars:
+        bits = {r.rep: np.frombuffer(r.bits, np.uint8) for r in own}
+        met = [(r.rep, p, (bits[r.rep] == bits[p]).mean()) for r in own for p in pivot[r.node] if p != r.rep]
+        assert {(r.a, r.b, r.s) for r in rows if r.a is not None} == {(min(a, b), max(a, b), s) for a, b, s in met if s >= least}
+        for end in bits:
+            mine = [s for a, b, s in met if end in (a, b)]
+            assert sum(r.many for r in rows if r.rep == end) == len(mine)
+            assert sum(r.total for r in rows if r.rep == end) == pytest.approx(sum(mine))
+
+
 def test_shingles_are_counted_in_few_rows(spark, monkeypatch):
     """Sets with many shingles of their own: the counts are right, and each task sends them in a few rows."""
     rng = np.random.default_rng(19)
